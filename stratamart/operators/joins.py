@@ -1,0 +1,17 @@
+"""Join helpers: when a side may be broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension of this many rows with a few columns stays in the tens of megabytes.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only once the side is counted to be small; the count stops at the bound.
+    Beyond it the side is left as it is and Spark shuffles the join, splitting skewed keys."""
+    if side.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(side)
+    return side
