@@ -79,7 +79,8 @@ def _footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_footers(paths: DataFrame) -> DataFrame:
-    """One row per file and column. A footer is a few kilobytes at the end of a file, so this
+    """One row per file and column, with the nullability the file itself states (Spark reads
+    every file column as nullable). A footer is a few kilobytes at the end of a file, so this
     costs one small read per file, spread over the tasks that list the files."""
     return paths.select("path").mapInPandas(_footer_rows, SNAPSHOT_SCHEMA)
 
