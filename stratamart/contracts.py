@@ -86,20 +86,25 @@ class TableContract:
             + _comment_clause(self.comment)
         )
 
-    def comment_statements(self, database: str) -> list[str]:
-        """Statements that bring the comments of an existing table up to date."""
+    def comment_statements(self, database: str, present: Mapping[str, str] = {}) -> list[str]:
+        """Statements that bring the comments of an existing table up to date. ``present`` holds
+        comments the table already has, by column, and its own under the empty name."""
         table = f"{database}.{self.name}"
         statements = []
-        if self.comment:
+        if self.comment and present.get("") != self.comment:
             statements.append(f"COMMENT ON TABLE {table} IS {quoted(self.comment)}")
         for column, text in self.column_comments.items():
-            if column in self.partition_by:  # stated at creation, Spark refuses to alter it
-                continue
-            statements.append(f"ALTER TABLE {table} ALTER COLUMN {column} COMMENT {quoted(text)}")
+            # A folder column's comment is stated at creation; Spark refuses to alter it.
+            if column not in self.partition_by and present.get(column) != text:
+                statements.append(
+                    f"ALTER TABLE {table} ALTER COLUMN {column} COMMENT {quoted(text)}"
+                )
         return statements
 
-    def apply_comments(self, spark: SparkSession, database: str) -> list[str]:
-        statements = self.comment_statements(database)
+    def apply_comments(
+        self, spark: SparkSession, database: str, present: Mapping[str, str] = {}
+    ) -> list[str]:
+        statements = self.comment_statements(database, present)
         for statement in statements:
             spark.sql(statement)
         return statements

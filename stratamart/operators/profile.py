@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from stratamart.functions.measures import COUNT_DIGITS, mean, nulls_in
 from stratamart.operators.conform import RESCUED
@@ -25,6 +24,10 @@ CRITICAL_COLUMNS = (
 )
 POINTS = (0.5, 0.95, 0.99)
 
+# How finely exact percentiles cut up the values of a group before looking for ranks.
+BRANCH = 8
+SLICES = BRANCH * BRANCH
+
 BRONZE_UNION_COLUMNS = (
     "VendorID",
     "passenger_count",
@@ -172,14 +175,13 @@ def exact_percentiles(
     column: str,
     by: str = "taxi_type",
     points: Sequence[float] = POINTS,
-    slices: int = 64,
     max_groups: int = 10_000,
 ) -> DataFrame:
     """Range and exact percentiles: the smallest value with at least ``point`` of all rows at or
     below it. Neither a sort of all rows nor a whole group in one task.
 
     Equal values are counted together first, before and in the shuffle, so a hot group or value
-    is spread out. Sketched edges then cut each group's values into ``slices``; the slices' exact
+    is spread out. Sketched edges then cut each group's values into slices; the slices' exact
     row counts tell which one holds each wanted rank, and only inside those are values summed up
     in order. The edges decide where to look, never what is found.
     """
@@ -189,20 +191,21 @@ def exact_percentiles(
         .groupBy(by, F.col(column).alias(value))
         .agg(F.count("*").alias(rows))
     )
-    cuts = [i / slices for i in range(1, slices)]
+    cuts = [i / SLICES for i in range(1, SLICES)]
     sketched = counted.groupBy(by).agg(F.percentile_approx(value, cuts, 1_000).alias("_edges"))
-    edges = _bounded(sketched, max_groups)
-    sliced = counted.join(edges, by).select(
-        by,
-        value,
-        rows,
-        F.size(F.filter("_edges", lambda edge: edge < F.col(value))).alias("_slice"),
-    )
+    rows_of_edges = sketched.limit(max_groups + 1).collect()
+    few = len(rows_of_edges) <= max_groups
+    # Few groups: their edges go along as literal rows. Many: no group is large, so Spark joins
+    # the sketches by group, and no side is forced into a broadcast.
+    edges = sketched
+    if few:
+        edges = F.broadcast(df.sparkSession.createDataFrame(rows_of_edges, sketched.schema))
+    sliced = _sliced(counted.join(edges, by), value).select(by, value, rows, "_slice")
 
     per_slice = sliced.groupBy(by, "_slice").agg(
         F.sum(rows).alias("_held"), F.min(value).alias("_low"), F.max(value).alias("_high")
     )
-    # At most `slices` rows per group from here on.
+    # At most SLICES rows per group from here on.
     in_order = Window.partitionBy(by).orderBy("_slice")
     whole = Window.partitionBy(by)
     placed = per_slice.select(
@@ -221,9 +224,11 @@ def exact_percentiles(
     wanted = wanted.filter(
         (F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_held"))
     ).select(by, "_slice", "_before", "_low", "_high", "_point", "_rank")
+    if few:
+        wanted = F.broadcast(wanted)
 
     running = Window.partitionBy(by, "_slice", "_point").orderBy(value)
-    reached = sliced.join(F.broadcast(wanted), [by, "_slice"]).withColumn(
+    reached = sliced.join(wanted, [by, "_slice"]).withColumn(
         "_upto", F.col("_before") + F.sum(rows).over(running)
     )
     hit = F.col("_upto") >= F.col("_rank")
@@ -236,12 +241,19 @@ def exact_percentiles(
     ).orderBy(by)
 
 
-def _bounded(small: DataFrame, max_rows: int) -> DataFrame:
-    """``small`` as literal rows to broadcast if it has at most ``max_rows``, else unchanged."""
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return small
-    return F.broadcast(small.sparkSession.createDataFrame(rows, StructType(small.schema.fields)))
+def _sliced(df: DataFrame, value: str) -> DataFrame:
+    """``_slice``: how many of the sorted ``_edges`` lie below the value. Looked up in two steps,
+    every BRANCHth edge first, which takes few comparisons and stays in generated code."""
+
+    def below(positions: Sequence[Column]) -> Column:
+        tests = [(F.col("_edges")[at] < F.col(value)).cast("int") for at in positions]
+        return reduce(Column.__add__, tests)
+
+    # Never NULL, and said so: else a join on it would test the whole expression for NULL first.
+    coarse = F.coalesce(below([F.lit(BRANCH * i - 1) for i in range(1, BRANCH)]), F.lit(0))
+    first = F.col("_coarse") * BRANCH
+    fine = F.coalesce(below([first + i for i in range(BRANCH - 1)]), F.lit(0))
+    return df.withColumn("_coarse", coarse).withColumn("_slice", F.coalesce(first + fine, F.lit(0)))
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], limit: int = 25) -> DataFrame:

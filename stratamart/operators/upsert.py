@@ -49,9 +49,13 @@ def upsert(
 
     A trip's folder follows from columns inside its key, so a key can only ever be in one
     folder. That keeps the merge local: only the folders the source touches are read, joined and
-    rewritten. Tasks write to a staging folder that is moved in place when all have finished, so
-    lost executors only repeat tasks. The move itself covers one folder after the other; a
-    driver lost during it leaves some folders old, and running the upsert again completes it.
+    rewritten. Tasks write to a staging folder that replaces the old folders once all tasks have
+    finished, so lost executors only repeat tasks. The replacing goes folder by folder and is
+    not one transaction: should the driver be lost within it, rerun the job over all of its
+    input rather than the newest part. Every row derives from there, so that restores the table.
+
+    The source is read three times, for its keys twice. Where it is costly to compute, pass it
+    through :func:`stratamart.operators.layout.stage` first.
     """
     source = with_folders(source, contract)
     report = inspect_source(source, contract)
@@ -60,5 +64,5 @@ def upsert(
         touched = store.read(layer, contract).filter(in_folders(report.folders))
         merged = merge_rows(touched, source, contract.key)
         replace_folders(merged, contract, store.location(layer, contract))
-        store.refresh(layer, contract)
+        store.refresh(layer, contract, report.folders)
     return report

@@ -19,6 +19,7 @@ from stratamart.functions.keys import hashed_key, trip_key_of
 from stratamart.operators import checks, dims, facts, marts, profile, rules
 from stratamart.operators.conform import conform
 from stratamart.operators.joins import broadcast_if_small
+from stratamart.operators.layout import stage
 from stratamart.operators.rules import REASONS
 from stratamart.operators.upsert import merge_rows, upsert
 from stratamart.plans.jobs import Lake, run_all
@@ -237,6 +238,7 @@ def upsert_stored(spark, folder):
     store = TableStore(spark, fresh_folder(spark, "upsert"))
     first, second = silver_loads(spark, folder)
     store.make_folder("silver", SILVER)
+    first, second = stage(first, "load"), stage(second, "load")
     for load in (first, second, second):
         upsert(store, "silver", SILVER, load)
     return store.rows("silver", SILVER)
@@ -541,8 +543,10 @@ def type_drift(spark, folder):
 def land_drifting_trips(spark: SparkSession, folder: str, root: str) -> None:
     """Three kinds of files, one after the other in time: a wide passenger count; a narrow vendor
     and a fee written with a capital; no fee, but a column nobody has announced."""
-    rows = table(spark, folder, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    rows = table(spark, folder, "events").withColumn(
+        "k", F.get_json_object("props", "$.k").cast("int")
+    )
+    k = F.col("k")
     common = [
         F.col("ts").alias("tpep_pickup_datetime"),
         (F.col("ts") + F.make_dt_interval(mins=k)).alias("tpep_dropoff_datetime"),

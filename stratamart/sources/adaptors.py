@@ -13,7 +13,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def event_trips(events: DataFrame) -> DataFrame:
     """Trips from an event log, with faults of every kind the rules look for."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    # Filters on what is made from k would be moved below a projection, with the parsing of the
+    # JSON repeated for each use. They are not moved below a generator: it is parsed once.
+    parsed = F.get_json_object("props", "$.k").cast("int")
+    events = events.select("*", F.explode(F.array(parsed)).alias("k"))
+    k = F.col("k")
     start = F.col("ts").cast("timestamp")
     vendor = F.element_at(
         F.array(*(F.lit(v) for v in (1, 2, 6, 7))), (F.col("user_id") % 4).cast("int") + 1

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from stratamart.contracts import TableContract, quoted
 
@@ -38,9 +38,13 @@ class TableStore:
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {quoted(f'{self.root}/{layer}')}"
         )
-        self.spark.sql(contract.create_table(database, self.location(layer, contract)))
-        contract.apply_comments(self.spark, database)
-        self.refresh(layer, contract)
+        name, catalog = self.table_name(layer, contract), self.spark.catalog
+        if not catalog.tableExists(name):
+            self.spark.sql(contract.create_table(database, self.location(layer, contract)))
+            self.refresh(layer, contract)
+        present = {c.name: c.description for c in catalog.listColumns(name)}
+        present[""] = catalog.getTable(name).description
+        contract.apply_comments(self.spark, database, present)
 
     def make_folder(self, layer: str, contract: TableContract) -> None:
         empty = self.spark.createDataFrame([], contract.stored_schema)
@@ -71,11 +75,20 @@ class TableStore:
         """Contract columns only."""
         return self.read(layer, contract).select(*contract.columns)
 
-    def refresh(self, layer: str, contract: TableContract) -> None:
-        """Let the catalog see folders and files a job has written."""
+    def refresh(
+        self, layer: str, contract: TableContract, folders: Sequence[Row] | None = None
+    ) -> None:
+        """Let the catalog see files a job has written: those in ``folders``, or any at all."""
         name = self.table_name(layer, contract)
         if not self.spark.catalog.tableExists(name):
             return
-        if contract.partition_by:
+        if folders is not None and all(None not in tuple(f) for f in folders):
+            parts = [
+                "PARTITION (" + ", ".join(f"{c} = {quoted(str(f[c]))}" for c in f.__fields__) + ")"
+                for f in folders
+            ]
+            if parts:
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(parts)}")
+        elif contract.partition_by:
             self.spark.catalog.recoverPartitions(name)
         self.spark.catalog.refreshTable(name)

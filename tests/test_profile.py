@@ -24,12 +24,18 @@ def test_exact_percentiles_against_a_sort(spark, shape):
         "single row": [("a", 1.0)],
     }[shape] + [("b", float(i)) for i in range(1, 101)] + [("b", None)]
     df = spark.createDataFrame(rows, "taxi_type string, x double")
-    for slices in (2, 64):
-        out = profile.exact_percentiles(df, "x", slices=slices).collect()
-        assert [r.taxi_type for r in out] == ["a", "b"]
-        for row in out:
-            values = [v for t, v in rows if t == row.taxi_type and v is not None]
-            assert list(row)[1:] == [min(values), *brute(values), max(values)]
+    out = profile.exact_percentiles(df, "x").collect()
+    assert [r.taxi_type for r in out] == ["a", "b"]
+    for row in out:
+        values = [v for t, v in rows if t == row.taxi_type and v is not None]
+        assert list(row)[1:] == [min(values), *brute(values), max(values)]
+
+
+def test_slices_count_the_edges_below(spark):
+    edges = sorted(random.Random(1).choices(range(40), k=profile.SLICES - 1))
+    df = spark.range(-1, 42).select("id", F.array(*map(F.lit, edges)).alias("_edges"))
+    for row in profile._sliced(df, "id").collect():
+        assert row._slice == sum(e < row.id for e in edges)
 
 
 def test_exact_percentiles_without_a_broadcast(spark):
