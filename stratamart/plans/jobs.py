@@ -16,6 +16,7 @@ from stratamart.contracts import (
     DIM_VENDOR,
     FACT_TRIP,
     STREAM_BATCH,
+    TableContract,
 )
 from stratamart.operators import dims, facts, marts
 from stratamart.operators.checks import (
@@ -188,25 +189,42 @@ def publish_fact(lake: Lake, folders: Sequence | None = None) -> dict[str, int]:
         "vendor_id": (store.read("gold", DIM_VENDOR), "vendor_id"),
     }
     checked = require_links(rows, links)
-    upsert(store, "gold", FACT_TRIP, rows)
+    report = upsert(store, "gold", FACT_TRIP, rows)
     held = store.read("gold", FACT_TRIP).count()
-    return {**checked, "rows_for_merge": checked["rows"], "rows": held}
+    return {
+        **checked,
+        "rows_for_merge": checked["rows"],
+        "rows": held,
+        "folders": report.folders,
+    }
+
 
+def publish_marts(lake: Lake, folders: Sequence | None = None) -> dict[str, int]:
+    """Rebuild both aggregates from one scan of the fact: months are rolled up from hours.
 
-def publish_marts(lake: Lake) -> dict[str, int]:
-    """Rebuild both aggregates from one scan of the fact: months are rolled up from hours."""
+    ``folders`` restricts that scan to the fact folders just written, as :func:`publish_fact`
+    reports them. A folder is one source on one day, which is a whole number of hourly rows, so
+    the rows of all other folders stand as they are.
+    """
     pin_utc(lake.spark)
     store, counts = lake.store, {}
-
-    def publish(contract, rows: DataFrame) -> DataFrame:
+    for contract in (AGG_HOURLY_DAILY, AGG_MONTHLY_TAXI):
         store.create("gold", contract)
+
+    def publish(contract: TableContract, rows: DataFrame) -> DataFrame:
         replace_table(rows, contract, store.location("gold", contract))
         store.refresh("gold", contract)
         published = store.read("gold", contract)
         counts[contract.name] = published.count()
         return published
 
-    hourly = publish(AGG_HOURLY_DAILY, marts.hourly_daily(store.read("gold", FACT_TRIP)))
+    fact, old = store.read("gold", FACT_TRIP), store.read("gold", AGG_HOURLY_DAILY)
+    if folders is None:
+        rows = marts.hourly_daily(fact)
+    else:
+        touched = in_folders(folders)
+        rows = marts.hourly_daily(fact.filter(touched)).unionByName(old.filter(~touched))
+    hourly = publish(AGG_HOURLY_DAILY, rows)
     publish(AGG_MONTHLY_TAXI, marts.monthly_from_hourly(hourly))
     return counts
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from stratamart.contracts import TableContract, quoted
 
@@ -47,7 +48,10 @@ class TableStore:
         contract.apply_comments(self.spark, database, present)
 
     def make_folder(self, layer: str, contract: TableContract) -> None:
-        empty = self.spark.createDataFrame([], contract.stored_schema)
+        schema = contract.stored_schema
+        empty = self.spark.range(0).select(
+            *(F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields)
+        )
         ready = empty.write.mode("ignore").partitionBy(*contract.partition_by)
         ready.parquet(self.location(layer, contract))
 

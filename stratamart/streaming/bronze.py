@@ -17,6 +17,10 @@ from stratamart.sources.footers import FILE_SCHEMA
 
 FILES_PER_BATCH = 10_000
 
+# The file source forgets, and then ignores, files much older than the newest one; its default of
+# a week would drop a late copy of an old month without a word.
+FILE_AGE = "36500d"
+
 
 def new_batch_id() -> str:
     """Readable, sortable and unique: UTC time and a random suffix."""
@@ -32,6 +36,7 @@ def landed_paths(spark: SparkSession, landing: str, files_per_batch: int) -> Dat
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", FILE_AGE)
         .load(landing)
         .select("path")
     )
@@ -70,6 +75,7 @@ def parquet_stream(
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", FILE_AGE)
         .parquet(landing)
     )
 

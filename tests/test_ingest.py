@@ -1,3 +1,7 @@
+import os
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +74,16 @@ def test_a_file_is_ingested_once(spark, places):
     assert {r[0]: r[1] for r in rows} == {"first": 4, "third": 4}
 
 
+def test_a_late_old_file_is_not_forgotten(spark, places):
+    land(spark, places, "new", WIDE)
+    ingest(spark, places, "first")
+    land(spark, places, "old", NARROW)
+    long_ago = time.time() - 400 * 24 * 3600
+    for file in Path(places["landing"], "old").iterdir():
+        os.utime(file, (long_ago, long_ago))
+    assert ingest(spark, places, "second").count() == 8
+
+
 def test_runs_are_cut_into_bounded_batches(spark, places):
     for i in range(5):
         land(spark, places, f"f{i}", WIDE)
