@@ -67,6 +67,17 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     return event_trips(table(spark, folder, "events"))
 
 
+def bronze_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Both sources in their Bronze shape, united under common column names."""
+    rows, parts = trips(spark, folder), {}
+    for spec in (YELLOW, GREEN):
+        own = rows.filter(F.col("taxi_type") == spec.name).withColumnsRenamed(
+            {"pickup_datetime": spec.pickup_column, "dropoff_datetime": spec.dropoff_column}
+        )
+        parts[spec.name] = (conform(own, spec.bronze), spec.pickup_column, spec.dropoff_column)
+    return profile.bronze_union(parts)
+
+
 def event_rules() -> list[rules.Rule]:
     return rules.trip_rules(EVENT_STUDY)
 
@@ -370,17 +381,17 @@ def q2_from_fact(spark, folder):
 
 @query
 def null_profile(spark, folder):
-    return profile.null_profile(trips(spark, folder))
+    return profile.null_profile(bronze_rows(spark, folder))
 
 
 @query
 def null_profile_rescued(spark, folder):
-    return profile.null_profile_rescued(trips(spark, folder))
+    return profile.null_profile_rescued(bronze_rows(spark, folder))
 
 
 @query
 def null_attribution(spark, folder):
-    return profile.null_attribution(trips(spark, folder), "passenger_count")
+    return profile.null_attribution(bronze_rows(spark, folder), "passenger_count")
 
 
 @query
@@ -408,12 +419,12 @@ def null_samples(spark, folder):
 @query
 def range_outliers(spark, folder):
     start, end = (F.lit(d).cast("timestamp") for d in (EVENT_STUDY.start, EVENT_STUDY.end))
-    return profile.range_outliers(trips(spark, folder), start, end)
+    return profile.range_outliers(bronze_rows(spark, folder), start, end)
 
 
 @query
 def time_bounds(spark, folder):
-    return profile.bounds(trips(spark, folder), ["pickup_datetime"])
+    return profile.bounds(bronze_rows(spark, folder), ["pickup_datetime"])
 
 
 @query
