@@ -33,12 +33,15 @@ def laid_out(df: DataFrame, contract: TableContract) -> DataFrame:
     return df.sortWithinPartitions(*order) if contract.cluster_by else df
 
 
-def replace_folders(df: DataFrame, contract: TableContract, location: str) -> None:
-    """Replace the folders ``df`` has rows for; leave all others alone."""
+def replace_folders(
+    df: DataFrame, contract: TableContract, location: str, only: str = "dynamic"
+) -> None:
+    """Replace the folders ``df`` has rows for and leave all others alone; or, with
+    ``only="static"``, leave nothing else."""
     (
         laid_out(df.select(*contract.stored_schema.fieldNames()), contract)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", only)
         .partitionBy(*contract.partition_by)
         .parquet(location)
     )

@@ -3,8 +3,9 @@ each can be run, repeated and scheduled on its own."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -92,8 +93,8 @@ def bronze_to_silver(
     written to the shared folder, clean and not clean apart. All later steps read the narrow
     columns staged there. ``stream_batches`` restricts the run to new Bronze folders; leaving it
     out processes all, with the same result. ``copies`` is ``error`` or ``keep_one``.
-    ``quarantine`` is ``replace`` (a Bronze batch's quarantined rows replace those of an earlier
-    run over that batch) or ``append``.
+    ``quarantine`` is ``replace`` (the rows set aside replace those of an earlier run over the
+    same Bronze batches) or ``append``.
     """
     store = lake.store
     store.create("silver", spec.silver)
@@ -125,8 +126,14 @@ def bronze_to_silver(
 
     rejected = staged.filter(~F.col(CLEAN)).withColumn("_quarantined_at", F.current_timestamp())
     rows_quarantine = rows_in - rows_clean
-    if rows_quarantine:
-        publish_quarantine(store, spec, rejected, append=quarantine == "append")
+    if quarantine == "append":
+        if rows_quarantine:
+            publish_quarantine(store, spec, rejected, append_rows)
+    elif stream_batches is None:
+        # All rows were judged anew: what was set aside before and is not now must go.
+        publish_quarantine(store, spec, rejected, partial(replace_folders, only="static"))
+    elif rows_quarantine:
+        publish_quarantine(store, spec, rejected, replace_folders)
 
     return {
         "rows_in": rows_in,
@@ -139,12 +146,10 @@ def bronze_to_silver(
 
 
 def publish_quarantine(
-    store: TableStore, spec: SourceSpec, rejected: DataFrame, append: bool = False
+    store: TableStore, spec: SourceSpec, rejected: DataFrame, write: Callable[..., None]
 ) -> None:
     rows = quarantine_columns(rejected, spec, keep=spec.quarantine.folders)
-    location = store.location("silver", spec.quarantine)
-    write = append_rows if append else replace_folders
-    write(rows, spec.quarantine, location)
+    write(rows, spec.quarantine, store.location("silver", spec.quarantine))
     store.refresh("silver", spec.quarantine)
 
 

@@ -16,16 +16,22 @@ SNAPSHOT_SCHEMA = "path STRING, position INT, column_name STRING, data_type STRI
 
 # Arrow type names and what Spark calls them.
 SPARK_NAMES = {
+    "null": "int",
     "bool": "boolean",
     "int8": "tinyint",
     "int16": "smallint",
     "int32": "int",
     "int64": "bigint",
+    "uint8": "smallint",
+    "uint16": "int",
+    "uint32": "bigint",
+    "uint64": "decimal(20,0)",
     "float": "float",
     "double": "double",
     "string": "string",
     "large_string": "string",
     "binary": "binary",
+    "large_binary": "binary",
     "date32[day]": "date",
 }
 
@@ -46,19 +52,20 @@ def _open(path: str):
     """A file by its Hadoop-style URI. Local paths and the object stores and HDFS that Arrow
     knows; the s3a scheme is Arrow's s3."""
     from pyarrow import fs
-    from urllib.parse import unquote
 
     if path.startswith("file:") or "://" not in path:
-        local = unquote(re.sub("^file:(//)?", "", path))
-        return fs.LocalFileSystem().open_input_file(local)
+        return fs.LocalFileSystem().open_input_file(re.sub("^file:(//)?", "", path))
     filesystem, inner = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
     return filesystem.open_input_file(inner)
 
 
 def _footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow as pa
     import pyarrow.parquet as pq
 
     def spark_name(dtype) -> str:
+        if pa.types.is_dictionary(dtype):
+            dtype = dtype.value_type
         name = str(dtype)
         if name.startswith("timestamp["):
             return "timestamp" if dtype.tz else "timestamp_ntz"

@@ -2,10 +2,13 @@ import os
 import time
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from stratamart.contracts import BRONZE_YELLOW
+from stratamart.sources.footers import list_files, read_footers
 from stratamart.streaming.bronze import (
     bronze_summary,
     ingest_files,
@@ -84,6 +87,26 @@ def test_a_late_old_file_is_not_forgotten(spark, places):
     assert ingest(spark, places, "second").count() == 8
 
 
+def test_files_of_other_writers(spark, places):
+    """An all-null column, a dictionary column, odd characters in the path."""
+    folder = Path(places["landing"], "100%41 done")
+    folder.mkdir(parents=True)
+    columns = {
+        "VendorID": pa.array([1, 2], pa.int64()),
+        "airport_fee": pa.nulls(2),
+        "store_and_fwd_flag": pa.array(["Y", "N"]).dictionary_encode(),
+    }
+    pq.write_table(pa.table(columns), folder / "a.parquet")
+    footers = read_footers(list_files(spark, places["landing"])).orderBy("position").collect()
+    assert [r.data_type for r in footers] == ["bigint", "int", "string"]
+    rows = ingest(spark, places).orderBy("VendorID").collect()
+    assert [(r.VendorID, r.airport_fee, r.store_and_fwd_flag) for r in rows] == [
+        (1, None, "Y"),
+        (2, None, "N"),
+    ]
+    assert {r._rescued_data for r in rows} == {None}
+
+
 def test_runs_are_cut_into_bounded_batches(spark, places):
     for i in range(5):
         land(spark, places, f"f{i}", WIDE)

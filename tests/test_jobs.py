@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 from tests_support import STUDY, land_both, landed_rows
@@ -12,7 +14,7 @@ from stratamart.contracts import (
 )
 from stratamart.operators import marts
 from stratamart.plans import jobs
-from stratamart.settings import GREEN, YELLOW
+from stratamart.settings import GREEN, YELLOW, StudyRange
 from stratamart.sources.tables import TableStore
 
 @pytest.fixture
@@ -134,6 +136,16 @@ def test_copies_are_refused_or_reduced(spark, lake, landings):
     assert jobs.bronze_to_silver(lake, YELLOW, copies="keep_one")["rows"] == 179
 
 
+def test_a_wider_period_empties_the_quarantine(spark, lake, landings):
+    """Rows are judged anew in a run over all of Bronze, and what passes leaves the quarantine."""
+    short = jobs.Lake(lake.store, StudyRange(date(2023, 1, 1), date(2023, 1, 15)))
+    jobs.land_to_bronze(lake, YELLOW, landings["yellow"])
+    assert jobs.bronze_to_silver(short, YELLOW)["rows_quarantine"] > 21
+    assert jobs.bronze_to_silver(lake, YELLOW)["rows_quarantine"] == 21
+    assert lake.store.read("silver", YELLOW.quarantine).count() == 21
+    assert lake.store.rows("silver", YELLOW.silver).count() == 179
+
+
 def test_quarantine_can_be_appended(spark, lake, landings):
     jobs.land_to_bronze(lake, YELLOW, landings["yellow"])
     for _ in range(2):
