@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from stratamart.contracts import STREAM_BATCH, TableContract
@@ -50,8 +50,9 @@ def ingest_files(
     contract: TableContract,
     batch_id: str,
     files_per_batch: int = FILES_PER_BATCH,
-) -> StreamingQuery:
-    """Ingest every file that is new below ``landing``, whatever its schema, then stop.
+) -> list[int]:
+    """Ingest every file that is new below ``landing``, whatever its schema, then stop. Returns
+    the numbers of the stream batches written, which name their folders in Bronze.
 
     A stream batch that is replayed after a failure lists the same files and overwrites the one
     folder it owns, so no row is lost or doubled.
@@ -89,7 +90,7 @@ def ingest_uniform(
     contract: TableContract,
     batch_id: str,
     files_per_batch: int = FILES_PER_BATCH,
-) -> StreamingQuery:
+) -> list[int]:
     """Like :func:`ingest_files` for files of one known schema: rows are streamed directly and
     no footer is looked at."""
     raw = parquet_stream(spark, landing, schema, files_per_batch)
@@ -102,15 +103,21 @@ def ingest_uniform(
     return _run(rows, land, checkpoint)
 
 
-def _run(stream: DataFrame, land, checkpoint: str) -> StreamingQuery:
+def _run(stream: DataFrame, land: Callable[[DataFrame, int], None], checkpoint: str) -> list[int]:
+    written: list[int] = []
+
+    def land_and_note(batch: DataFrame, stream_batch: int) -> None:
+        land(batch, stream_batch)
+        written.append(stream_batch)
+
     query = (
-        stream.writeStream.foreachBatch(land)
+        stream.writeStream.foreachBatch(land_and_note)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return query
+    return written
 
 
 def bronze_summary(bronze: DataFrame) -> dict[str, int]:

@@ -56,7 +56,8 @@ def test_all_jobs_twice_and_a_new_month(spark, lake, landings):
     third = jobs.land_to_bronze(lake, YELLOW, landings["yellow"])
     assert third["rows"] == 400
     newest = store.read("bronze", YELLOW.bronze).agg(F.max(STREAM_BATCH)).first()[0]
-    step = jobs.bronze_to_silver(lake, YELLOW, stream_batches=[newest])
+    assert third["stream_batches"] == [newest]
+    step = jobs.bronze_to_silver(lake, YELLOW, third["stream_batches"])
     assert (step["rows_in"], step["rows_clean"], step["rows"]) == (200, 179, 358)
     assert {f.pickup_date.month for f in step["folders"]} == {2}
     written = jobs.publish_fact(lake, step["folders"])
@@ -138,7 +139,7 @@ def test_copies_are_refused_or_reduced(spark, lake, landings):
 
 def test_a_wider_period_empties_the_quarantine(spark, lake, landings):
     """Rows are judged anew in a run over all of Bronze, and what passes leaves the quarantine."""
-    short = jobs.Lake(lake.store, StudyRange(date(2023, 1, 1), date(2023, 1, 15)))
+    short = jobs.Lake(lake.store, StudyRange(date(2023, 1, 1), date(2023, 1, 3)))
     jobs.land_to_bronze(lake, YELLOW, landings["yellow"])
     assert jobs.bronze_to_silver(short, YELLOW)["rows_quarantine"] > 21
     assert jobs.bronze_to_silver(lake, YELLOW)["rows_quarantine"] == 21

@@ -16,7 +16,7 @@ def landed_rows(spark, spec, month, rows=200):
         .cast("bigint")
         .alias("VendorID"),
         F.expr(
-            f"TIMESTAMP_NTZ '2023-0{month}-01' + make_dt_interval(CAST(id % 28 AS INT), 0, id)"
+            f"TIMESTAMP_NTZ '2023-0{month}-01' + make_dt_interval(CAST(id % 4 AS INT), 0, id)"
         ).alias(spec.pickup_column),
         (F.col("id") % 10).cast("double").alias("passenger_count"),
         F.col("id").cast("double").alias("trip_distance"),
