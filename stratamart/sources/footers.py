@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -48,22 +48,23 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _open(path: str):
-    """A file by its Hadoop-style URI. Local paths and the object stores and HDFS that Arrow
-    knows; the s3a scheme is Arrow's s3."""
-    from pyarrow import fs
+def footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The function that runs in the tasks. It is closed over all it needs, so that it travels
+    to the executors as a whole and they need not have this package."""
+    names = dict(SPARK_NAMES)
 
-    if path.startswith("file:") or "://" not in path:
-        return fs.LocalFileSystem().open_input_file(re.sub("^file:(//)?", "", path))
-    filesystem, inner = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
-    return filesystem.open_input_file(inner)
+    def open_file(path: str):
+        # Local paths, and the object stores and HDFS that Arrow knows; s3a is Arrow's s3.
+        from pyarrow import fs
 
-
-def _footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow as pa
-    import pyarrow.parquet as pq
+        if path.startswith("file:") or "://" not in path:
+            return fs.LocalFileSystem().open_input_file(re.sub("^file:(//)?", "", path))
+        filesystem, inner = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
+        return filesystem.open_input_file(inner)
 
     def spark_name(dtype) -> str:
+        import pyarrow as pa
+
         if pa.types.is_dictionary(dtype):
             dtype = dtype.value_type
         name = str(dtype)
@@ -71,25 +72,31 @@ def _footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             return "timestamp" if dtype.tz else "timestamp_ntz"
         if name.startswith("decimal128"):
             return f"decimal({dtype.precision},{dtype.scale})"
-        return SPARK_NAMES.get(name, name)
+        return names.get(name, name)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                with open_file(path) as file:
+                    schema = pq.read_schema(file)
+                for position, column in enumerate(schema):
+                    kind = spark_name(column.type)
+                    rows.append((path, position, column.name, kind, column.nullable))
+            yield pd.DataFrame(
+                rows, columns=["path", "position", "column_name", "data_type", "nullable"]
+            )
 
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            with _open(path) as file:
-                schema = pq.read_schema(file)
-            for position, column in enumerate(schema):
-                rows.append((path, position, column.name, spark_name(column.type), column.nullable))
-        yield pd.DataFrame(
-            rows, columns=["path", "position", "column_name", "data_type", "nullable"]
-        )
+    return read
 
 
 def read_footers(paths: DataFrame) -> DataFrame:
     """One row per file and column, with the nullability the file itself states (Spark reads
     every file column as nullable). A footer is a few kilobytes at the end of a file, so this
     costs one small read per file, spread over the tasks that list the files."""
-    return paths.select("path").mapInPandas(_footer_rows, SNAPSHOT_SCHEMA)
+    return paths.select("path").mapInPandas(footer_reader(), SNAPSHOT_SCHEMA)
 
 
 def snapshot(footers: DataFrame) -> DataFrame:

@@ -1,11 +1,13 @@
 import math
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from stratamart.operators import profile
-from stratamart.sources.footers import list_files, read_footers, signatures, snapshot
+from stratamart.sources.footers import footer_reader, list_files, read_footers, signatures, snapshot
 
 
 def brute(values, points=profile.POINTS):
@@ -117,6 +119,20 @@ def test_drift_is_seen_in_footers(spark, tmp_path):
     assert signatures(footers).select("signature").distinct().count() == 2
 
 
+def test_executors_need_no_package_of_ours(tmp_path):
+    """The function sent to the tasks loads in an interpreter that cannot import this library."""
+    from pyspark import cloudpickle
+
+    sent = tmp_path / "function"
+    sent.write_bytes(cloudpickle.dumps(footer_reader()))
+    code = (
+        "import sys; from pyspark import cloudpickle; "
+        "read = cloudpickle.loads(open(sys.argv[1], 'rb').read()); "
+        "assert list(read(iter([]))) == []; assert 'stratamart' not in sys.modules"
+    )
+    subprocess.run([sys.executable, "-c", code, str(sent)], cwd=tmp_path, check=True)
+
+
 def test_footer_types_are_those_spark_reports(spark, tmp_path):
     df = spark.sql(
         "SELECT true AS a, 1Y AS b, 1S AS c, 1 AS d, 1L AS e, 1.0F AS f, 1.0D AS g, 'x' AS h, "
