@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stratamart.functions.measures import COUNT_DIGITS, mean, nulls_in
 from stratamart.operators.conform import RESCUED
+from stratamart.operators.layout import stage
 from stratamart.operators.rules import REASONS
 
 # The columns whose absence matters, and the percentiles looked at.
@@ -24,7 +25,8 @@ CRITICAL_COLUMNS = (
 )
 POINTS = (0.5, 0.95, 0.99)
 
-# How finely exact percentiles cut up the values of a group before looking for ranks.
+# Exact percentiles: names of helper columns, and how finely values are cut up at a time.
+VALUE, ROWS, POINT = "_value", "_rows", "_point"
 BRANCH = 8
 SLICES = BRANCH * BRANCH
 
@@ -175,70 +177,95 @@ def exact_percentiles(
     column: str,
     by: str = "taxi_type",
     points: Sequence[float] = POINTS,
+    task_values: int = 1_000_000,
     max_groups: int = 10_000,
 ) -> DataFrame:
     """Range and exact percentiles: the smallest value with at least ``point`` of all rows at or
-    below it. Neither a sort of all rows nor a whole group in one task.
+    below it. Neither a sort of all rows nor a large group in one task.
 
     Equal values are counted together first, before and in the shuffle, so a hot group or value
-    is spread out. Sketched edges then cut each group's values into slices; the slices' exact
-    row counts tell which one holds each wanted rank, and only inside those are values summed up
-    in order. The edges decide where to look, never what is found.
+    is spread out; the counts are staged, as they are read several times. As long as a wanted
+    rank is sought among more than ``task_values`` different values, :func:`_narrowed` leaves the
+    one slice of them that holds it. The rest is summed up in order, one task per rank.
     """
-    value, rows = "_value", "_rows"
-    counted = (
+    counted = stage(
         df.filter(F.col(column).isNotNull())
-        .groupBy(by, F.col(column).alias(value))
-        .agg(F.count("*").alias(rows))
+        .groupBy(by, F.col(column).alias(VALUE))
+        .agg(F.count("*").alias(ROWS)),
+        "percentiles",
     )
-    cuts = [i / SLICES for i in range(1, SLICES)]
-    sketched = counted.groupBy(by).agg(F.percentile_approx(value, cuts, 1_000).alias("_edges"))
-    rows_of_edges = sketched.limit(max_groups + 1).collect()
-    few = len(rows_of_edges) <= max_groups
-    # Few groups: their edges go along as literal rows. Many: no group is large, so Spark joins
-    # the sketches by group, and no side is forced into a broadcast.
-    edges = sketched
-    if few:
-        edges = F.broadcast(df.sparkSession.createDataFrame(rows_of_edges, sketched.schema))
-    sliced = _sliced(counted.join(edges, by), value).select(by, value, rows, "_slice")
-
-    per_slice = sliced.groupBy(by, "_slice").agg(
-        F.sum(rows).alias("_held"), F.min(value).alias("_low"), F.max(value).alias("_high")
+    groups = counted.groupBy(by).agg(
+        F.sum(ROWS).alias("_total"),
+        F.count("*").alias("_values"),
+        F.min(VALUE).alias("_low"),
+        F.max(VALUE).alias("_high"),
     )
-    # At most SLICES rows per group from here on.
-    in_order = Window.partitionBy(by).orderBy("_slice")
-    whole = Window.partitionBy(by)
-    placed = per_slice.select(
-        by,
-        "_slice",
-        "_held",
-        (F.sum("_held").over(in_order) - F.col("_held")).alias("_before"),
-        F.sum("_held").over(whole).alias("_total"),
-        F.min("_low").over(whole).alias("_low"),
-        F.max("_high").over(whole).alias("_high"),
+    size = groups.agg(F.count("*"), F.coalesce(F.max("_values"), F.lit(0))).first()
+    # With few groups what is known about each is small, and goes to where the values are.
+    near = F.broadcast if size[0] <= max_groups else (lambda known: known)
+    ranks = F.array(*(F.ceil(F.lit(Decimal(str(p))) * F.col("_total")) for p in points))
+    wanted = groups.select(by, "_low", "_high", F.posexplode(ranks).alias(POINT, "_rank"))
+
+    if size[1] > task_values:
+        held = counted.join(near(wanted.select(by, POINT, "_rank")), by)
+        found, largest = _narrowed(held, [by, POINT], near), size[1]
+        while (left := _largest(found, [by, POINT])) > task_values and left < largest:
+            found, largest = _narrowed(found, [by, POINT], near), left
+    else:
+        found = counted.join(near(wanted.select(by, POINT, "_rank")), by)
+
+    in_order = Window.partitionBy(by, POINT).orderBy(VALUE)
+    reached = found.withColumn("_upto", F.sum(ROWS).over(in_order))
+    answers = reached.groupBy(by).agg(
+        *(
+            F.min(
+                F.when((F.col("_upto") >= F.col("_rank")) & (F.col(POINT) == i), F.col(VALUE))
+            ).alias(f"{point_name(p)}_{column}")
+            for i, p in enumerate(points)
+        )
     )
-    exact_points = [F.lit(Decimal(str(p))) for p in points]
-    wanted = placed.select(
-        "*", F.posexplode(F.array(*(F.ceil(p * F.col("_total")) for p in exact_points)))
-    ).withColumnsRenamed({"pos": "_point", "col": "_rank"})
-    wanted = wanted.filter(
-        (F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_held"))
-    ).select(by, "_slice", "_before", "_low", "_high", "_point", "_rank")
-    if few:
-        wanted = F.broadcast(wanted)
-
-    running = Window.partitionBy(by, "_slice", "_point").orderBy(value)
-    reached = sliced.join(wanted, [by, "_slice"]).withColumn(
-        "_upto", F.col("_before") + F.sum(rows).over(running)
+    return (
+        groups.join(near(answers), by)
+        .select(
+            by,
+            F.col("_low").alias(f"min_{column}"),
+            *(f"{point_name(p)}_{column}" for p in points),
+            F.col("_high").alias(f"max_{column}"),
+        )
+        .orderBy(by)
     )
-    hit = F.col("_upto") >= F.col("_rank")
-    named = [
-        F.min(F.when(hit & (F.col("_point") == i), F.col(value))).alias(f"{point_name(p)}_{column}")
-        for i, p in enumerate(points)
-    ]
-    return reached.groupBy(by).agg(
-        F.first("_low").alias(f"min_{column}"), *named, F.first("_high").alias(f"max_{column}")
-    ).orderBy(by)
+
+
+def _narrowed(
+    held: DataFrame, keys: Sequence[str], near: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Of the values among which each rank is sought, the slice that holds it, with the rank
+    counted from the start of the slice.
+
+    Sketched edges cut the values of each key into slices, and the slices' exact row counts tell
+    which one it is: the edges decide where to look, never what is found.
+    """
+    cuts = [i / SLICES for i in range(1, SLICES)]
+    edges = held.groupBy(*keys).agg(F.percentile_approx(VALUE, cuts, 1_000).alias("_edges"))
+    sliced = _sliced(held.join(near(edges), list(keys)), VALUE).drop("_edges", "_coarse")
+    counts = sliced.groupBy(*keys, "_slice", "_rank").agg(F.sum(ROWS).alias("_held"))
+    # At most SLICES rows per key in this window.
+    upto = F.sum("_held").over(Window.partitionBy(*keys).orderBy("_slice"))
+    placed = counts.withColumn("_before", upto - F.col("_held")).filter(
+        (F.col("_rank") > F.col("_before"))
+        & (F.col("_rank") <= F.col("_before") + F.col("_held"))
+    )
+    where = placed.select(*keys, "_slice", "_before")
+    inside = sliced.join(near(where), [*keys, "_slice"])
+    return stage(
+        inside.select(*keys, VALUE, ROWS, (F.col("_rank") - F.col("_before")).alias("_rank")),
+        "percentiles",
+    )
+
+
+def _largest(held: DataFrame, keys: Sequence[str]) -> int:
+    per_key = held.groupBy(*keys).agg(F.count("*").alias("_values"))
+    return per_key.agg(F.coalesce(F.max("_values"), F.lit(0))).first()[0]
 
 
 def _sliced(df: DataFrame, value: str) -> DataFrame:

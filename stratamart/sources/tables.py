@@ -34,18 +34,19 @@ class TableStore:
 
     def create(self, layer: str, contract: TableContract) -> None:
         """Make the table if it is missing, and bring its comments up to date."""
-        database = self.database(layer)
+        database, name = self.database(layer), self.table_name(layer, contract)
+        catalog = self.spark.catalog
+        if catalog.tableExists(name):
+            present = {c.name: c.description for c in catalog.listColumns(name)}
+            present[""] = catalog.getTable(name).description
+            contract.apply_comments(self.spark, database, present)
+            return
         self.make_folder(layer, contract)
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {quoted(f'{self.root}/{layer}')}"
         )
-        name, catalog = self.table_name(layer, contract), self.spark.catalog
-        if not catalog.tableExists(name):
-            self.spark.sql(contract.create_table(database, self.location(layer, contract)))
-            self.refresh(layer, contract)
-        present = {c.name: c.description for c in catalog.listColumns(name)}
-        present[""] = catalog.getTable(name).description
-        contract.apply_comments(self.spark, database, present)
+        self.spark.sql(contract.create_table(database, self.location(layer, contract)))
+        self.refresh(layer, contract)
 
     def make_folder(self, layer: str, contract: TableContract) -> None:
         schema = contract.stored_schema

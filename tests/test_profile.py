@@ -26,11 +26,27 @@ def test_exact_percentiles_against_a_sort(spark, shape):
         "single row": [("a", 1.0)],
     }[shape] + [("b", float(i)) for i in range(1, 101)] + [("b", None)]
     df = spark.createDataFrame(rows, "taxi_type string, x double")
-    out = profile.exact_percentiles(df, "x").collect()
-    assert [r.taxi_type for r in out] == ["a", "b"]
-    for row in out:
-        values = [v for t, v in rows if t == row.taxi_type and v is not None]
-        assert list(row)[1:] == [min(values), *brute(values), max(values)]
+    for task_values in (1_000_000, 20):
+        out = profile.exact_percentiles(df, "x", task_values=task_values).collect()
+        assert [r.taxi_type for r in out] == ["a", "b"]
+        for row in out:
+            values = [v for t, v in rows if t == row.taxi_type and v is not None]
+            assert list(row)[1:] == [min(values), *brute(values), max(values)]
+
+
+def test_exact_percentiles_narrow_until_a_task_can_hold_the_rest(spark, monkeypatch):
+    sizes, narrowed = [], profile._narrowed
+
+    def spy(held, keys, near):
+        found = narrowed(held, keys, near)
+        sizes.append(profile._largest(found, keys))
+        return found
+
+    monkeypatch.setattr(profile, "_narrowed", spy)
+    df = spark.range(200_000).select(F.lit("a").alias("taxi_type"), F.col("id").alias("x"))
+    row = profile.exact_percentiles(df, "x", task_values=100).first()
+    assert list(row) == ["a", 0, 99_999, 189_999, 197_999, 199_999]
+    assert len(sizes) == 2 and sizes[0] < 10_000 and sizes[1] <= 100 * 2
 
 
 def test_slices_count_the_edges_below(spark):
@@ -43,8 +59,11 @@ def test_slices_count_the_edges_below(spark):
 def test_exact_percentiles_without_a_broadcast(spark):
     rows = [(g, float(i)) for g in "abc" for i in range(50)]
     df = spark.createDataFrame(rows, "taxi_type string, x double")
-    out = profile.exact_percentiles(df, "x", max_groups=2).collect()
-    assert [tuple(r) for r in out] == [(g, 0.0, 24.0, 47.0, 49.0, 49.0) for g in "abc"]
+    for task_values in (100, 10):
+        out = profile.exact_percentiles(df, "x", task_values=task_values, max_groups=2).collect()
+        assert [tuple(r) for r in out] == [(g, 0.0, 24.0, 47.0, 49.0, 49.0) for g in "abc"]
+    empty = profile.exact_percentiles(df.limit(0), "x")
+    assert empty.isEmpty() and len(empty.columns) == 6
 
 
 def test_approx_percentiles_and_rounding(spark):
