@@ -166,7 +166,7 @@ LANDED = """landed AS (
       true AS nullable
     FROM landed CROSS JOIN columns)"""
 
-ORACLES: dict[str, str] = {
+EXPECTED: dict[str, str] = {
     "rules_split_summary": f"""WITH {TRIPS}, counted AS (
         SELECT taxi_type, count(*) AS rows_in, count(*) FILTER ({ALL_HOLD}) AS rows_clean,
           count(*) FILTER (NOT ({ALL_HOLD})) AS rows_quarantine
@@ -331,3 +331,41 @@ ORACLES: dict[str, str] = {
     "published_hourly_mart": f"WITH {FACT} {HOURLY}",
     "published_answer": Q2,
 }
+
+# Columns that are decimals above; results are compared with decimals as doubles.
+_AMOUNT, _SUM = ("total_amount",), ("total_amount_sum",)
+_ENDS = ("min_total_amount", "max_total_amount")
+_POINTS = (*_ENDS, "p50_total_amount", "p95_total_amount", "p99_total_amount")
+DECIMALS: dict[str, tuple[str, ...]] = {
+    "clean_trips": _AMOUNT,
+    "quarantine_samples": _AMOUNT,
+    "upsert_silver": _AMOUNT,
+    "upsert_stored": _AMOUNT,
+    "upsert_fact_union": _AMOUNT,
+    "fact_trip": _AMOUNT,
+    "null_samples": _AMOUNT,
+    "top_passengers": _AMOUNT,
+    "top_amounts": _AMOUNT,
+    "published_silver": _AMOUNT,
+    "published_fact": _AMOUNT,
+    "agg_hourly_daily": _SUM,
+    "agg_hourly_daily_lines": _SUM,
+    "agg_monthly": _SUM,
+    "agg_monthly_rollup": _SUM,
+    "published_hourly_mart": _SUM,
+    "published_monthly_mart": _SUM,
+    "fact_bounds": _ENDS,
+    "percentiles_amount": _POINTS,
+    "percentiles_line_price": _POINTS,
+    "rescue_recover": ("value",),
+}
+
+
+def _comparable(sql: str, decimals: tuple[str, ...]) -> str:
+    if not decimals:
+        return sql
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in decimals)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql}) AS expected"
+
+
+ORACLES = {name: _comparable(sql, DECIMALS.get(name, ())) for name, sql in EXPECTED.items()}

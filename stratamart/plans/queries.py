@@ -12,7 +12,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampType
+from pyspark.sql.types import DecimalType, StructType, TimestampType
 
 from stratamart.contracts import BRONZE_YELLOW, FACT_TRIP, SILVER, TableContract
 from stratamart.functions.keys import hashed_key, trip_key_of
@@ -46,19 +46,25 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    """Register a query under its name. Zoned timestamps leave as plain UTC ones, which is how
-    SQL engines without zones state them."""
+    """Register a query under its name, with its result in the form results are compared in."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return without_zones(function(pin_utc(spark), folder))
+        return comparable(function(pin_utc(spark), folder))
 
     QUERIES[function.__name__] = run
     return function
 
 
-def without_zones(df: DataFrame) -> DataFrame:
-    zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
+def comparable(df: DataFrame) -> DataFrame:
+    """Zoned timestamps as plain UTC ones and decimals as doubles: clients of other engines hand
+    these two over in different forms. The operators themselves keep the types of the contracts."""
+    plain = {TimestampType: "timestamp_ntz", DecimalType: "double"}
+    casts = {
+        f.name: F.col(f.name).cast(plain[type(f.dataType)])
+        for f in df.schema.fields
+        if type(f.dataType) in plain
+    }
+    return df.withColumns(casts) if casts else df
 
 
 # --- Shared inputs ---------------------------------------------------------------------------
