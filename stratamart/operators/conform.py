@@ -28,10 +28,13 @@ def recovered(column: str, dtype: DataType) -> Column:
     return F.coalesce(*found)
 
 
-def conform(df: DataFrame, contract: TableContract) -> DataFrame:
+def conform(df: DataFrame, contract: TableContract, recover: bool = True) -> DataFrame:
     """Contract columns in contract order and type. A missing column becomes a typed NULL, a
     column the contract does not know is left out, and a business column that is NULL is looked
-    up in the rescued payload. Names match in any case, as they do elsewhere in Spark."""
+    up in the rescued payload. Names match in any case, as they do elsewhere in Spark.
+
+    ``recover=False`` leaves the payload alone, for rows whose values have just been converted.
+    """
     actual = {c.lower(): c for c in df.columns}
     text = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
 
@@ -41,7 +44,7 @@ def conform(df: DataFrame, contract: TableContract) -> DataFrame:
             held = F.lit(None).cast(dtype)
         else:
             held = soft_cast(F.col(f"`{source}`"), dtype, from_text=source in text)
-        if name in PROVENANCE_COLUMNS or RESCUED not in actual:
+        if name in PROVENANCE_COLUMNS or RESCUED not in actual or not recover:
             return held.alias(name)
         return F.coalesce(held, recovered(name, dtype)).alias(name)
 

@@ -50,6 +50,8 @@ def rescue(raw: DataFrame, contract: TableContract) -> DataFrame:
     keep, aside = [], []
     for field in raw.schema.fields:
         found = F.col(f"`{field.name}`")
+        if field.name == RESCUED:
+            continue
         if field.name in PROVENANCE_COLUMNS:
             keep.append(found)
             continue
@@ -65,7 +67,17 @@ def rescue(raw: DataFrame, contract: TableContract) -> DataFrame:
         elif _narrows(field, wanted):
             lost = found.isNotNull() & typed.isNull()
             aside.append(F.when(lost, found).alias(field.name))
-    return raw.select(*keep, _payload(aside).alias(RESCUED))
+    payload = _payload(aside)
+    if RESCUED in raw.columns:  # set aside by an earlier step already
+        payload = F.coalesce(payload, F.col(RESCUED))
+    return raw.select(*keep, payload.alias(RESCUED))
+
+
+def landed_rows(raw: DataFrame, contract: TableContract, batch_id: str) -> DataFrame:
+    """Contract rows of a raw scan, with provenance. A payload is only searched for values if the
+    files came with one; what is set aside here has been converted as far as it can be."""
+    stamped = provenance(raw, batch_id)
+    return conform(rescue(stamped, contract), contract, recover=RESCUED in raw.columns)
 
 
 def _narrows(field: StructField, wanted: DataType) -> bool:
@@ -100,8 +112,7 @@ def read_landed(
     parts = []
     for paths in groups:
         raw = spark.read.option("mergeSchema", "false").parquet(*paths)
-        stamped = provenance(raw, batch_id)
-        parts.append(conform(rescue(stamped, contract), contract))
+        parts.append(landed_rows(raw, contract, batch_id))
     return reduce(DataFrame.unionByName, parts)
 
 

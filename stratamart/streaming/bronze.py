@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratamart.contracts import STREAM_BATCH, TableContract
-from stratamart.operators.conform import RESCUED, conform
-from stratamart.sources.drift import group_by_schema, provenance, read_landed, rescue
+from stratamart.operators.conform import RESCUED
+from stratamart.sources.drift import group_by_schema, landed_rows, read_landed
 from stratamart.sources.footers import FILE_SCHEMA
 
 FILES_PER_BATCH = 10_000
@@ -94,8 +94,7 @@ def ingest_uniform(
     """Like :func:`ingest_files` for files of one known schema: rows are streamed directly and
     no footer is looked at."""
     raw = parquet_stream(spark, landing, schema, files_per_batch)
-    stamped = provenance(raw, batch_id)
-    rows = conform(rescue(stamped, contract), contract)
+    rows = landed_rows(raw, contract, batch_id)
 
     def land(batch: DataFrame, stream_batch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{bronze}/{STREAM_BATCH}={stream_batch}")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratamart.contracts import BRONZE_YELLOW
+from stratamart.sources.drift import landed_rows
 from stratamart.sources.footers import list_files, read_footers
 from stratamart.streaming.bronze import (
     bronze_summary,
@@ -107,6 +108,21 @@ def test_files_of_other_writers(spark, places):
     assert {r._rescued_data for r in rows} == {None}
 
 
+def test_a_payload_from_upstream_is_used(spark, places):
+    columns = ["id AS VendorID", """concat('{"passenger_count":', id, '.0}') AS _rescued_data"""]
+    land(spark, places, "one", columns)
+    rows = ingest(spark, places)
+    assert rows.filter("passenger_count = VendorID").count() == 4
+    assert rows.filter("_rescued_data IS NULL").isEmpty()
+
+
+def test_fresh_rows_are_not_searched_for_json(spark, places):
+    land(spark, places, "one", WIDE)
+    raw = spark.read.parquet(f"{places['landing']}/one")
+    plan = landed_rows(raw, BRONZE_YELLOW, "b")._jdf.queryExecution().executedPlan().toString()
+    assert "get_json_object" not in plan
+
+
 def test_runs_are_cut_into_bounded_batches(spark, places):
     for i in range(5):
         land(spark, places, f"f{i}", WIDE)
