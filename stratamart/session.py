@@ -7,8 +7,27 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "stratamart", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the library's results depend on (UTC) or run best with."""
+# Shuffle data per reduce task: fits in memory beside a few others, and is worth a task.
+REDUCE_BYTES = 200 * 1024**2
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Reduce tasks for a shuffle of that size. AQE joins what turns out small, but it does not
+    cut up a plain shuffle, so the number to start from must suit the largest one."""
+    return max(200, -(-shuffled_bytes // REDUCE_BYTES))
+
+
+def build_session(
+    app: str = "stratamart",
+    master: str | None = None,
+    shuffled_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """A session with the settings the library's results depend on (UTC) or run best with.
+
+    ``shuffled_bytes`` is the expected size of the largest shuffle, about the key columns of what
+    a run merges; Spark's own 200 partitions are far too few for terabytes.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -20,6 +39,8 @@ def build_session(app: str = "stratamart", master: str | None = None, **conf: st
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
         **conf,
     }
+    if shuffled_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffled_bytes))
     for name, value in settings.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
