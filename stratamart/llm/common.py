@@ -16,7 +16,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 KEY_BITS = 52
 # Rows that one window partition sorts.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 4_000
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from stratamart.llm.chat import CONTROLS, END, TEXT, TURN
 from stratamart.llm.fixed import URL_RULES
 
 URL_FILTER = f"""
@@ -60,7 +63,63 @@ SELECT doc_id, size,
 FROM bytes, crc_table
 """
 
+# Control strings after their first character, as in chat.CONTROLS.
+TAILS = "|".join(re.escape(c[1:]) for c in CONTROLS)
+
+CHAT = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+),
+held AS (
+    SELECT *, length(regexp_replace(role, '([<\\[])(\\\\*)({TAILS})', '\\1\\\\\\2\\3', 'g'))
+        + length(regexp_replace(text, '([<\\[])(\\\\*)({TAILS})', '\\1\\\\\\2\\3', 'g'))
+        + {len(TURN + TEXT + END)} AS chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(chars)::BIGINT AS formatted_chars
+FROM held GROUP BY conv_id
+"""
+
+TOP_K = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+WARC = """
+WITH rows AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+),
+kept AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000
+        THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS last
+    FROM rows
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id < last THEN last END AS refers_to
+FROM kept
+"""
+
 ORACLES = {
+    "op5_chat_format": CHAT,
+    "op6_exact_topk": TOP_K,
+    "op8_warc": WARC,
     "op7_sharding": SHARDING,
     "op10_url_filter": URL_FILTER,
 }

@@ -4,10 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import mixing, sharding, urls
-from stratamart.llm.common import table
+from stratamart.llm import chat, mixing, sharding, topk, urls, warc
+from stratamart.llm.common import stage, table
 from stratamart.llm.fixed import URL_RULES
 
+# A conversation whose texts are made of another template's control strings.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op5_chat_format(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(
+        [(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string"
+    )
+    formatted = stage(chat.format_conversations(turns.unionByName(probe)), "chat")
+    return chat.read_back(formatted).drop("n_tokens")
+
+
+def op6_exact_topk(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector")
+    )
+    rows = rows.filter(topk.usable(F.col("vector"))).withColumn("vector", topk.whole(F.col("vector")))
+    return topk.search(rows.filter("id % 20 = 0"), rows)
+
+
 def op7_sharding(spark, sf_dir):
     text = F.coalesce(F.col("text"), F.lit(""))
     narrow = table(spark, sf_dir, "documents").select(
@@ -28,6 +49,10 @@ def op7_sharding(spark, sf_dir):
     )
 
 
+def op8_warc(spark, sf_dir):
+    return warc.resolved(warc.write_archives(table(spark, sf_dir, "pages")))
+
+
 def op9_mixing(spark, sf_dir):
     mixture = mixing.mix(table(spark, sf_dir, "documents"))
     sources = spark.createDataFrame(
@@ -51,5 +76,5 @@ def op10_url_filter(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op7_sharding, op9_mixing, op10_url_filter)
+    for f in (op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter)
 }

@@ -32,7 +32,7 @@ def interleave(
     ``shard`` or ``slot`` are replaced.
 
     Both ranks are exact without any task seeing a whole source: the shuffle keys are even, so ranges
-    of them cut the largest source into slices of some 20,000 rows; a slice's offset comes from counts.
+    of them cut the largest source into slices of some 4,000 rows; a slice's offset comes from counts.
     """
     rows = df.count()
     slices = slices_for(rows)
