@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import chat, mixing, sharding, topk, urls, warc
+from stratamart.llm import chat, langid, mixing, sharding, topk, urls, warc
 from stratamart.llm.common import stage, table
 from stratamart.llm.fixed import URL_RULES
 
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out()))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "bits"
+    )
+
+
 # A conversation whose texts are made of another template's control strings.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -76,5 +84,5 @@ def op10_url_filter(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter)
+    for f in (op1_language_id, op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter)
 }
