@@ -116,7 +116,37 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM kept
 """
 
+NGRAM_JACCARD = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+    FROM words
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, p.n, q.n
+    HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))
+),
+reach(x, y) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(y) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach ON reach.x = d.doc_id
+GROUP BY d.doc_id, n
+"""
+
 ORACLES = {
+    "op2_ngram_jaccard": NGRAM_JACCARD,
     "op5_chat_format": CHAT,
     "op6_exact_topk": TOP_K,
     "op8_warc": WARC,
