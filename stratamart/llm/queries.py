@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import chat, langid, mixing, ngrams, sharding, topk, urls, warc
+from stratamart.llm import chat, decontaminate, langid, mixing, ngrams, sharding, topk, urls, warc
 from stratamart.llm.common import stage, table
 from stratamart.llm.fixed import URL_RULES
 
@@ -20,6 +20,11 @@ def op2_ngram_jaccard(spark, sf_dir):
     return ngrams.near_groups(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op3_decontamination(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.passages(docs, items).drop("mark")
+
+
 # A conversation whose texts are made of another template's control strings.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -88,5 +93,5 @@ def op10_url_filter(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_ngram_jaccard, op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter)
+    for f in (op1_language_id, op2_ngram_jaccard, op3_decontamination, op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter)
 }
