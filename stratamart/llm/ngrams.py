@@ -393,3 +393,16 @@ def arrays_of(slim: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         wanted = F.broadcast(wanted)
     held = slim.join(wanted, "id", "left_semi")
     return stage(held.mapInPandas(emit_arrays(n), "id long, array binary"), "ngram-arrays")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = N, percent: int = PERCENT) -> DataFrame:
+    """The row with the smallest ``key`` of every group; one row of those that repeat a key. Rows with a
+    null key are kept. Only keys are joined; rows are not gathered by group."""
+    groups = stage(near_groups(docs, text, key, n, percent), "ngram-groups")
+    surplus = stage(groups.filter("id <> component_id").select("id").distinct(), "ngram-surplus")
+    repeated = stage(groups.filter("id is not null").groupBy("id").count().filter("count > 1").select("id"), "ngram-repeated")
+    kept = docs.join(surplus, docs[key] == surplus["id"], "left_anti")
+    if not repeated.head(1):
+        return kept
+    again = kept.join(repeated, kept[key] == repeated["id"], "left_semi").dropDuplicates([key])
+    return kept.join(repeated, kept[key] == repeated["id"], "left_anti").unionByName(again)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import chat, decontaminate, langid, mixing, ngrams, sharding, topk, urls, warc
+from stratamart.llm import chat, decontaminate, langid, mixing, ngrams, secrets, sharding, topk, urls, warc
 from stratamart.llm.common import stage, table
 from stratamart.llm.fixed import URL_RULES
 
@@ -25,6 +25,11 @@ def op3_decontamination(spark, sf_dir):
     return decontaminate.passages(docs, items).drop("mark")
 
 
+def op4_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(docs, path="source"), path="source")
+
+
 # A conversation whose texts are made of another template's control strings.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -93,5 +98,5 @@ def op10_url_filter(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_ngram_jaccard, op3_decontamination, op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter)
+    for f in (op1_language_id, op2_ngram_jaccard, op3_decontamination, op4_secret_scan, op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter)
 }
