@@ -164,7 +164,7 @@ _METER = (
 
 # Every stream batch owns one folder, so replaying a batch replaces exactly what it wrote.
 STREAM_BATCH = "_stream_batch"
-_BY_STREAM_BATCH = {STREAM_BATCH: ("long", STREAM_BATCH)}
+_BY_STREAM_BATCH = {STREAM_BATCH: ("string", STREAM_BATCH)}
 
 BRONZE_YELLOW = TableContract(
     "yellow_trips",
@@ -302,15 +302,3 @@ AGG_MONTHLY_TAXI = TableContract(
     comment="Trips by month and source",
     key=("month_key", "taxi_type"),
 )
-
-CONTRACTS = {
-    "yellow_bronze": BRONZE_YELLOW,
-    "green_bronze": BRONZE_GREEN,
-    "trip_silver": SILVER,
-    "trip_silver_quarantine": QUARANTINE,
-    "dim_date": DIM_DATE,
-    "dim_vendor": DIM_VENDOR,
-    "fact_trip": FACT_TRIP,
-    "agg_trip_hourly_daily": AGG_HOURLY_DAILY,
-    "agg_trip_monthly_taxi": AGG_MONTHLY_TAXI,
-}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +36,11 @@ TRIP_KEY_COLUMNS = (
 def hashed_key(parts: Iterable[Column]) -> Column:
     """SHA-256, in hex, of the parts written as text. ``concat_ws`` would skip a NULL part and
     let neighbours move up, so a NULL is spelled out."""
-    texts = [F.coalesce(p.cast("string"), F.lit(ABSENT)) for p in parts]
-    return F.sha2(F.concat_ws(SEPARATOR, *texts), 256)
+    return F.sha2(F.concat_ws(SEPARATOR, *map(text_of, parts)), 256)
+
+
+def text_of(part: Column) -> Column:
+    return F.coalesce(part.cast("string"), F.lit(ABSENT))
 
 
 def trip_key(source: str, extra: Iterable[str] = ()) -> Column:
@@ -45,8 +48,13 @@ def trip_key(source: str, extra: Iterable[str] = ()) -> Column:
     return hashed_key([F.lit(source), *(F.col(c) for c in (*TRIP_KEY_COLUMNS, *extra))])
 
 
-def trip_key_of(df: DataFrame, source: Column, extra: Iterable[str] = ()) -> Column:
-    """Like :func:`trip_key` for a frame that lacks some of the columns: they count as NULL."""
+def trip_key_of(df: DataFrame, source: str, extra: Mapping[str, Sequence[str]]) -> Column:
+    """Like :func:`trip_key` for rows of several sources, named in the column ``source``. ``extra``
+    has the columns that only trips of one source are told apart by; columns the frame lacks count
+    as NULL."""
     held = {c.lower() for c in df.columns}
-    wanted = (*TRIP_KEY_COLUMNS, *extra)
-    return hashed_key([source, *(F.col(c) if c.lower() in held else F.lit(None) for c in wanted)])
+    part = lambda c: text_of(F.col(c) if c.lower() in held else F.lit(None))
+    texts = [text_of(F.col(source)), *map(part, TRIP_KEY_COLUMNS)]
+    # Other sources have no such part at all: concat_ws leaves out what is NULL.
+    texts += [F.when(F.col(source) == name, part(c)) for name, own in extra.items() for c in own]
+    return F.sha2(F.concat_ws(SEPARATOR, *texts), 256)

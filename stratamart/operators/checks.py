@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -22,14 +23,6 @@ def top_duplicate_keys(df: DataFrame, key: str, sample: int = 10) -> DataFrame:
     return duplicate_keys(df, key).orderBy(F.desc("count"), F.asc(key)).limit(sample)
 
 
-def require_unique(df: DataFrame, key: str, sample: int = 10) -> dict[str, object]:
-    """Refuse a merge source that holds a key twice."""
-    found = duplicate_keys(df, key).count()
-    if found:
-        raise ValueError(duplicates_message(df, key, found, sample))
-    return {"duplicate_key_count": 0, "sample": []}
-
-
 def duplicates_message(df: DataFrame, key: str, found: int, sample: int = 10) -> str:
     worst = ", ".join(f"{r[0]} ({r[1]} rows)" for r in top_duplicate_keys(df, key, sample).collect())
     return (
@@ -46,6 +39,13 @@ def keep_one(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return best.select(*key, "_best.*").select(*df.columns)
 
 
+def latest_copy(df: DataFrame, stamp: str) -> DataFrame:
+    """One row of those that agree in everything but ``stamp``, the latest: an answer to copies where
+    all columns follow from the key. A plain hash aggregate, which sorts nothing."""
+    rest = [c for c in df.columns if c != stamp]
+    return df.groupBy(*rest).agg(F.max(stamp).alias(stamp)).select(*df.columns)
+
+
 def constraint_violations(df: DataFrame, contract: TableContract) -> DataFrame:
     """``(check_name, violations)`` for every NOT NULL column and check of the contract."""
     tests = _tests(contract)
@@ -106,10 +106,7 @@ def require_sound(source: DataFrame, contract: TableContract, report: SourceRepo
 
 
 def orphans(rows: DataFrame, column: str, dimension: DataFrame, key: str) -> DataFrame:
-    """Rows without a partner in a dimension; a NULL key has none.
-
-    ``dimension`` may be hinted with :func:`stratamart.operators.joins.broadcast_if_small`.
-    """
+    """Rows without a partner in a dimension; a NULL key has none."""
     keys = dimension.select(F.col(key).alias("_key"))
     return rows.join(keys, F.col(column) == F.col("_key"), "left_anti")
 
@@ -117,21 +114,20 @@ def orphans(rows: DataFrame, column: str, dimension: DataFrame, key: str) -> Dat
 def orphan_counts(rows: DataFrame, links: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """One row: ``rows`` and ``orphans_<column>`` for each ``column -> (dimension, key)``.
 
-    Rows are first counted per combination of link values, which combines before the shuffle;
-    only those few counted combinations meet the dimensions, whatever their size.
+    Each link is counted for itself: rows per key value combine before the shuffle to the size of the
+    dimension, and only those counts meet it. A scan per link reads that one column.
     """
-    counted = rows.groupBy(*links).agg(F.count("*").alias("_n"))
+    parts = []
     for column, (dimension, key) in links.items():
-        known = dimension.select(F.col(key).alias(f"_{column}")).distinct()
-        counted = counted.join(known, F.col(column) == F.col(f"_{column}"), "left")
-    return counted.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-        *(
-            F.coalesce(F.sum(F.when(F.col(f"_{c}").isNull(), F.col("_n"))), F.lit(0)).alias(
-                f"orphans_{c}"
-            )
-            for c in links
-        ),
+        counted = rows.groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("_n"))
+        known = dimension.select(F.col(key).alias("_known")).distinct()
+        met = counted.join(known, F.col("_key") == F.col("_known"), "left")
+        lost = F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0))
+        total = F.coalesce(F.sum("_n"), F.lit(0))
+        parts.append(met.agg(F.lit(column).alias("_link"), total.alias("_rows"), lost.alias("_lost")))
+    return reduce(DataFrame.unionByName, parts).agg(
+        F.max("_rows").alias("rows"),
+        *(F.max(F.when(F.col("_link") == c, F.col("_lost"))).alias(f"orphans_{c}") for c in links),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.contracts import DIM_VENDOR
+from stratamart.contracts import DIM_VENDOR, quoted
 from stratamart.functions.calendar import day_number
 from stratamart.settings import StudyRange
 
@@ -47,4 +47,6 @@ def study_calendar(spark: SparkSession, study: StudyRange) -> DataFrame:
 
 
 def vendors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(VENDORS, DIM_VENDOR.schema)
+    rows = ", ".join(f"({i}, {quoted(name)}, {quoted(short)})" for i, name, short in VENDORS)
+    names = ", ".join(DIM_VENDOR.columns)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS known({names})")

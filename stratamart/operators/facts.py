@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.contracts import FACT_TRIP
@@ -14,9 +14,9 @@ from stratamart.operators.rules import within
 from stratamart.settings import StudyRange
 
 
-def fact_rows(silver: DataFrame, source: str, study: StudyRange) -> DataFrame:
-    """One source's trips of the period. The source name is a literal, so a later filter on it
-    drops the other sources from a union altogether."""
+def fact_rows(silver: DataFrame, source: str | Column, study: StudyRange) -> DataFrame:
+    """Trips of the period. The name of a single source is a literal, so a later filter on it drops
+    the other sources from a union altogether; rows of several sources come with a column."""
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
     return (
         silver.filter(within("pickup_datetime", study))

@@ -48,8 +48,9 @@ def replace_folders(
 
 
 def append_rows(df: DataFrame, contract: TableContract, location: str) -> None:
+    whole = with_folders(df, contract).select(*contract.stored_schema.fieldNames())
     (
-        laid_out(df.select(*contract.stored_schema.fieldNames()), contract)
+        laid_out(whole, contract)
         .write.mode("append")
         .partitionBy(*contract.partition_by)
         .parquet(location)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
 
@@ -25,11 +25,10 @@ CRITICAL_COLUMNS = (
 )
 POINTS = (0.5, 0.95, 0.99)
 
-# Exact percentiles: names of helper columns, and how finely values are cut up at a time.
+# Exact percentiles: names of helper columns.
 VALUE, ROWS, POINT = "_value", "_rows", "_point"
-BRANCH = 8
-SLICES = BRANCH * BRANCH
 
+# The columns both sources have in common.
 BRONZE_UNION_COLUMNS = (
     "VendorID",
     "passenger_count",
@@ -177,110 +176,69 @@ def exact_percentiles(
     column: str,
     by: str = "taxi_type",
     points: Sequence[float] = POINTS,
-    task_values: int = 1_000_000,
-    max_groups: int = 10_000,
+    accuracy: int = 10_000,
 ) -> DataFrame:
     """Range and exact percentiles: the smallest value with at least ``point`` of all rows at or
     below it. Neither a sort of all rows nor a large group in one task.
 
-    Equal values are counted together first, before and in the shuffle, so a hot group or value
-    is spread out; the counts are staged, as they are read several times. As long as a wanted
-    rank is sought among more than ``task_values`` different values, :func:`_narrowed` leaves the
-    one slice of them that holds it. The rest is summed up in order, one task per rank.
+    One pass sketches a bracket around each wanted rank: the sketch is off by rows / accuracy ranks at
+    most, so ranks twice as far on either side enclose it. Two more passes count the rows below each
+    bracket and the values inside, some 4 / accuracy of the rows; only these are put in order.
     """
-    counted = stage(
-        df.filter(F.col(column).isNotNull())
-        .groupBy(by, F.col(column).alias(VALUE))
-        .agg(F.count("*").alias(ROWS)),
-        "percentiles",
-    )
-    groups = counted.groupBy(by).agg(
-        F.sum(ROWS).alias("_total"),
-        F.count("*").alias("_values"),
+    rows = df.filter(F.col(column).isNotNull()).select(by, F.col(column).alias(VALUE))
+    margin = 2 / accuracy
+    ends = [min(1.0, max(0.0, p + side)) for p in points for side in (-margin, margin)]
+    found = rows.groupBy(by).agg(
+        F.count("*").alias("_total"),
         F.min(VALUE).alias("_low"),
         F.max(VALUE).alias("_high"),
+        F.percentile_approx(VALUE, ends, accuracy).alias("_ends"),
     )
-    size = groups.agg(F.count("*"), F.coalesce(F.max("_values"), F.lit(0))).first()
-    # With few groups what is known about each is small, and goes to where the values are.
-    near = F.broadcast if size[0] <= max_groups else (lambda known: known)
-    ranks = F.array(*(F.ceil(F.lit(Decimal(str(p))) * F.col("_total")) for p in points))
-    wanted = groups.select(by, "_low", "_high", F.posexplode(ranks).alias(POINT, "_rank"))
-
-    if size[1] > task_values:
-        held = counted.join(near(wanted.select(by, POINT, "_rank")), by)
-        found, largest = _narrowed(held, [by, POINT], near), size[1]
-        while (left := _largest(found, [by, POINT])) > task_values and left < largest:
-            found, largest = _narrowed(found, [by, POINT], near), left
-    else:
-        found = counted.join(near(wanted.select(by, POINT, "_rank")), by)
-
-    in_order = Window.partitionBy(by, POINT).orderBy(VALUE)
-    reached = found.withColumn("_upto", F.sum(ROWS).over(in_order))
-    answers = reached.groupBy(by).agg(
-        *(
-            F.min(
-                F.when((F.col("_upto") >= F.col("_rank")) & (F.col(POINT) == i), F.col(VALUE))
-            ).alias(f"{point_name(p)}_{column}")
-            for i, p in enumerate(points)
-        )
+    brackets = stage(
+        found.select(
+            F.col(by).alias("_by"),
+            "_total",
+            "_low",
+            "_high",
+            *(F.col("_ends")[2 * i].alias(f"_from{i}") for i in range(len(points))),
+            *(F.col("_ends")[2 * i + 1].alias(f"_upto{i}") for i in range(len(points))),
+        ),
+        "percentiles",
     )
-    return (
-        groups.join(near(answers), by)
-        .select(
-            by,
-            F.col("_low").alias(f"min_{column}"),
-            *(f"{point_name(p)}_{column}" for p in points),
-            F.col("_high").alias(f"max_{column}"),
-        )
-        .orderBy(by)
+    near = rows.join(brackets, F.col(by).eqNullSafe(F.col("_by")))
+    below = near.groupBy("_by").agg(
+        *(F.count_if(F.col(VALUE) < F.col(f"_from{i}")).alias(f"_below{i}") for i in range(len(points)))
     )
-
-
-def _narrowed(
-    held: DataFrame, keys: Sequence[str], near: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Of the values among which each rank is sought, the slice that holds it, with the rank
-    counted from the start of the slice.
-
-    Sketched edges cut the values of each key into slices, and the slices' exact row counts tell
-    which one it is: the edges decide where to look, never what is found.
-    """
-    cuts = [i / SLICES for i in range(1, SLICES)]
-    edges = held.groupBy(*keys).agg(F.percentile_approx(VALUE, cuts, 1_000).alias("_edges"))
-    sliced = _sliced(held.join(near(edges), list(keys)), VALUE).drop("_edges", "_coarse")
-    counts = sliced.groupBy(*keys, "_slice", "_rank").agg(F.sum(ROWS).alias("_held"))
-    # At most SLICES rows per key in this window.
-    upto = F.sum("_held").over(Window.partitionBy(*keys).orderBy("_slice"))
-    placed = counts.withColumn("_before", upto - F.col("_held")).filter(
-        (F.col("_rank") > F.col("_before"))
-        & (F.col("_rank") <= F.col("_before") + F.col("_held"))
+    inside = [
+        F.when((F.col(VALUE) >= F.col(f"_from{i}")) & (F.col(VALUE) <= F.col(f"_upto{i}")), F.lit(i))
+        for i in range(len(points))
+    ]
+    held = (
+        near.filter(reduce(Column.__or__, (i.isNotNull() for i in inside)))
+        .select("_by", VALUE, F.explode(F.array_compact(F.array(*inside))).alias(POINT))
+        .groupBy("_by", POINT, VALUE)
+        .agg(F.count("*").alias(ROWS))
     )
-    where = placed.select(*keys, "_slice", "_before")
-    inside = sliced.join(near(where), [*keys, "_slice"])
-    return stage(
-        inside.select(*keys, VALUE, ROWS, (F.col("_rank") - F.col("_before")).alias("_rank")),
-        "percentiles",
+    in_order = Window.partitionBy("_by", POINT).orderBy(VALUE)
+    reached = held.withColumn("_upto", F.sum(ROWS).over(in_order)).alias("h")
+    known = brackets.join(below.withColumnRenamed("_by", "_own"), F.col("_by").eqNullSafe(F.col("_own"))).alias("b")
+    answers = reached.join(known, F.col("h._by").eqNullSafe(F.col("b._by"))).groupBy(
+        F.col("b._by").alias(by), "_low", "_high"
     )
-
-
-def _largest(held: DataFrame, keys: Sequence[str]) -> int:
-    per_key = held.groupBy(*keys).agg(F.count("*").alias("_values"))
-    return per_key.agg(F.coalesce(F.max("_values"), F.lit(0))).first()[0]
-
-
-def _sliced(df: DataFrame, value: str) -> DataFrame:
-    """``_slice``: how many of the sorted ``_edges`` lie below the value. Looked up in two steps,
-    every BRANCHth edge first, which takes few comparisons and stays in generated code."""
-
-    def below(positions: Sequence[Column]) -> Column:
-        tests = [(F.col("_edges")[at] < F.col(value)).cast("int") for at in positions]
-        return reduce(Column.__add__, tests)
-
-    # Never NULL, and said so: else a join on it would test the whole expression for NULL first.
-    coarse = F.coalesce(below([F.lit(BRANCH * i - 1) for i in range(1, BRANCH)]), F.lit(0))
-    first = F.col("_coarse") * BRANCH
-    fine = F.coalesce(below([first + i for i in range(BRANCH - 1)]), F.lit(0))
-    return df.withColumn("_coarse", coarse).withColumn("_slice", F.coalesce(first + fine, F.lit(0)))
+    wanted = [F.ceil(F.lit(Decimal(str(p))) * F.col("_total")) - F.col(f"_below{i}") for i, p in enumerate(points)]
+    return answers.agg(
+        *(
+            F.min(F.when((F.col(POINT) == i) & (F.col("_upto") >= wanted[i]), F.col(VALUE))).alias(
+                f"{point_name(p)}_{column}"
+            )
+            for i, p in enumerate(points)
+        )
+    ).select(
+        by,
+        F.col("_low").alias(f"min_{column}"),
+        *(f"{point_name(p)}_{column}" for p in points),
+        F.col("_high").alias(f"max_{column}"),
+    ).orderBy(by)
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], limit: int = 25) -> DataFrame:

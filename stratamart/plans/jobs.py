@@ -3,7 +3,7 @@ each can be run, repeated and scheduled on its own."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
@@ -23,7 +23,7 @@ from stratamart.contracts import (
 from stratamart.operators import dims, facts, marts
 from stratamart.operators.checks import (
     duplicate_keys,
-    keep_one,
+    latest_copy,
     require_links,
     require_rows,
 )
@@ -37,10 +37,11 @@ from stratamart.operators.standardize import (
     standardize,
 )
 from stratamart.operators.upsert import in_folders, upsert
+from stratamart.plans.progress import Progress
 from stratamart.session import pin_utc
 from stratamart.settings import SOURCES, STUDY, SourceSpec, StudyRange
 from stratamart.sources.tables import TableStore
-from stratamart.streaming.bronze import bronze_summary, ingest_files, new_batch_id
+from stratamart.streaming.bronze import ingest_files, new_batch_id, rescued_examples
 
 CLEAN = "_clean"
 
@@ -57,6 +58,10 @@ class Lake:
     def spark(self) -> SparkSession:
         return self.store.spark
 
+    @property
+    def progress(self) -> Progress:
+        return Progress(self.spark, self.store.root)
+
     def checkpoint(self, spec: SourceSpec) -> str:
         return f"{self.store.root}/_checkpoints/{spec.name}_bronze"
 
@@ -64,11 +69,11 @@ class Lake:
 def land_to_bronze(
     lake: Lake, spec: SourceSpec, landing: str, batch_id: str | None = None, **limits: int
 ) -> dict[str, object]:
-    """New files below ``landing`` to Bronze rows with provenance."""
+    """New files below ``landing`` to Bronze rows with provenance; counts are those of the new rows."""
     pin_utc(lake.spark)
     store, batch_id = lake.store, batch_id or new_batch_id()
     store.create("bronze", spec.bronze)
-    written = ingest_files(
+    landed = ingest_files(
         lake.spark,
         landing,
         store.location("bronze", spec.bronze),
@@ -78,14 +83,29 @@ def land_to_bronze(
         **limits,
     )
     store.refresh("bronze", spec.bronze)
-    summary = bronze_summary(store.read("bronze", spec.bronze))
-    return {"batch_id": batch_id, "stream_batches": written, **summary}
+    new = store.read("bronze", spec.bronze).filter(F.col(STREAM_BATCH).isin(landed.folders))
+    return {
+        "batch_id": batch_id,
+        "stream_batches": landed.folders,
+        "rows": landed.rows,
+        "rescued_rows": landed.rescued_rows,
+        "rescued_examples": rescued_examples(new).collect() if landed.rescued_rows else [],
+    }
+
+
+def due_batches(lake: Lake, spec: SourceSpec) -> list[str]:
+    """Bronze folders that no run has judged yet, by their names in the catalog: no file is read."""
+    lake.store.create("bronze", spec.bronze)
+    lake.store.refresh("bronze", spec.bronze)
+    held = lake.spark.sql(f"SHOW PARTITIONS {lake.store.table_name('bronze', spec.bronze)}").collect()
+    judged = lake.progress.latest(f"judged {spec.name}")
+    return sorted(name for r in held if (name := r[0].partition("=")[2]) not in judged)
 
 
 def bronze_to_silver(
     lake: Lake,
     spec: SourceSpec,
-    stream_batches: Sequence[int] | None = None,
+    stream_batches: Sequence[str] | None = None,
     copies: str = "error",
     quarantine: str = "replace",
 ) -> dict[str, object]:
@@ -103,6 +123,7 @@ def bronze_to_silver(
     store.create("silver", spec.quarantine)
 
     pin_utc(lake.spark)
+    batches = due_batches(lake, spec) if stream_batches is None else stream_batches
     bronze = store.read("bronze", spec.bronze)
     if stream_batches is not None:
         bronze = bronze.filter(F.col(STREAM_BATCH).isin(list(stream_batches)))
@@ -123,7 +144,7 @@ def bronze_to_silver(
 
     clean = silver_columns(staged.filter(F.col(CLEAN)), spec)
     if copies == "keep_one":
-        clean = keep_one(clean, spec.silver.key)
+        clean = latest_copy(clean, "_ingestion_ts")
     report = upsert(store, "silver", spec.silver, clean)
 
     rejected = staged.filter(~F.col(CLEAN)).withColumn("_quarantined_at", F.current_timestamp())
@@ -134,9 +155,11 @@ def bronze_to_silver(
     elif stream_batches is None:
         # All rows were judged anew: what was set aside before and is not now must go.
         publish_quarantine(store, spec, rejected, partial(replace_folders, only="static"))
-    elif rows_quarantine:
-        publish_quarantine(store, spec, rejected, replace_folders)
+    else:
+        judged_anew(store, spec, rejected, stream_batches)
 
+    lake.progress.note(f"silver {spec.name}", report.folders)
+    lake.progress.note(f"judged {spec.name}", batches)
     return {
         "rows_in": rows_in,
         "rows_clean": rows_clean,
@@ -147,6 +170,22 @@ def bronze_to_silver(
     }
 
 
+def judged_anew(
+    store: TableStore, spec: SourceSpec, rejected: DataFrame, stream_batches: Sequence[str]
+) -> None:
+    """Replace what was set aside of the given Bronze batches, also by nothing."""
+    left = {r[0] for r in rejected.select(STREAM_BATCH).distinct().collect()}
+    none = quarantine_columns(rejected.limit(0), spec)
+    for batch in stream_batches:
+        if batch not in left:
+            folder = f"{store.location('silver', spec.quarantine)}/{STREAM_BATCH}={batch}"
+            none.write.mode("overwrite").parquet(folder)
+    if left:
+        publish_quarantine(store, spec, rejected, replace_folders)
+    else:
+        store.refresh("silver", spec.quarantine)
+
+
 def publish_quarantine(
     store: TableStore, spec: SourceSpec, rejected: DataFrame, write: Callable[..., None]
 ) -> None:
@@ -157,12 +196,12 @@ def publish_quarantine(
 
 def verify_silver(store: TableStore, spec: SourceSpec, folders: Sequence) -> dict[str, int]:
     """After the write: no key twice. A key can only be in one folder, so the folders just
-    written are all that need a look."""
+    written are all that need a look; ``rows`` are the rows there."""
     written = store.read("silver", spec.silver).filter(in_folders(folders))
     twice = duplicate_keys(written, spec.silver.key[0]).count()
     if twice:
         raise ValueError(f"{twice} duplicated {spec.silver.key[0]} values in {spec.silver.name}")
-    return {"rows": store.read("silver", spec.silver).count(), "duplicated_keys": twice}
+    return {"rows": written.count(), "duplicated_keys": twice}
 
 
 def publish_dimensions(lake: Lake) -> dict[str, int]:
@@ -180,7 +219,8 @@ def publish_dimensions(lake: Lake) -> dict[str, int]:
 def publish_fact(lake: Lake, folders: Sequence | None = None) -> dict[str, int]:
     """Silver trips of all sources to the fact. Uniqueness, checks and references to dimensions
     are verified on the source, before anything is written. ``folders`` restricts the run to
-    pickup days, as :func:`bronze_to_silver` reports them."""
+    pickup days, as :func:`bronze_to_silver` reports them; ``rows`` are the rows of the fact
+    folders written."""
     store = lake.store
     store.require(("silver", spec.silver) for spec in lake.sources)
     store.create("gold", FACT_TRIP)
@@ -197,7 +237,7 @@ def publish_fact(lake: Lake, folders: Sequence | None = None) -> dict[str, int]:
     }
     checked = require_links(rows, links)
     report = upsert(store, "gold", FACT_TRIP, rows)
-    held = store.read("gold", FACT_TRIP).count()
+    held = store.read("gold", FACT_TRIP).filter(in_folders(report.folders)).count()
     return {
         **checked,
         "rows_for_merge": checked["rows"],
@@ -236,13 +276,19 @@ def publish_marts(lake: Lake, folders: Sequence | None = None) -> dict[str, int]
     return counts
 
 
-def run_all(lake: Lake, landings: dict[str, str]) -> dict[str, object]:
+def run_all(lake: Lake, landings: Mapping[str, str], everything: bool = False) -> dict[str, object]:
     """All jobs on each source's landing folder: the sources side by side up to Silver, then the
-    shared tables. Files are ingested once; everything after that covers all rows."""
+    shared tables.
+
+    Each job takes what the one before has written and it has not yet taken over: new files, new Bronze
+    batches, touched days. That is noted only once it is done, so a run that broke off is made up for
+    by the next. ``everything`` judges all of Bronze anew and rebuilds what follows from it, as a
+    changed period asks for.
+    """
 
     def up_to_silver(spec: SourceSpec) -> dict[str, object]:
         landed = land_to_bronze(lake, spec, landings[spec.name])
-        judged = bronze_to_silver(lake, spec)
+        judged = bronze_to_silver(lake, spec, None if everything else due_batches(lake, spec))
         return {f"bronze_{spec.name}": landed, f"silver_{spec.name}": judged}
 
     results: dict[str, object] = {}
@@ -250,6 +296,12 @@ def run_all(lake: Lake, landings: dict[str, str]) -> dict[str, object]:
         for done in pool.map(up_to_silver, lake.sources):
             results |= done
     results["dimensions"] = publish_dimensions(lake)
-    results["fact"] = publish_fact(lake)
-    results["marts"] = publish_marts(lake)
+    progress = lake.progress
+    due = {spec.name: progress.due(f"silver {spec.name}", f"published {spec.name}") for spec in lake.sources}
+    days = list({str(r): r for rows in due.values() for r in rows}.values())
+    if everything or days:
+        results["fact"] = publish_fact(lake, None if everything else days)
+        results["marts"] = publish_marts(lake, None if everything else results["fact"]["folders"])
+    for name, rows in due.items():
+        progress.note(f"published {name}", rows)
     return results

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from stratamart.contracts import FACT_TRIP
+
 TRIPS = """
 t AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
 trips AS (
@@ -18,11 +20,14 @@ trips AS (
     CAST(CASE WHEN user_id % 50 = 49 THEN NULL ELSE user_id + 1 END AS INTEGER) AS PULocationID,
     CASE WHEN k % 33 = 32 THEN NULL ELSE k + 1 END AS DOLocationID,
     CASE WHEN event_type = 'signup' THEN NULL ELSE k % 4 + 1 END AS payment_type,
+    CASE WHEN user_id % 2 <> 0 AND k % 5 <> 4 THEN k / 4 END AS ehail_fee,
+    CASE WHEN user_id % 2 <> 0 AND k % 9 <> 8 THEN k % 2 + 1 END AS trip_type,
     event_type,
     CASE WHEN event_type = 'error' THEN props END AS _rescued_data
   FROM t)
 """
 
+# Names and bounds of the rules.
 PREDICATES = {
     "passenger_count_not_null": "passenger_count IS NOT NULL",
     "passenger_count_positive": "passenger_count > 0",
@@ -43,33 +48,54 @@ REASONS = (
     + ")"
 )
 
-KEY_PRESENT = {
+# The parts of a trip's key, and the columns that the test tables have no values for.
+KEY_COLUMNS = (
     "VendorID",
     "pickup_datetime",
     "dropoff_datetime",
     "passenger_count",
     "trip_distance",
     "RatecodeID",
+    "store_and_fwd_flag",
     "PULocationID",
     "DOLocationID",
     "payment_type",
+    "fare_amount",
+    "extra",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "improvement_surcharge",
     "total_amount",
-}
-KEY_COLUMNS = """VendorID pickup_datetime dropoff_datetime passenger_count trip_distance RatecodeID
-store_and_fwd_flag PULocationID DOLocationID payment_type fare_amount extra mta_tax tip_amount
-tolls_amount improvement_surcharge total_amount congestion_surcharge airport_fee""".split()
-KEY = (
-    "sha256(concat_ws('|', taxi_type, "
-    + ", ".join(
-        f"coalesce(CAST({c} AS VARCHAR), '__null__')" if c in KEY_PRESENT else "'__null__'"
-        for c in KEY_COLUMNS
-    )
-    + "))"
+    "congestion_surcharge",
+    "airport_fee",
+)
+WITHOUT_VALUES = (
+    "store_and_fwd_flag",
+    "fare_amount",
+    "extra",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "improvement_surcharge",
+    "congestion_surcharge",
+    "airport_fee",
 )
+GREEN_KEY_COLUMNS = ("ehail_fee", "trip_type")
 
-# As the jobs build it: green trips have two more columns, which the test tables lack.
-STORED_KEY = KEY.removesuffix("))") + (
-    ", CASE WHEN taxi_type = 'green' THEN '__null__|__null__' END))"
+
+def key_part(column: str) -> str:
+    return "'__null__'" if column in WITHOUT_VALUES else f"coalesce(CAST({column} AS VARCHAR), '__null__')"
+
+
+KEY = "sha256(concat_ws('|', {}))".format(
+    ", ".join(
+        [
+            "taxi_type",
+            *map(key_part, KEY_COLUMNS),
+            *(f"CASE WHEN taxi_type = 'green' THEN {key_part(c)} END" for c in GREEN_KEY_COLUMNS),
+        ]
+    )
 )
 
 CLEAN = f"{TRIPS}, clean AS (SELECT *, {KEY} AS tripsk FROM trips WHERE {ALL_HOLD})"
@@ -138,7 +164,15 @@ FROM (SELECT *, TIMESTAMP '2024-02-01' AS _ingestion_ts FROM clean
 FULL OUTER JOIN (SELECT *, TIMESTAMP '2024-02-02' AS _ingestion_ts FROM clean
       WHERE pickup_datetime >= TIMESTAMP '2024-01-10') s USING (tripsk)"""
 
-CRITICAL = "VendorID passenger_count RatecodeID PULocationID DOLocationID payment_type".split()
+# The columns whose absence matters.
+CRITICAL = (
+    "VendorID",
+    "passenger_count",
+    "RatecodeID",
+    "PULocationID",
+    "DOLocationID",
+    "payment_type",
+)
 NULLS = ", ".join(f"count(*) FILTER ({c} IS NULL) AS {c.lower()}_nulls" for c in CRITICAL)
 ANY_NULL = " OR ".join(f"{c} IS NULL" for c in CRITICAL)
 TRIP_COLUMNS = """event_id, taxi_type, VendorID, passenger_count, total_amount, pickup_datetime,
@@ -162,7 +196,8 @@ LANDED = """landed AS (
     ('o_totalprice', 'double'), ('o_orderdate', 'timestamp_ntz'), ('o_orderpriority', 'string')),
   snapshot AS (
     SELECT source, period, column_name,
-      CASE WHEN column_name = 'o_custkey' AND narrow THEN 'int' ELSE data_type END AS data_type,
+      CASE WHEN column_name = 'o_custkey' AND narrow THEN 'int'
+        WHEN column_name = 'o_orderdate' AND NOT narrow THEN 'timestamp' ELSE data_type END AS data_type,
       true AS nullable
     FROM landed CROSS JOIN columns)"""
 
@@ -221,7 +256,7 @@ EXPECTED: dict[str, str] = {
     "constraint_violations": f"""WITH {TRIPS}, raw AS (SELECT *,
         date_diff('second', date_trunc('second', pickup_datetime),
           date_trunc('second', dropoff_datetime)) AS duration_seconds FROM trips)
-      SELECT 'tripsk_required' AS check_name, CAST(0 AS BIGINT) AS violations
+      SELECT 'tripsk_required' AS check_name, count(*) FILTER (event_id % 997 = 0) AS violations FROM raw
       UNION ALL SELECT 'ck_positive_amount',
         count(*) FILTER (NOT coalesce(total_amount >= 0, false)) FROM raw
       UNION ALL SELECT 'ck_valid_passenger',
@@ -236,7 +271,7 @@ EXPECTED: dict[str, str] = {
         CAST(weekofyear(full_date) AS INTEGER) AS week_of_year,
         dayofweek(full_date) IN (0, 6) AS is_weekend
       FROM calendar""",
-    "dim_vendor": f"""WITH {TRIPS}, known(vendor_id, vendor_name, vendor_short_name) AS (VALUES
+    "dim_vendor": f"""WITH {TRIPS}, known(vendor_id, vendor_name, vendor_short_name) AS (VALUES -- fixed values
         (1, 'Creative Mobile Technologies, LLC', 'CMT'), (2, 'VeriFone Inc.', 'VeriFone'),
         (6, 'Myle Technologies Inc', 'Myle'), (7, 'Helix', 'Helix'))
       SELECT vendor_id, vendor_name, vendor_short_name, nullif(count(VendorID), 0) AS trips
@@ -318,15 +353,46 @@ EXPECTED: dict[str, str] = {
           WHEN k % 25 <> 24 THEN '{{"passenger_count":' || (k % 7) || '.0}}' END AS _rescued_data
       FROM t""",
     "published_silver": f"""WITH {TRIPS} SELECT taxi_type, VendorID, passenger_count, total_amount,
-        pickup_datetime, dropoff_datetime, {STORED_KEY} AS tripsk
+        pickup_datetime, dropoff_datetime, {KEY} AS tripsk
       FROM trips WHERE {ALL_HOLD}""",
     "published_quarantine": f"""WITH {REJECTED} SELECT taxi_type, VendorID,
         CAST(passenger_count AS DOUBLE) AS passenger_count,
         CAST(total_amount AS DOUBLE) AS total_amount, pickup_datetime, dropoff_datetime, reasons
       FROM rejected""",
     "published_fact": f"""WITH {TRIPS}, clean AS (
-        SELECT *, {STORED_KEY} AS tripsk FROM trips WHERE {ALL_HOLD})
+        SELECT *, {KEY} AS tripsk FROM trips WHERE {ALL_HOLD})
+      SELECT {FACT_COLUMNS} FROM clean""",
+    "published_fact_incremental": f"""WITH {TRIPS}, clean AS (
+        SELECT *, {KEY} AS tripsk FROM trips WHERE {ALL_HOLD})
       SELECT {FACT_COLUMNS} FROM clean""",
+    "rejudged_batches": f"""WITH {TRIPS} SELECT taxi_type, VendorID, pickup_datetime, dropoff_datetime,
+        CASE WHEN {ALL_HOLD} THEN 'silver' ELSE 'aside' END AS side
+      FROM trips""",
+    "bronze_two_checkpoints": "SELECT CAST(event_id AS INTEGER) AS PULocationID FROM events",
+    "bronze_uniform": """SELECT CAST(event_id AS INTEGER) AS PULocationID, value AS trip_distance
+      FROM events""",
+    "stored_fact_answers": f"""WITH {FACT}
+      SELECT 'hour ' || hour(pickup_datetime) AS part, round(avg(passenger_count), 4) AS mean,
+        count(*) AS trip_count
+      FROM fact WHERE date_key BETWEEN 20240101 AND 20240131 GROUP BY hour(pickup_datetime)
+      UNION ALL
+      SELECT 'month ' || year(pickup_datetime) || ' ' || month(pickup_datetime), {MONEY_MEAN}, count(*)
+      FROM fact WHERE taxi_type = 'yellow' GROUP BY year(pickup_datetime), month(pickup_datetime)""",
+    "lake_checks": f"""WITH {TRIPS}
+      SELECT 'rows_in_silver' AS what, count(*) AS value FROM trips WHERE {ALL_HOLD}
+      UNION ALL SELECT * FROM (VALUES ('keys_twice_in_yellow_trips', 0), ('keys_twice_in_green_trips', 0),
+        ('keys_twice_in_fact_trip', 0), ('days_in_calendar', 26), ('comments_as_stated', {len(FACT_TRIP.column_comments)}))""",
+    "view_totals": f"""WITH {TRIPS}
+      SELECT 'bronze' AS view, taxi_type, count(*) AS rows,
+        count(*) FILTER (event_type = 'error') AS rescued FROM trips GROUP BY taxi_type
+      UNION ALL SELECT 'fact', taxi_type, count(*), 0 FROM trips WHERE {ALL_HOLD} GROUP BY taxi_type
+      UNION ALL SELECT * FROM (VALUES ('landing', 'yellow', 11, 0), ('landing', 'green', 13, 0))""",
+    "rescued_in_bronze": f"""WITH {TRIPS}
+      SELECT '{{"trip_distance":' || trip_distance || '}}' AS _rescued_data
+      FROM trips WHERE taxi_type = 'yellow' AND event_type = 'error' ORDER BY 1 LIMIT 3""",
+    "evolved_table": """SELECT event_id, value,
+        CASE WHEN event_id % 2 <> 0 THEN event_type END AS kind
+      FROM events""",
     "published_monthly_mart": f"WITH {FACT} {MONTHLY}",
     "published_hourly_mart": f"WITH {FACT} {HOURLY}",
     "published_answer": Q2,
@@ -348,6 +414,7 @@ DECIMALS: dict[str, tuple[str, ...]] = {
     "top_amounts": _AMOUNT,
     "published_silver": _AMOUNT,
     "published_fact": _AMOUNT,
+    "published_fact_incremental": _AMOUNT,
     "agg_hourly_daily": _SUM,
     "agg_hourly_daily_lines": _SUM,
     "agg_monthly": _SUM,

@@ -14,13 +14,17 @@ from stratamart.plans.jobs import Lake
 from stratamart.sources.footers import list_files, read_footers, snapshot
 
 
-def register_views(lake: Lake, landings: Mapping[str, str] | None = None) -> list[str]:
+def register_views(
+    lake: Lake, landings: Mapping[str, str] | None = None, prefix: str = ""
+) -> list[str]:
     """``bronze_union``, ``silver_quarantine_union`` and ``fact_trip_view``; and, given the
-    landing folder of each source, ``landing_schema_snapshot``. Returns their names.
+    landing folder of each source, ``landing_schema_snapshot``. Returns their names, which ``prefix``
+    keeps apart where a session has several lakes.
 
     The first three stay lazy: a query over one reads the columns and the sources it names.
     """
     store = lake.store
+    # The names of the views.
     views = {
         "bronze_union": bronze_union(
             {
@@ -36,8 +40,8 @@ def register_views(lake: Lake, landings: Mapping[str, str] | None = None) -> lis
     if landings:
         views["landing_schema_snapshot"] = landing_schemas(lake, landings)
     for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return list(views)
+        df.createOrReplaceTempView(prefix + name)
+    return [prefix + name for name in views]
 
 
 def landing_schemas(lake: Lake, landings: Mapping[str, str]) -> DataFrame:

@@ -13,11 +13,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def event_trips(events: DataFrame) -> DataFrame:
     """Trips from an event log, with faults of every kind the rules look for."""
-    # Filters on what is made from k would be moved below a projection, with the parsing of the
-    # JSON repeated for each use. They are not moved below a generator: it is parsed once.
-    parsed = F.get_json_object("props", "$.k").cast("int")
-    events = events.select("*", F.explode(F.array(parsed)).alias("k"))
-    k = F.col("k")
+    k = F.get_json_object("props", "$.k").cast("int")
+    green = F.col("user_id") % 2 != 0
     start = F.col("ts").cast("timestamp")
     vendor = F.element_at(
         F.array(*(F.lit(v) for v in (1, 2, 6, 7))), (F.col("user_id") % 4).cast("int") + 1
@@ -25,7 +22,7 @@ def event_trips(events: DataFrame) -> DataFrame:
     amount = F.when(k % 20 == 19, -F.col("value")).otherwise(F.col("value"))
     return events.select(
         "event_id",
-        F.when(F.col("user_id") % 2 == 0, "yellow").otherwise("green").alias("taxi_type"),
+        F.when(green, "green").otherwise("yellow").alias("taxi_type"),
         F.when(F.col("user_id") % 75 != 74, vendor).alias("VendorID"),
         F.when(k % 25 != 24, k % 7).alias("passenger_count"),
         amount.cast("decimal(10,2)").alias("total_amount"),
@@ -36,6 +33,8 @@ def event_trips(events: DataFrame) -> DataFrame:
         F.when(F.col("user_id") % 50 != 49, F.col("user_id") + 1).cast("int").alias("PULocationID"),
         F.when(k % 33 != 32, k + 1).alias("DOLocationID"),
         F.when(F.col("event_type") != "signup", k % 4 + 1).alias("payment_type"),
+        F.when(green & (k % 5 != 4), k / 4).alias("ehail_fee"),
+        F.when(green & (k % 9 != 8), k % 2 + 1).alias("trip_type"),
         "event_type",
         F.when(F.col("event_type") == "error", F.col("props")).alias("_rescued_data"),
     )

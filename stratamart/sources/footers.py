@@ -81,9 +81,12 @@ def footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]
             rows = []
             for path in batch["path"]:
                 with open_file(path) as file:
-                    schema = pq.read_schema(file)
-                for position, column in enumerate(schema):
-                    kind = spark_name(column.type)
+                    footer = pq.read_metadata(file).schema
+                leaves = (footer.column(i) for i in range(len(footer)))
+                # Arrow shows these without a zone; Spark writes and reads them as instants.
+                instants = {leaf.path for leaf in leaves if leaf.physical_type == "INT96"}
+                for position, column in enumerate(footer.to_arrow_schema()):
+                    kind = "timestamp" if column.name in instants else spark_name(column.type)
                     rows.append((path, position, column.name, kind, column.nullable))
             yield pd.DataFrame(
                 rows, columns=["path", "position", "column_name", "data_type", "nullable"]

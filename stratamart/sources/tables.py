@@ -18,7 +18,7 @@ class TableStore:
     reads from. The catalog entry (``<prefix>_<layer>.<table>``) is for SQL users.
     """
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = "taxi_nyc") -> None:
+    def __init__(self, spark: SparkSession, root: str, prefix: str = "strata") -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
@@ -33,10 +33,12 @@ class TableStore:
         return f"{self.root}/{layer}/{contract.name}"
 
     def create(self, layer: str, contract: TableContract) -> None:
-        """Make the table if it is missing, and bring its comments up to date."""
+        """Make the table if it is missing. Else add the columns that the contract has gained, refuse
+        changed types, and bring the comments up to date."""
         database, name = self.database(layer), self.table_name(layer, contract)
         catalog = self.spark.catalog
         if catalog.tableExists(name):
+            self.evolve(name, contract)
             present = {c.name: c.description for c in catalog.listColumns(name)}
             present[""] = catalog.getTable(name).description
             contract.apply_comments(self.spark, database, present)
@@ -48,6 +50,20 @@ class TableStore:
         self.spark.sql(contract.create_table(database, self.location(layer, contract)))
         self.refresh(layer, contract)
 
+    def evolve(self, name: str, contract: TableContract) -> None:
+        """Rows stored before a column was added have NULL there. A column that the contract no longer
+        has stays in the table; jobs then write it no more."""
+        held = {c.name.lower(): c.dataType for c in self.spark.catalog.listColumns(name)}
+        wanted = {f.name: f.dataType.simpleString() for f in contract.stored_schema.fields}
+        changed = [
+            f"{c} is {held[c.lower()]}, not {t}" for c, t in wanted.items() if held.get(c.lower(), t) != t
+        ]
+        if changed:
+            raise ValueError(f"{name} cannot change its types: {'; '.join(changed)}")
+        new = [f"{c} {t}" for c, t in wanted.items() if c.lower() not in held]
+        if new:
+            self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+
     def make_folder(self, layer: str, contract: TableContract) -> None:
         schema = contract.stored_schema
         empty = self.spark.range(0).select(

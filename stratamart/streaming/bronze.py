@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-from datetime import datetime, timezone
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
+from threading import Event
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,9 +23,18 @@ FILES_PER_BATCH = 10_000
 FILE_AGE = "36500d"
 
 
+@dataclass
+class Landed:
+    """What one run of an ingestion has written: its folders in Bronze, and their rows."""
+
+    folders: list[str] = field(default_factory=list)
+    rows: int = 0
+    rescued_rows: int = 0
+
+
 def new_batch_id() -> str:
-    """Readable, sortable and unique: UTC time and a random suffix."""
-    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}"
+    """A name that no other run has. When a row came in is stated next to it."""
+    return f"run-{uuid.uuid4()}"
 
 
 def landed_paths(spark: SparkSession, landing: str, files_per_batch: int) -> DataFrame:
@@ -50,24 +60,32 @@ def ingest_files(
     contract: TableContract,
     batch_id: str,
     files_per_batch: int = FILES_PER_BATCH,
-) -> list[int]:
-    """Ingest every file that is new below ``landing``, whatever its schema, then stop. Returns
-    the numbers of the stream batches written, which name their folders in Bronze.
+) -> Landed:
+    """Ingest every file that is new below ``landing``, whatever its schema, then stop.
 
-    A stream batch that is replayed after a failure lists the same files and overwrites the one
-    folder it owns, so no row is lost or doubled.
+    A stream batch writes to a folder that is named after its checkpoint's stream and its number.
+    A batch that is replayed after a failure lists the same files and overwrites that folder, so no
+    row is lost or doubled; another checkpoint is another stream, whose folders never collide.
     """
 
-    def land(paths: DataFrame, stream_batch: int) -> None:
+    def land(paths: DataFrame, folder: str) -> tuple[int, int]:
         groups = group_by_schema(paths)
-        if groups:
-            session = paths.sparkSession
-            rows = read_landed(session, groups, contract, batch_id)
-            rows.write.mode("overwrite").parquet(f"{bronze}/{STREAM_BATCH}={stream_batch}")
+        if not groups:
+            return 0, 0
+        return _write(read_landed(paths.sparkSession, groups, contract, batch_id), f"{bronze}/{STREAM_BATCH}={folder}")
 
     return _run(landed_paths(spark, landing, files_per_batch), land, checkpoint)
 
 
+def _write(rows: DataFrame, folder: str) -> tuple[int, int]:
+    """Write one batch, and count it on the way: ``(rows, rows with a payload)``."""
+    seen = Observation()
+    rows.observe(
+        seen, F.count("*").alias("rows"), F.count_if(F.col(RESCUED).isNotNull()).alias("rescued_rows")
+    ).write.mode("overwrite").parquet(folder)
+    return seen.get["rows"], seen.get["rescued_rows"]
+
+
 def parquet_stream(
     spark: SparkSession, landing: str, schema: StructType, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
@@ -90,24 +108,31 @@ def ingest_uniform(
     contract: TableContract,
     batch_id: str,
     files_per_batch: int = FILES_PER_BATCH,
-) -> list[int]:
+) -> Landed:
     """Like :func:`ingest_files` for files of one known schema: rows are streamed directly and
     no footer is looked at."""
     raw = parquet_stream(spark, landing, schema, files_per_batch)
     rows = landed_rows(raw, contract, batch_id)
 
-    def land(batch: DataFrame, stream_batch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{bronze}/{STREAM_BATCH}={stream_batch}")
+    def land(batch: DataFrame, folder: str) -> tuple[int, int]:
+        return _write(batch, f"{bronze}/{STREAM_BATCH}={folder}")
 
     return _run(rows, land, checkpoint)
 
 
-def _run(stream: DataFrame, land: Callable[[DataFrame, int], None], checkpoint: str) -> list[int]:
-    written: list[int] = []
+def _run(
+    stream: DataFrame, land: Callable[[DataFrame, str], tuple[int, int]], checkpoint: str
+) -> Landed:
+    done, started = Landed(), Event()
 
-    def land_and_note(batch: DataFrame, stream_batch: int) -> None:
-        land(batch, stream_batch)
-        written.append(stream_batch)
+    def land_and_note(batch: DataFrame, number: int) -> None:
+        started.wait()
+        # The stream's id is kept in its checkpoint, so it outlives restarts.
+        folder = f"{query.id}-{number:09d}"
+        rows, rescued = land(batch, folder)
+        done.folders.append(folder)
+        done.rows += rows
+        done.rescued_rows += rescued
 
     query = (
         stream.writeStream.foreachBatch(land_and_note)
@@ -115,17 +140,12 @@ def _run(stream: DataFrame, land: Callable[[DataFrame, int], None], checkpoint:
         .trigger(availableNow=True)
         .start()
     )
+    started.set()
     query.awaitTermination()
-    return written
-
-
-def bronze_summary(bronze: DataFrame) -> dict[str, int]:
-    """Rows and rescued rows, in one pass that reads one column."""
-    counted = bronze.agg(
-        F.count("*").alias("rows"), F.count_if(F.col(RESCUED).isNotNull()).alias("rescued_rows")
-    )
-    return counted.first().asDict()
+    return done
 
 
-def rescued_examples(bronze: DataFrame, limit: int = 3) -> DataFrame:
-    return bronze.filter(F.col(RESCUED).isNotNull()).select("_source_file", RESCUED).limit(limit)
+def rescued_examples(bronze: DataFrame, limit: int = 3, order: Sequence[str] = ()) -> DataFrame:
+    """A few rows with a payload: any, or the first in an order."""
+    found = bronze.filter(F.col(RESCUED).isNotNull()).select("_source_file", RESCUED)
+    return (found.orderBy(*order) if order else found).limit(limit)

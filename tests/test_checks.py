@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from stratamart.contracts import FACT_TRIP
 from stratamart.operators import checks
-from stratamart.operators.joins import broadcast_if_small
 from stratamart.operators.layout import with_folders
 
 
@@ -14,16 +13,12 @@ def keyed(spark, *keys):
     return spark.createDataFrame([Row(tripsk=k, VendorID=i) for i, k in enumerate(keys)])
 
 
-def test_unique_source_passes(spark):
-    assert checks.require_unique(keyed(spark, "a", "b"), "tripsk") == {
-        "duplicate_key_count": 0,
-        "sample": [],
-    }
-
-
 def test_duplicates_are_named(spark):
-    with pytest.raises(ValueError, match=r"1 duplicated tripsk values.*dup \(2 rows\)"):
-        checks.require_unique(keyed(spark, "dup", "dup", "ok"), "tripsk")
+    rows = keyed(spark, *"mnonpno")
+    assert {tuple(r) for r in checks.duplicate_keys(rows, "tripsk").collect()} == {("n", 3), ("o", 2)}
+    text = checks.duplicates_message(rows, "tripsk", 2)
+    assert "2 duplicated tripsk values" in text and text.endswith("n (3 rows), o (2 rows)")
+    assert checks.duplicate_keys(keyed(spark, "m", "n"), "tripsk").isEmpty()
 
 
 def test_top_duplicates_are_ordered(spark):
@@ -37,6 +32,17 @@ def test_keep_one(spark):
     assert [tuple(r) for r in kept] == [("a", 1), ("b", 2)]
 
 
+def test_latest_copy_sorts_nothing(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, "2024-01-02"), ("a", 1, "2024-01-05"), ("b", None, "2024-01-01")], "k string, n int, at string"
+    )
+    kept = checks.latest_copy(rows, "at")
+    assert sorted(map(tuple, kept.collect())) == [("a", 1, "2024-01-05"), ("b", None, "2024-01-01")]
+    stamped = rows.withColumn("at", F.to_timestamp("at"))
+    plan = checks.latest_copy(stamped, "at")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+
+
 def fact(spark, *rows):
     columns = "tripsk string, date_key int, vendor_id int, passenger_count int, total_amount double"
     df = spark.createDataFrame(list(rows), columns)
@@ -79,7 +85,7 @@ def test_orphans_count_null_keys(spark):
     rows = fact(spark, ("a", 1, 1, 1, 0.0), ("b", 2, None, 1, 0.0), ("c", 2, 9, 1, 0.0))
     vendors = spark.createDataFrame([(1,), (2,)], "vendor_id int")
     dates = spark.createDataFrame([(1,)], "date_key int")
-    lost = checks.orphans(rows, "vendor_id", broadcast_if_small(vendors), "vendor_id")
+    lost = checks.orphans(rows, "vendor_id", vendors, "vendor_id")
     assert sorted(r.tripsk for r in lost.collect()) == ["b", "c"]
     links = {"date_key": (dates, "date_key"), "vendor_id": (vendors, "vendor_id")}
     counts = checks.orphan_counts(rows, links).first().asDict()
@@ -87,12 +93,8 @@ def test_orphans_count_null_keys(spark):
     with pytest.raises(ValueError, match="orphans_vendor_id"):
         checks.require_links(rows, links)
     assert checks.require_links(rows.limit(0), links)["rows"] == 0
-
-
-def test_small_sides_only(spark):
-    plan = lambda df: df._jdf.queryExecution().logical().toString()
-    assert "Hint broadcast" in plan(broadcast_if_small(spark.range(10), 10))
-    assert "Hint broadcast" not in plan(broadcast_if_small(spark.range(11), 10))
+    plan = checks.orphan_counts(rows, links)._jdf.queryExecution().executedPlan().toString()
+    assert "date_key, vendor_id" not in plan  # no exchange on the combination
 
 
 def test_require_rows(spark):

@@ -1,4 +1,12 @@
-from stratamart.contracts import CONTRACTS, FACT_TRIP, SILVER, quoted
+import pytest
+from pyspark.sql.types import StructField, StructType
+
+from stratamart import contracts
+from stratamart.contracts import FACT_TRIP, SILVER, TableContract, quoted
+from stratamart.operators.layout import append_rows
+from stratamart.sources.tables import TableStore
+
+ALL = [c for c in vars(contracts).values() if isinstance(c, TableContract)]
 
 
 class Recorder:
@@ -24,27 +32,38 @@ def test_apply_comments_runs_every_statement():
 
 
 def test_only_silver_and_fact_are_clustered():
-    clustered = {name: c.cluster_by for name, c in CONTRACTS.items() if c.cluster_by}
-    assert clustered == {"trip_silver": ("pickup_datetime",), "fact_trip": ("pickup_datetime",)}
+    clustered = {c.name: c.cluster_by for c in ALL if c.cluster_by}
+    assert clustered == {SILVER.name: ("pickup_datetime",), "fact_trip": ("pickup_datetime",)}
     assert list(FACT_TRIP.partition_by) == ["taxi_type", "date_key"]
     assert "PARTITIONED BY (taxi_type, date_key)" in FACT_TRIP.create_table("gold", "/x")
-    assert "PARTITIONED BY" not in CONTRACTS["dim_date"].create_table("gold", "/x")
-
-
-def test_column_counts_and_required_columns():
-    counts = {name: len(c.columns) for name, c in CONTRACTS.items()}
-    assert counts == {
-        "yellow_bronze": 23,
-        "green_bronze": 25,
-        "trip_silver": 7,
-        "trip_silver_quarantine": 8,
-        "dim_date": 9,
-        "dim_vendor": 3,
-        "fact_trip": 10,
-        "agg_trip_hourly_daily": 8,
-        "agg_trip_monthly_taxi": 9,
-    }
+    assert "PARTITIONED BY" not in contracts.DIM_DATE.create_table("gold", "/x")
+
+
+def test_keys_are_required_and_named():
     assert SILVER.required == FACT_TRIP.required == ["tripsk"]
+    assert all(set(c.key) <= set(c.columns) for c in ALL)
+    assert all(len(set(c.columns)) == len(c.columns) for c in ALL)
+
+
+def test_a_gained_column_is_added_and_a_changed_type_refused(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), prefix=f"e_{tmp_path.name.replace('-', '_')}")
+    old = TableContract("t", StructType().add("n", "long"), partition_by={"p": ("long", "n % 2")})
+    gained = StructField("note", StructType().add("x", "integer"), True, {"comment": "What was seen"})
+    new = TableContract("t", StructType([*old.schema.fields, gained]), partition_by=old.partition_by)
+    store.create("silver", old)
+    append_rows(spark.range(3).toDF("n"), old, store.location("silver", old))
+    store.create("silver", new)
+    rows = spark.range(3, 5).selectExpr("id AS n", "named_struct('x', 7) AS note")
+    append_rows(rows, new, store.location("silver", new))
+    store.refresh("silver", new)
+    stored = spark.table(store.table_name("silver", new))
+    assert sorted((r.n, r.note and r.note.x) for r in stored.collect()) == [(0, None), (1, None), (2, None), (3, 7), (4, 7)]
+    comments = {c.name: c.description for c in spark.catalog.listColumns(store.table_name("silver", new))}
+    assert comments["note"] == "What was seen"
+    store.create("silver", new)  # nothing left to do
+    changed = TableContract("t", StructType().add("n", "string"), partition_by=old.partition_by)
+    with pytest.raises(ValueError, match="n is bigint, not string"):
+        store.create("silver", changed)
 
 
 def test_literals_are_escaped(spark):

@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,7 +43,10 @@ def test_all_jobs_twice_and_a_new_month(spark, lake, landings):
     assert results["fact"]["rows"] == results["fact"]["rows_for_merge"] == 358
     assert results["marts"][AGG_MONTHLY_TAXI.name] == 2
 
-    again = jobs.run_all(lake, landings)
+    idle = jobs.run_all(lake, landings)
+    assert idle["bronze_yellow"]["rows"] == idle["silver_yellow"]["rows_in"] == 0
+    assert "fact" not in idle
+    again = jobs.run_all(lake, landings, everything=True)
     same = ("rows", "rows_in", "rows_clean", "rows_quarantine", "duplicated_keys")
     for name in ("silver_yellow", "silver_green"):
         assert {k: again[name][k] for k in same} == {k: results[name][k] for k in same}
@@ -54,14 +58,14 @@ def test_all_jobs_twice_and_a_new_month(spark, lake, landings):
 
     landed_rows(spark, YELLOW, 2).write.parquet(f"{landings['yellow']}/year=2023/month=02")
     third = jobs.land_to_bronze(lake, YELLOW, landings["yellow"])
-    assert third["rows"] == 400
+    assert third["rows"] == 200
     newest = store.read("bronze", YELLOW.bronze).agg(F.max(STREAM_BATCH)).first()[0]
     assert third["stream_batches"] == [newest]
     step = jobs.bronze_to_silver(lake, YELLOW, third["stream_batches"])
-    assert (step["rows_in"], step["rows_clean"], step["rows"]) == (200, 179, 358)
+    assert (step["rows_in"], step["rows_clean"], step["rows"]) == (200, 179, 179)
     assert {f.pickup_date.month for f in step["folders"]} == {2}
     written = jobs.publish_fact(lake, step["folders"])
-    assert written["rows"] == 537
+    assert written["rows"] == 179 and store.read("gold", FACT_TRIP).count() == 537
     assert {(f.taxi_type, f.date_key // 100) for f in written["folders"]} == {("yellow", 202302)}
     jobs.publish_marts(lake, written["folders"])
 
@@ -82,6 +86,58 @@ def test_all_jobs_twice_and_a_new_month(spark, lake, landings):
         assert build(fact).exceptAll(stored).isEmpty()
 
 
+def files_below(folder):
+    return {str(p): p.stat().st_mtime_ns for p in Path(folder).rglob("*.parquet")}
+
+
+def test_a_second_landing_touches_only_its_days(spark, lake, landings):
+    jobs.run_all(lake, landings)
+    root = Path(lake.store.root)
+    before = {layer: files_below(root / layer) for layer in ("bronze", "silver")}
+    fact_before = files_below(root / "gold" / "fact_trip")
+    landed_rows(spark, YELLOW, 2).write.parquet(f"{landings['yellow']}/year=2023/month=02")
+    scanned, stored = [], jobs.stage
+    jobs.stage = lambda df, *a: (scanned.append(df.count()), stored(df, *a))[1]
+    try:
+        results = jobs.run_all(lake, landings)
+    finally:
+        jobs.stage = stored
+    assert sorted(scanned) == [0, 200]  # green has nothing new, yellow only the new batch
+    assert results["fact"]["rows_for_merge"] == 179
+    for layer, held in before.items():
+        now = files_below(root / layer)
+        assert {k: now.get(k) for k in held} == held
+    now = files_below(root / "gold" / "fact_trip")
+    assert {k: now.get(k) for k in fact_before} == fact_before
+    fact = lake.store.read("gold", FACT_TRIP)
+    assert marts.hourly_daily(fact).exceptAll(lake.store.read("gold", AGG_HOURLY_DAILY)).isEmpty()
+    assert fact.count() == 537
+
+
+def test_a_run_that_broke_off_is_made_up_for(spark, lake, landings, monkeypatch):
+    monkeypatch.setattr(jobs, "publish_marts", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        jobs.run_all(lake, landings)
+    monkeypatch.undo()
+    results = jobs.run_all(lake, landings)
+    assert results["silver_yellow"]["rows_in"] == 0 and results["fact"]["rows_for_merge"] == 358
+    assert lake.store.read("gold", AGG_HOURLY_DAILY).agg(F.sum("trip_count")).first()[0] == 358
+
+
+def test_batches_judged_again_empty_their_quarantine(spark, lake, landings):
+    short = jobs.Lake(lake.store, StudyRange(date(2023, 1, 1), date(2023, 1, 3)))
+    batches = jobs.land_to_bronze(lake, YELLOW, landings["yellow"])["stream_batches"]
+    landed_rows(spark, YELLOW, 2, 10).filter("passenger_count > 0").write.parquet(
+        f"{landings['yellow']}/year=2023/month=02"
+    )
+    batches += jobs.land_to_bronze(lake, YELLOW, landings["yellow"])["stream_batches"]
+    assert jobs.bronze_to_silver(short, YELLOW, batches)["rows_quarantine"] > 100
+    assert jobs.bronze_to_silver(lake, YELLOW, batches)["rows_quarantine"] == 21
+    stored = lake.store.read("silver", YELLOW.quarantine)
+    assert stored.count() == 21 and stored.select(STREAM_BATCH).distinct().count() == 1
+    assert lake.store.rows("silver", YELLOW.silver).count() + 21 == 209
+
+
 def test_the_fact_is_pruned_by_day(spark, lake, landings):
     jobs.run_all(lake, landings)
     store = lake.store

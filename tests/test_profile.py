@@ -26,42 +26,19 @@ def test_exact_percentiles_against_a_sort(spark, shape):
         "single row": [("a", 1.0)],
     }[shape] + [("b", float(i)) for i in range(1, 101)] + [("b", None)]
     df = spark.createDataFrame(rows, "taxi_type string, x double")
-    for task_values in (1_000_000, 20):
-        out = profile.exact_percentiles(df, "x", task_values=task_values).collect()
+    for accuracy in (10_000, 50):
+        out = profile.exact_percentiles(df, "x", accuracy=accuracy).collect()
         assert [r.taxi_type for r in out] == ["a", "b"]
         for row in out:
             values = [v for t, v in rows if t == row.taxi_type and v is not None]
             assert list(row)[1:] == [min(values), *brute(values), max(values)]
 
 
-def test_exact_percentiles_narrow_until_a_task_can_hold_the_rest(spark, monkeypatch):
-    sizes, narrowed = [], profile._narrowed
-
-    def spy(held, keys, near):
-        found = narrowed(held, keys, near)
-        sizes.append(profile._largest(found, keys))
-        return found
-
-    monkeypatch.setattr(profile, "_narrowed", spy)
-    df = spark.range(200_000).select(F.lit("a").alias("taxi_type"), F.col("id").alias("x"))
-    row = profile.exact_percentiles(df, "x", task_values=100).first()
-    assert list(row) == ["a", 0, 99_999, 189_999, 197_999, 199_999]
-    assert len(sizes) == 2 and sizes[0] < 10_000 and sizes[1] <= 100 * 2
-
-
-def test_slices_count_the_edges_below(spark):
-    edges = sorted(random.Random(1).choices(range(40), k=profile.SLICES - 1))
-    df = spark.range(-1, 42).select("id", F.array(*map(F.lit, edges)).alias("_edges"))
-    for row in profile._sliced(df, "id").collect():
-        assert row._slice == sum(e < row.id for e in edges)
-
-
-def test_exact_percentiles_without_a_broadcast(spark):
-    rows = [(g, float(i)) for g in "abc" for i in range(50)]
-    df = spark.createDataFrame(rows, "taxi_type string, x double")
-    for task_values in (100, 10):
-        out = profile.exact_percentiles(df, "x", task_values=task_values, max_groups=2).collect()
-        assert [tuple(r) for r in out] == [(g, 0.0, 24.0, 47.0, 49.0, 49.0) for g in "abc"]
+def test_exact_percentiles_of_many_values(spark):
+    """Brackets hold a small part of the rows; null is a group like others."""
+    df = spark.range(200_000).select(F.lit(None).cast("string").alias("taxi_type"), F.col("id").alias("x"))
+    row = profile.exact_percentiles(df, "x", accuracy=200).first()
+    assert list(row) == [None, 0, 99_999, 189_999, 197_999, 199_999]
     empty = profile.exact_percentiles(df.limit(0), "x")
     assert empty.isEmpty() and len(empty.columns) == 6
 
@@ -152,11 +129,27 @@ def test_executors_need_no_package_of_ours(tmp_path):
     subprocess.run([sys.executable, "-c", code, str(sent)], cwd=tmp_path, check=True)
 
 
+@pytest.mark.parametrize("kind", ["INT96", "TIMESTAMP_MICROS", "TIMESTAMP_MILLIS"])
+def test_instants_are_told_from_plain_times(spark, tmp_path, kind):
+    name = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(name)
+    spark.conf.set(name, kind)
+    try:
+        zoned = spark.sql("SELECT TIMESTAMP '2023-01-01 10:00:00' AS at")
+        zoned.write.parquet(str(tmp_path / "in" / "s/year=2023/month=1"))
+        plain = spark.sql("SELECT TIMESTAMP_NTZ '2023-01-01 10:00:00' AS at")
+        plain.write.parquet(str(tmp_path / "in" / "s/year=2023/month=2"))
+    finally:
+        spark.conf.set(name, before)
+    (row,) = profile.type_drift(snapshot(read_footers(list_files(spark, str(tmp_path / "in"))))).collect()
+    assert row.observed_types == ["2023-01 -> timestamp", "2023-02 -> timestamp_ntz"]
+
+
 def test_footer_types_are_those_spark_reports(spark, tmp_path):
     df = spark.sql(
         "SELECT true AS a, 1Y AS b, 1S AS c, 1 AS d, 1L AS e, 1.0F AS f, 1.0D AS g, 'x' AS h, "
         "DATE '2023-01-01' AS i, TIMESTAMP_NTZ '2023-01-01' AS j, CAST(1 AS DECIMAL(10,2)) AS k, "
-        "CAST(1 AS DECIMAL(38,0)) AS l, X'00' AS m"
+        "CAST(1 AS DECIMAL(38,0)) AS l, X'00' AS m, TIMESTAMP '2023-01-01' AS n"
     )
     df.write.parquet(str(tmp_path / "t"))
     footers = read_footers(list_files(spark, str(tmp_path / "t"))).orderBy("position").collect()
