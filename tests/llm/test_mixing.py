@@ -1,0 +1,88 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratamart.llm import mixing
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 64, 1000])
+def test_permutation_hits_every_block_once(n):
+    index = np.arange(n)
+    out = mixing.permuted(index, np.full(n, n), np.full(n, 99))
+    assert sorted(out) == list(range(n))
+    if n > 10:
+        assert (out != index).any()
+
+
+def test_targets_stop_at_twice_the_size_and_share_the_rest():
+    got = mixing.share_out({"aa": 10, "ab": 1000, "ac": 300, "n": 5})
+    assert got == {"aa": 20.0, "ac": 600.0, "n": 10.0, "ab": 1315 * 1.5 - 630}
+    assert mixing.share_out({}) == {} and mixing.share_out({"aa": 0}) == {"aa": 0.0}
+
+
+def test_slots_hold_the_target():
+    for size, words in [(1000, 1300.2), (1000, 2000.0), (100, 37.0), (5, 10.0), (0, 0.0), (128, 128.0)]:
+        slots, last = mixing.slots_of(size, words)
+        blocks = -(-size // mixing.BLOCK)
+        assert slots <= 2 * blocks and 0 <= last <= mixing.BLOCK
+
+
+def test_draws_add_up_and_shards_are_even():
+    counts = mixing.draw_counts(np.array([5, 1000, 0, 77]), 8)
+    assert counts.sum(axis=0).tolist() == [5, 1000, 0, 77]
+    assert np.ptp(counts.sum(axis=1)) <= 1
+    assert (counts == mixing.draw_counts(np.array([5, 1000, 0, 77]), 8)).all()
+
+
+def brute_taken(rows, sizes):
+    """Words of each row that the slots take, from the slots alone."""
+    taken = Counter()
+    for r in rows:
+        taken[(r["__source"], r["__start"])] += r["n_words"]
+    return taken
+
+
+def test_taken_words_near_targets(docs_of, words):
+    rows = [(i, " ".join(words(1 + i * 7 % 300)), "en", "hot" if i % 3 == 0 else f"s{i % 5}") for i in range(200)]
+    mixture = mixing.mix(docs_of(rows))
+    out = mixing.words_taken(mixture).collect()
+    assert len(out) == 200
+    per = Counter()
+    for r in out:
+        assert 0 <= r["taken"] <= 2 * r["__size"]
+        per[r["__source"]] += r["taken"]
+    for source, (size, target) in mixture.sources.items():
+        assert abs(per[source] - target) <= mixing.BLOCK, (source, size)
+    spans = mixture.spans.collect()
+    assert sum(brute_taken(spans, mixture.sources).values()) == sum(per.values())
+    per_slot = Counter((r["shard"], r["__source"], r["slot"]) for r in spans for _ in range(r["n_words"]))
+    assert max(per_slot.values()) <= mixing.BLOCK
+    again = {(r["__doc"], r["taken"]) for r in mixing.words_taken(mixing.mix(docs_of(rows))).collect()}
+    assert again == {(r["__doc"], r["taken"]) for r in out}
+
+
+def test_odd_rows(odd, none):
+    out = mixing.words_taken(mixing.mix(odd)).collect()
+    assert len(out) == odd.count()
+    assert all(r["taken"] == 0 for r in out if r["__size"] == 0)
+    assert mixing.words_taken(mixing.mix(none)).collect() == []
+
+
+def test_mixed_texts_are_made_of_the_words_taken(docs_of, words, odd, none):
+    rows = [(i, " ".join(words(400)), "en", f"s{i % 3}") for i in range(30)]
+    df = docs_of(rows)
+    out = mixing.mixed_texts(df).select("doc_id", "text", "n_chars", "lang").collect()
+    taken = {r["__doc"]: r["taken"] for r in mixing.words_taken(mixing.mix(df)).collect()}
+    per = Counter()
+    for r in out:
+        own = r["text"].split(" ")
+        per[r["doc_id"]] += len(own)
+        assert not Counter(own) - Counter(rows[r["doc_id"]][1].split(" "))
+        assert r["n_chars"] == len(r["text"]) and r["lang"] == "en"
+    assert per == Counter({k: v for k, v in taken.items() if v})
+    strange = mixing.mixed_texts(odd)
+    assert strange.columns == odd.columns
+    assert strange.filter(F.col("text").isNull()).count() == 0
+    assert mixing.mixed_texts(none).collect() == []
