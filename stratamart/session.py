@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
 
 # Shuffle data per reduce task: fits in memory beside a few others, and is worth a task.
 REDUCE_BYTES = 200 * 1024**2
@@ -43,7 +45,11 @@ def build_session(
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffled_bytes))
     for name, value in settings.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    if shuffled_bytes is None and partitions == "200" and not spark.sparkContext.master.startswith("local"):
+        log.warning("200 shuffle partitions suit some %d GB; state shuffled_bytes for more", 200 * REDUCE_BYTES >> 30)
+    return spark
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
