@@ -24,6 +24,10 @@ LATER_RATE = 1 / 2
 MAX_LEVELS = 200
 
 
+class LevelTooLarge(ValueError):
+    """A level is larger than what may be sent to every task."""
+
+
 @dataclass(frozen=True)
 class Level:
     bits: int
@@ -70,14 +74,24 @@ def hashes(keys: Column) -> Column:
     return F.struct(hash_with(1)(keys).alias("first"), hash_with(2)(keys).alias("second"))
 
 
+def turns_for(rate: float) -> int:
+    return max(1, round(np.log2(1 / rate)))
+
+
+def bits_per_key(rate: float) -> float:
+    return turns_for(rate) / np.log(2)
+
+
 def encode(keys: DataFrame, n: int, depth: int) -> Level:
     """A level with the keys (columns ``first``, ``second``). Tasks set bits and combine them word
-    by word before the shuffle; the driver gets the filter, whose size is bounded by LEVEL_BYTES."""
+    by word before the shuffle; the driver gets the filter. Every level is bounded by LEVEL_BYTES;
+    a larger one is refused, and rules are then
+    met by a join."""
     rate = LATER_RATE if depth else FIRST_RATE
-    turns = max(1, round(np.log2(1 / rate)))
-    bits = max(64, -(-int(n * turns / np.log(2)) // 64) * 64)
-    if bits // 8 > LEVEL_BYTES:
-        raise ValueError(f"level {depth} needs {bits} bits for {n} keys")
+    turns = turns_for(rate)
+    bits = max(64, -(-int(n * bits_per_key(rate)) // 64) * 64)
+    if bits > 8 * LEVEL_BYTES:
+        raise LevelTooLarge(f"level {depth} needs {bits} bits for {n} keys")
 
     def set_bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -163,6 +177,19 @@ def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
     return F.transform(F.array_sort(F.array_distinct(ranked)), lambda r: r["k"])
 
 
+def by_join(parts: DataFrame, rules: DataFrame, url: str) -> DataFrame:
+    """The same verdicts where a filter would be too large to send: every url's keys meet the rules in
+    an equi-join, once per different url."""
+    keys = parts.select(F.col(url).alias("__url"), "__keys").dropDuplicates(["__url"])
+    met = keys.select("__url", F.posexplode("__keys").alias("__place", "key")).join(rules, "key")
+    first = met.groupBy("__url").agg(F.min(F.struct("__place", "key", "block")).alias("__first"))
+    return parts.join(first, F.col(url).eqNullSafe(F.col("__url")), "left").select(
+        parts["*"],
+        F.col("__first.key").alias("rule"),
+        F.when(F.col("__first.block"), "block").otherwise("allow").alias("verdict"),
+    )
+
+
 def judge(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """``urls`` with ``host``, ``path``, ``rule`` and ``verdict`` (columns of these names are replaced).
 
@@ -185,7 +212,10 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
         "__keys", candidates(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>")
     )
     universe = parts.select(F.explode("__keys").alias("key"))
-    both = [build(rules.select("key"), universe), build(rules.filter("block").select("key"), rules.select("key"))]
+    try:
+        both = [build(rules.select("key"), universe), build(rules.filter("block").select("key"), rules.select("key"))]
+    except LevelTooLarge:
+        return by_join(parts, rules, url).select(*held, "host", "path", "rule", "verdict")
     sent = spark.sparkContext.broadcast(both)
 
     @F.pandas_udf("place int, block boolean")

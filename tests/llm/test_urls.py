@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -28,7 +29,9 @@ def rules_of(spark, rules=RULES):
     return spark.createDataFrame(rules, "host string, path string, action string")
 
 
-def test_every_url_as_by_trying_all_rules(spark):
+@pytest.mark.parametrize("level_bytes", [urls.LEVEL_BYTES, 0])
+def test_every_url_as_by_trying_all_rules(spark, level_bytes, monkeypatch):
+    monkeypatch.setattr(urls, "LEVEL_BYTES", level_bytes)  # 0: no filter may be sent
     pages = spark.createDataFrame([(i, u, "mine", "x") for i, u in enumerate(URLS * 2)], "page_id long, url string, host string, __keys string")
     out = {r["page_id"]: tuple(r)[-4:] for r in urls.judge(pages.drop("__keys"), rules_of(spark)).collect()}
     assert out == {i: brute(u) for i, u in enumerate(URLS * 2)}
