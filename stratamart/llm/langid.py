@@ -33,7 +33,7 @@ SEGMENT = 256
 CHUNK = 1 << 20
 UNKNOWN = "und"
 BLANK, FOREIGN = 0, 1
-FOUND = "lang_pred string, score double, bits double, letters long"
+FOUND = "lang_pred string, score double, bits double, letters long, phrases long"
 # A text with this many letters in a known language holds phrases of several letters.
 ENOUGH_LETTERS = 16
 
@@ -185,11 +185,12 @@ def predict(model: Model, texts: list[str | None]) -> pd.DataFrame:
         np.add.at(letters, owner[low:high], own_letters)
         low = high
     out = pd.DataFrame({"lang_pred": UNKNOWN, "score": 0.0, "bits": 0.0}, index=range(len(texts)))
-    out["letters"] = letters.astype(np.int64)
+    out["letters"], out["phrases"] = letters.astype(np.int64), np.int64(0)
     found = np.flatnonzero(letters > 0)
     if len(model.langs) and len(found):
         cost = counts[found] * model.bits
         best = cost.argmin(axis=1)
+        out.loc[found, "phrases"] = counts[found, best].astype(np.int64)
         least = cost[np.arange(len(found)), best]
         cost[np.arange(len(found)), best] = np.inf
         second = cost.min(axis=1)
@@ -221,12 +222,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score``, ``bits``, ``letters`` (which replace columns so named).
+    """``docs`` with ``lang_pred``, ``score``, ``bits``, ``letters``, ``phrases`` (which replace
+    columns so named).
 
     ``lang_pred``: the learned language with the cheapest parse, ties to the first by name; ``und``
     where the text is null or has no letter, or no language was learned. ``score``: what share of the
     second-best cost the best one saves, 0 for ties and ``und``, 1 if only one language was learned.
-    ``bits``: the cost per letter; ``letters``: their number. Whole texts are parsed; no column but the text is looked at.
+    ``bits``: the cost per letter; ``letters`` and ``phrases``: their numbers. Whole texts are parsed; no column but the text is looked at.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -235,7 +237,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for texts in batches:
             yield predict(sent.value, texts.tolist())
 
-    held = [c for c in docs.columns if c not in ("lang_pred", "score", "bits", "letters")]
+    held = [c for c in docs.columns if c not in ("lang_pred", "score", "bits", "letters", "phrases")]
     return docs.select(*held, found(F.col(text)).alias("__found")).select(*held, "__found.*")
 
 
@@ -249,6 +251,5 @@ def recognised(docs: DataFrame, text: str = "text", lang: str = "lang", key: str
     more than single ones."""
     model = train(docs.filter(~F.coalesce(held_out(key), F.lit(False))), text, lang, key)
     found = identify(docs, model, text)
-    most = float(max(model.bits, default=0.0))
-    foreign = (F.col("letters") >= ENOUGH_LETTERS) & (F.col("bits") >= most)
+    foreign = (F.col("letters") >= ENOUGH_LETTERS) & (F.col("phrases") >= F.col("letters"))
     return found.filter((F.col("lang_pred") != UNKNOWN) & ~foreign).select(*docs.columns)
