@@ -230,27 +230,50 @@ def decide(percent: int):
     return run
 
 
-def tile_pairs(percent: int):
-    """Pairs of a tile that the bitmaps do not rule out, between different groups."""
-
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        _, low, high = key
-        left, right = rows[rows["block"] == low], rows[rows["block"] == high]
-        size_b, group_b = right["n"].to_numpy(), right["label"].to_numpy()
-        bits_b = np.stack(right["bits"].to_numpy()).view(np.uint64)
-        names_b = right["id"].to_numpy()
-        found = []
-        for name, size, group, bits in zip(left["id"], left["n"], left["label"], left["bits"], strict=True):
-            total = size + size_b
-            differ = np.bitwise_count(bits_b ^ np.asarray(bits).view(np.uint64)).sum(axis=1, dtype=np.int64)
-            most = (total - differ) // 2
-            ok = (100 * most >= percent * (total - most)) & (group_b != group)
-            if low == high:
-                ok &= names_b > name
-            others = names_b[ok]
-            found.append(np.column_stack([np.minimum(others, name), np.maximum(others, name)]))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(np.unique(pairs, axis=0), columns=["a", "b"])
+def pairs_of_tiles(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Pairs of whole tiles, one tile after the other, that belong to different groups and that the
+    bitmaps do not rule out. All tiles are worked on at once: each row with the next of its tile, then
+    with the one after that, until no tile has rows that far apart."""
+    tile = np.cumsum(rows["starts"].to_numpy())
+    names, sizes, labels = (rows[c].to_numpy() for c in ("id", "n", "label"))
+    blocks, low, high = (rows[c].to_numpy() for c in ("block", "low", "high"))
+    bits = np.stack(rows["bits"].to_numpy()).view(np.uint64)
+    found = []
+    for apart in range(1, len(rows)):
+        at = np.flatnonzero(tile[:-apart] == tile[apart:])
+        if not len(at):
+            break
+        to = at + apart
+        # Two blocks meet in a tile of their own; pairs inside a block belong to the tile of that block.
+        open_pair = (labels[at] != labels[to]) & ((low[at] == high[at]) | (blocks[at] != blocks[to]))
+        at, to = at[open_pair], to[open_pair]
+        total = sizes[at] + sizes[to]
+        most = (total - np.bitwise_count(bits[at] ^ bits[to]).sum(axis=1, dtype=np.int64)) // 2
+        ok = 100 * most >= percent * (total - most)
+        found.append(np.column_stack([names[at[ok]], names[to[ok]]]))
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    return pd.DataFrame(np.unique(np.sort(pairs, axis=1), axis=0), columns=["a", "b"])
+
+
+def search_tiles(percent: int):
+    """``pairs_of_tiles`` over rows in order of tiles, which may go over several batches."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for rows in batches:
+            names = rows[["key", "low", "high"]]
+            rows["starts"] = (names != names.shift()).any(axis=1)
+            if held is not None:
+                rows.loc[rows.index[0], "starts"] = bool(
+                    (names.iloc[0] != held[["key", "low", "high"]].iloc[-1]).any()
+                )
+                rows = pd.concat([held, rows], ignore_index=True)
+            cut = np.flatnonzero(rows["starts"].to_numpy())[-1] if len(rows) else 0
+            if cut:
+                yield pairs_of_tiles(rows.iloc[:cut], percent)
+            held = rows.iloc[cut:]
+        if held is not None and len(held):
+            yield pairs_of_tiles(held, percent)
 
     return run
 
@@ -311,13 +334,15 @@ def tiles(meetings: DataFrame, classes: DataFrame, labels: DataFrame, percent: i
         "pair",
         F.explode(
             F.expr(
-                "transform(sequence(0, blocks - 1), i -> struct(least(i, block) as low, greatest(i, block) as high))"
+                "transform(sequence(0, int(blocks - 1)), i -> struct(least(i, block) as low, greatest(i, block) as high))"
             )
         ),
     )
     return (
-        whole.groupBy("key", "pair.low", "pair.high")
-        .applyInPandas(tile_pairs(percent), "a long, b long")
+        whole.select("key", "pair.low", "pair.high", "id", "n", "label", "block", "bits")
+        .repartition("key", "low", "high")
+        .sortWithinPartitions("key", "low", "high", "block", "n", "id")
+        .mapInPandas(search_tiles(percent), "a long, b long")
         .distinct()
     )
 
