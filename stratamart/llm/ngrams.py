@@ -5,8 +5,8 @@ Sizes of linked sets differ by the threshold at most, so sets are handled in ban
 band, the space of hashes is cut into more parts than two linked sets can differ in elements: they
 agree on some part entirely. Sets that agree on a part (same band, part and contents) meet in a tile.
 There, bitmaps bound the overlap from above: each set's elements flip bits of 512, and two bitmaps
-differ in no more bits than the sets in elements. Pairs that pass are decided by intersecting the
-sorted arrays of the sets.
+differ in no more bits than the sets in elements. Finer bitmaps, four bits an element, do the same
+for the pairs that are left. Pairs that pass are decided by intersecting the sorted arrays of the sets.
 
 Groups of copies stay cheap: equal sets are one set; in each tile neighbours are decided first, and only
 tiles that still hold sets of different groups are searched in full.
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ BITMAP = 8  # words of 64 bits
 SEEDS = 3
 # Bytes of text that are hashed at once, sets of one side of a tile, ids that are broadcast (16 bytes
 # each in the hashed relation, some 64 MB in all); beyond it ids are met by a shuffled join.
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 19
 TILE = 2_048
 BROADCAST_IDS = 2_000_000
 
@@ -90,15 +91,17 @@ def shingle_sets(texts: list[bytes], n: int = N) -> list[np.ndarray]:
     return np.split(out[new], np.searchsorted(owner[new], np.arange(1, len(texts))))
 
 
-def batches_of(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Runs of texts of some BATCH_BYTES, one text at least."""
-    low = 0
+def batches_of(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Ids and sets of runs of some BATCH_BYTES of text, one row at least; no more text than that is held
+    besides the rows themselves."""
+    texts, low = rows["text"].tolist(), 0
+    names = rows["id"].to_numpy()
     while low < len(texts):
         high, held = low, 0
-        while high < len(texts) and (high == low or held + len(texts[high]) <= BATCH_BYTES):
-            held += len(texts[high])
+        while high < len(texts) and (high == low or held + len(texts[high] or "") <= BATCH_BYTES):
+            held += len(texts[high] or "")
             high += 1
-        yield low, high
+        yield names[low:high], [(t or "").encode() for t in texts[low:high]]
         low = high
 
 
@@ -156,30 +159,42 @@ def keys_of(hashes: np.ndarray, table: list[Band], percent: int = PERCENT) -> np
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """Bits of which each is flipped by the elements that fall on it."""
-    bits = (hashes >> np.uint64(7)) & np.uint64(64 * BITMAP - 1)
-    odd = np.bincount(bits.astype(np.int64), minlength=64 * BITMAP) & 1
+def bitmap(hashes: np.ndarray, words: int = BITMAP) -> np.ndarray:
+    """Bits of which each is flipped by the elements that fall on it; ``words`` is a power of two."""
+    bits = (hashes >> np.uint64(7)) & np.uint64(64 * words - 1)
+    odd = np.bincount(bits.astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def as_bytes(texts: pd.Series) -> list[bytes]:
-    return [t.encode() if t else b"" for t in texts]
+def fine_bitmap(hashes: np.ndarray) -> np.ndarray:
+    """A bitmap of four bits an element at least, so that it tells large sets apart as well."""
+    words = BITMAP
+    while 64 * words < 4 * len(hashes):
+        words *= 2
+    return bitmap(hashes, words)
 
 
-def describe(n: int, percent: int):
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The smaller bitmap of the same set: each of its bits is flipped by what flips those it stands for."""
+    while len(bits) > words:
+        half = len(bits) // 2
+        bits = bits[:half] ^ bits[half:]
+    return bits
+
+
+def describe(n: int):
     """Per document: size of its set, two hashes of the set, its bitmap."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            texts, out = as_bytes(rows["text"]), []
-            for low, high in batches_of(texts):
-                for own in shingle_sets(texts[low:high], n):
+            for names, texts in batches_of(rows):
+                out = []
+                for own in shingle_sets(texts, n):
                     first, second = mixed(own).sum(), mixed(own ^ np.uint64(0xA5A5)).sum()
                     out.append((len(own), *np.array([first, second]).view(np.int64), bitmap(own).view(np.int64)))
-            found = pd.DataFrame(out, columns=["n", "first", "second", "bits"])
-            found.insert(0, "id", rows["id"].to_numpy())
-            yield found
+                found = pd.DataFrame(out, columns=["n", "first", "second", "bits"])
+                found.insert(0, "id", names)
+                yield found
 
     return run
 
@@ -188,10 +203,9 @@ def emit_keys(n: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = bands(1_000, percent)
         for rows in batches:
-            texts = as_bytes(rows["text"])
-            for low, high in batches_of(texts):
+            for _, texts in batches_of(rows):
                 keys, names = [], []
-                for own in shingle_sets(texts[low:high], n):
+                for own in shingle_sets(texts, n):
                     if len(own):
                         while table[-1].low <= 2 * len(own):
                             table = bands(4 * len(own), percent)
@@ -209,23 +223,49 @@ def emit_keys(n: int, percent: int):
 def emit_arrays(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            texts, out = as_bytes(rows["text"]), []
-            for low, high in batches_of(texts):
-                out += [own.tobytes() for own in shingle_sets(texts[low:high], n)]
-            yield pd.DataFrame({"id": rows["id"].to_numpy(), "array": out})
+            for names, texts in batches_of(rows):
+                yield pd.DataFrame({"id": names, "array": [own.tobytes() for own in shingle_sets(texts, n)]})
 
     return run
 
 
-def decide(percent: int):
+def emit_bitmaps(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for names, texts in batches_of(rows):
+                sets = shingle_sets(texts, n)
+                yield pd.DataFrame({"id": names, "n": list(map(len, sets)), "fine": [fine_bitmap(own).tobytes() for own in sets]})
+
+    return run
+
+
+def bound(percent: int):
+    """Pairs whose fine bitmaps, at the size of the smaller one, leave room for the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            close = []
+            sizes = np.add(rows["n_a"].to_numpy(), rows["n_b"].to_numpy())
+            for a, b, total in zip(rows["fine_a"], rows["fine_b"], sizes.tolist(), strict=True):
+                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+                words = min(len(a), len(b))
+                most = (total - int(np.bitwise_count(folded(a, words) ^ folded(b, words)).sum())) // 2
+                close.append(100 * most >= percent * (total - most))
+            yield rows.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
+
+    return run
+
+
+def decide(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             linked = []
             for a, b in zip(rows["array_a"], rows["array_b"], strict=True):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                # Views of the batch: the arrays are not copied.
+                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 shared = len(np.intersect1d(a, b, assume_unique=True))
                 linked.append(100 * shared >= percent * (len(a) + len(b) - shared))
-            yield rows.loc[np.array(linked, dtype=bool), ["a", "b"]]
+            yield rows.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return run
 
@@ -291,11 +331,16 @@ def within_bound(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
     )
 
 
+def finer(pairs: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
+    both = pairs.join(fine.toDF("a", "n_a", "fine_a"), "a").join(fine.toDF("b", "n_b", "fine_b"), "b")
+    return both.mapInArrow(bound(percent), "a long, b long")
+
+
 def decided(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, by intersecting the arrays. Staged: links are used more than once."""
     left, right = arrays.toDF("a", "array_a"), arrays.toDF("b", "array_b")
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "array_a", "array_b")
-    return stage(both.mapInPandas(decide(percent), "a long, b long"), "ngram-links")
+    return stage(both.mapInArrow(decide(percent), "a long, b long"), "ngram-links")
 
 
 def relabelled(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -362,7 +407,7 @@ def near_groups(
     """
     slim = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     rows = stage(
-        slim.mapInPandas(describe(n, percent), "id long, n long, first long, second long, bits array<long>"),
+        slim.mapInPandas(describe(n), "id long, n long, first long, second long, bits array<long>"),
         "ngram-rows",
     )
     named = rows.filter("n > 0 and id is not null")
@@ -385,21 +430,24 @@ def near_groups(
         .select("key", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
         "ngram-meetings",
     )
-    counted = meetings.groupBy("a", "b").agg(F.count("*").alias("times"))
-    pairs = stage(within_bound(counted.select("a", "b"), classes, percent).join(counted, ["a", "b"]), "ngram-pairs")
-    met = meetings.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    arrays = arrays_of(slim, stage(met, "ngram-met"), n)
+    counted = stage(meetings.groupBy("a", "b").agg(F.count("*").alias("times")), "ngram-counted")
+    met = counted.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    fine = of_ids(slim, met, emit_bitmaps(n), "id long, n long, fine binary")
+    room = finer(within_bound(counted.select("a", "b"), classes, percent), fine, percent)
+    pairs = stage(room.join(counted, ["a", "b"]), "ngram-pairs")
 
     # First every set with the one neighbour it meets most often; then the neighbours that this left
     # apart; then all sets of tiles that still hold different groups.
+    arrays = arrays_of(slim, pairs, n)
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
     links = decided(best, arrays, percent)
     labels = relabelled(classes, links)
     more = apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
-    links = links.unionByName(decided(stage(more, "ngram-more"), arrays, percent))
+    links = links.unionByName(decided(more, arrays, percent))
     labels = relabelled(classes, links)
-    rest = tiles(meetings, classes, labels, percent).join(pairs, ["a", "b"], "left_anti")
-    links = links.unionByName(decided(stage(rest, "ngram-rest"), arrays, percent))
+    rest = tiles(meetings, classes, labels, percent).join(counted, ["a", "b"], "left_anti")
+    rest = stage(finer(rest, fine, percent), "ngram-rest")
+    links = links.unionByName(decided(rest, arrays_of(slim, rest, n), percent))
     labels = relabelled(classes, links)
     named_classes = classes.join(labels, "id").select("n", "first", "second", "label")
     # Several classes of one key are one node.
@@ -411,13 +459,19 @@ def near_groups(
     return found
 
 
-def arrays_of(slim: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """The sorted arrays of the sets that met another one, of one row per id. They are made again from
-    the texts: to keep the arrays of all documents would take more than the texts."""
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    held = slim.join(wanted, "id", "left_semi")
-    return stage(held.mapInPandas(emit_arrays(n), "id long, array binary"), "ngram-arrays")
+def of_ids(slim: DataFrame, ids: DataFrame, make, schema: str) -> DataFrame:
+    """What ``make`` makes of the texts with certain ids, staged. It is made again where it is needed:
+    to keep the arrays of all documents would take more than the texts."""
+    ids = stage(ids, "ngram-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return stage(slim.join(ids, "id", "left_semi").mapInPandas(make, schema), "ngram-made")
+
+
+def arrays_of(slim: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """The sorted arrays of the sets in some pairs."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return of_ids(slim, ids, emit_arrays(n), "id long, array binary")
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = N, percent: int = PERCENT) -> DataFrame:
