@@ -40,6 +40,8 @@ def contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def connected(links: DataFrame) -> DataFrame:
     """``node`` and ``label``, the smallest node of its group, for every node of the links ``a``, ``b``.
 
+    Links are dealt out evenly, not by node: a node with a third of all links is no task's burden.
+
     Each round contracts every partition's links to stars, which a partition's own links bound in
     size; a node that several partitions know then links their tops. What is left are links among
     tops, fewer each time and in fewer partitions, so that at last one partition sees all that is left.
@@ -49,7 +51,7 @@ def connected(links: DataFrame) -> DataFrame:
     left = links.count()
     while left and rounds < MAX_ROUNDS:
         parts = max(1, -(-left // LINKS_PER_TASK))
-        stars = stage(links.repartition(parts, "a").mapInPandas(contract, "node long, top long"), "stars")
+        stars = stage(links.repartition(parts).mapInPandas(contract, "node long, top long"), "stars")
         best = stage(stars.groupBy("node").agg(F.min("top").alias("best")), "tops")
         if labels is None:
             labels = best.select("node", F.col("best").alias("label"))
