@@ -8,8 +8,8 @@ There, bitmaps bound the overlap from above: each set's elements flip bits of 51
 differ in no more bits than the sets in elements. Finer bitmaps, four bits an element, do the same
 for the pairs that are left. Pairs that pass are decided by intersecting the sorted arrays of the sets.
 
-Groups of copies stay cheap: equal sets are one set; in each tile neighbours are decided first, and only
-tiles that still hold sets of different groups are searched in full.
+Groups of copies stay cheap: equal sets are one set; in each tile neighbours are decided first, then the
+closest sets of different groups, and only tiles that still hold different groups are searched in full.
 """
 
 from __future__ import annotations
@@ -270,52 +270,87 @@ def decide(percent: int):
     return run
 
 
-def pairs_of_tiles(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of whole tiles, one tile after the other, that belong to different groups and that the
-    bitmaps do not rule out. All tiles are worked on at once: each row with the next of its tile, then
-    with the one after that, until no tile has rows that far apart."""
+def open_pairs(rows: pd.DataFrame, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows of a tile that belong to different groups and that the bitmaps do not rule out, and
+    how far apart they are at least. All tiles are worked on at once: each row with the next of its
+    tile, then with the one after that, until no tile has rows that far apart."""
     tile = np.cumsum(rows["starts"].to_numpy())
-    names, sizes, labels = (rows[c].to_numpy() for c in ("id", "n", "label"))
+    sizes, labels = rows["n"].to_numpy(), rows["label"].to_numpy()
     blocks, low, high = (rows[c].to_numpy() for c in ("block", "low", "high"))
     bits = np.stack(rows["bits"].to_numpy()).view(np.uint64)
-    found = []
     for apart in range(1, len(rows)):
         at = np.flatnonzero(tile[:-apart] == tile[apart:])
         if not len(at):
             break
         to = at + apart
         # Two blocks meet in a tile of their own; pairs inside a block belong to the tile of that block.
-        open_pair = (labels[at] != labels[to]) & ((low[at] == high[at]) | (blocks[at] != blocks[to]))
-        at, to = at[open_pair], to[open_pair]
+        wanted = (labels[at] != labels[to]) & ((low[at] == high[at]) | (blocks[at] != blocks[to]))
+        at, to = at[wanted], to[wanted]
         total = sizes[at] + sizes[to]
-        most = (total - np.bitwise_count(bits[at] ^ bits[to]).sum(axis=1, dtype=np.int64)) // 2
+        differ = np.bitwise_count(bits[at] ^ bits[to]).sum(axis=1, dtype=np.int64)
+        most = (total - differ) // 2
         ok = 100 * most >= percent * (total - most)
-        found.append(np.column_stack([names[at[ok]], names[to[ok]]]))
-    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-    return pd.DataFrame(np.unique(np.sort(pairs, axis=1), axis=0), columns=["a", "b"])
+        yield at[ok], to[ok], differ[ok] / total[ok]
 
 
-def search_tiles(percent: int):
-    """``pairs_of_tiles`` over rows in order of tiles, which may go over several batches."""
+def as_pairs(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame(np.unique(np.sort(np.column_stack([a, b]), axis=1), axis=0), columns=["a", "b"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for rows in batches:
-            names = rows[["key", "low", "high"]]
-            rows["starts"] = (names != names.shift()).any(axis=1)
-            if held is not None:
-                rows.loc[rows.index[0], "starts"] = bool(
-                    (names.iloc[0] != held[["key", "low", "high"]].iloc[-1]).any()
-                )
-                rows = pd.concat([held, rows], ignore_index=True)
-            cut = np.flatnonzero(rows["starts"].to_numpy())[-1] if len(rows) else 0
-            if cut:
-                yield pairs_of_tiles(rows.iloc[:cut], percent)
-            held = rows.iloc[cut:]
-        if held is not None and len(held):
-            yield pairs_of_tiles(held, percent)
 
-    return run
+def all_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Every open pair of whole tiles."""
+    names = rows["id"].to_numpy()
+    found = [(names[at], names[to]) for at, to, _ in open_pairs(rows, percent)] or [(names[:0], names[:0])]
+    return as_pairs(*(np.concatenate(side) for side in zip(*found, strict=True)))
+
+
+def closest_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """For each group in each of some whole tiles, the open pair that brings it closest to another one."""
+    names, labels, tile = rows["id"].to_numpy(), rows["label"].to_numpy(), np.cumsum(rows["starts"].to_numpy())
+    far, partner = np.full(len(rows), np.inf), np.full(len(rows), -1)
+    for at, to, differ in open_pairs(rows, percent):
+        for own, other in ((at, to), (to, at)):  # a row occurs once on either side
+            closer = differ < far[own]
+            far[own[closer]], partner[own[closer]] = differ[closer], other[closer]
+    order = np.lexsort((names, far, labels, tile))
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = (tile[order][1:] != tile[order][:-1]) | (labels[order][1:] != labels[order][:-1])
+    best = order[first]
+    best = best[partner[best] >= 0]
+    return as_pairs(names[best], names[partner[best]])
+
+
+def of_whole_tiles(batches: Iterator[pd.DataFrame], search, percent: int) -> Iterator[pd.DataFrame]:
+    """``search`` over rows in order of tiles, which may go over several batches."""
+    held = None
+    for rows in batches:
+        names = rows[["key", "low", "high"]]
+        rows["starts"] = (names != names.shift()).any(axis=1)
+        if held is not None:
+            rows.loc[rows.index[0], "starts"] = bool(
+                (names.iloc[0] != held[["key", "low", "high"]].iloc[-1]).any()
+            )
+            rows = pd.concat([held, rows], ignore_index=True)
+        cut = np.flatnonzero(rows["starts"].to_numpy())[-1] if len(rows) else 0
+        if cut:
+            yield search(rows.iloc[:cut], percent)
+        held = rows.iloc[cut:]
+    if held is not None and len(held):
+        yield search(held, percent)
+
+
+def search_all(percent: int):
+    def every_open_pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from of_whole_tiles(batches, all_pairs, percent)
+
+    return every_open_pair
+
+
+def search_closest(percent: int):
+    def closest_open_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from of_whole_tiles(batches, closest_pairs, percent)
+
+    return closest_open_pairs
 
 
 def within_bound(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -356,8 +391,8 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.filter("label_a <> label_b").select("a", "b")
 
 
-def tiles(meetings: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs worth deciding in the tiles that hold sets of different groups. A tile of many sets is cut
+def tiles(meetings: DataFrame, classes: DataFrame, labels: DataFrame, search) -> DataFrame:
+    """Pairs worth deciding in the tiles that hold sets of different groups, by ``search``. A tile of many sets is cut
     into blocks by size; each two blocks are a task of their own."""
     members = (
         meetings.select("key", F.explode(F.array("a", "b")).alias("id")).distinct().join(labels, "id")
@@ -387,7 +422,7 @@ def tiles(meetings: DataFrame, classes: DataFrame, labels: DataFrame, percent: i
         whole.select("key", "pair.low", "pair.high", "id", "n", "label", "block", "bits")
         .repartition("key", "low", "high")
         .sortWithinPartitions("key", "low", "high", "block", "n", "id")
-        .mapInPandas(search_tiles(percent), "a long, b long")
+        .mapInPandas(search, "a long, b long")
         .distinct()
     )
 
@@ -437,7 +472,8 @@ def near_groups(
     pairs = stage(room.join(counted, ["a", "b"]), "ngram-pairs")
 
     # First every set with the one neighbour it meets most often; then the neighbours that this left
-    # apart; then all sets of tiles that still hold different groups.
+    # apart; then, in tiles that still hold different groups, the closest sets of each; then all sets of
+    # tiles that hold different groups even so.
     arrays = arrays_of(slim, pairs, n)
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
     links = decided(best, arrays, percent)
@@ -445,10 +481,13 @@ def near_groups(
     more = apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
     links = links.unionByName(decided(more, arrays, percent))
     labels = relabelled(classes, links)
-    rest = tiles(meetings, classes, labels, percent).join(counted, ["a", "b"], "left_anti")
-    rest = stage(finer(rest, fine, percent), "ngram-rest")
-    links = links.unionByName(decided(rest, arrays_of(slim, rest, n), percent))
-    labels = relabelled(classes, links)
+    looked_at = counted.select("a", "b")
+    for search in (search_closest(percent), search_all(percent)):
+        rest = tiles(meetings, classes, labels, search).join(looked_at, ["a", "b"], "left_anti")
+        rest = stage(finer(rest, fine, percent), "ngram-rest")
+        links = links.unionByName(decided(rest, arrays_of(slim, rest, n), percent))
+        labels = relabelled(classes, links)
+        looked_at = looked_at.unionByName(rest)
     named_classes = classes.join(labels, "id").select("n", "first", "second", "label")
     # Several classes of one key are one node.
     found = rows.join(named_classes, ["n", "first", "second"], "left").select(
