@@ -109,14 +109,25 @@ def passages(
         .distinct()
     )
     windows = stage(windows, "windows")
+    # Texts are cut into words again only where they have windows; what is joined are ids and hashes.
+    per_doc = windows.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("n", "start")).alias("windows"))
+    hashed = own_docs.withColumn("mark", F.xxhash64("text")).alias("d")
+    met = hashed.join(per_doc.alias("w"), F.expr("d.doc_id <=> w.doc_id and d.mark = w.mark"))
     fingered = (
-        prepared(own_docs, "text")
-        .dropDuplicates(["doc_id", "mark"])
-        .alias("d")
-        .join(windows.alias("w"), F.expr("d.doc_id <=> w.doc_id and d.mark = w.mark"))
-        .select("d.doc_id", "d.mark", "w.n", "w.start", F.expr("slice(d.words, w.start + 1, w.n)").alias("words"))
-        .select("doc_id", "mark", "n", "start", F.expr(shingles("words")).alias("shingles"),
-                F.expr(fingerprint("words")).alias("print"))
+        prepared(met.select("d.doc_id", "d.text", "w.windows"), "text")
+        .select("doc_id", "mark", "words", F.explode("windows").alias("window"))
+        .select(
+            "doc_id", "mark", "window.*", F.expr("slice(words, window.start + 1, window.n)").alias("words")
+        )
+        .select(
+            "doc_id",
+            "mark",
+            "n",
+            "start",
+            F.expr(shingles("words")).alias("shingles"),
+            F.expr(fingerprint("words")).alias("print"),
+        )
+        .dropDuplicates(["doc_id", "mark", "n", "start"])
     )
     fingered = stage(fingered, "fingerprints")
     left = fingered.select("doc_id", "mark", "n", "start", "print", F.explode(F.expr(blocks("print"))).alias("block"))
