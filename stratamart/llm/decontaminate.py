@@ -1,23 +1,22 @@
 """Finding benchmark passages in documents, in DataFrame operations alone.
 
-A window of a document is as long as the item it is held against. Only windows that share a shingle with
-an item can be similar to it, so windows are laid where shingles of items occur. Windows and items
-get 64-bit SimHash fingerprints of their words; fingerprints are cut into one block more than
-they may differ in bits, so any two within that radius agree on a block, and an equi-join on blocks
-finds them all. What is within the radius is decided by the exact similarity of weighted shingles.
+A window of a document is as long as the item it is held against. A window that is similar to an item
+shares one of the item's rarest shingles and holds a known number of its shingles, so documents meet items
+by the rarest, and only windows with that many are looked at. Nothing is left to chance: what is similar
+is found, however far its SimHash fingerprint is, which is stated with every passage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratamart.llm.common import stage
 
 SHINGLE = 5
-SIMILARITY = 0.8
-# Bits in which fingerprints may differ. Five-word shingles that are 0.8 similar differ in a word or
-# two of an item, which turns some 5 of 64 bits.
+PERCENT = 80
+SIMILARITY = PERCENT / 100
+# Bits within which fingerprints surely agree on one of ``blocks``. Passages are not chosen by it.
 RADIUS = 11
 # Item shingles that are broadcast (24 bytes each, with the hashed relation's overhead some 64 MB); a
 # larger benchmark is met by a shuffled join.
@@ -51,9 +50,28 @@ def blocks(bits: str) -> str:
     )
 
 
+# For an item's shingles (``m``, in order ``wanted``) and the places in a document of ``size`` words where any
+# of them stands (``hits``, by place): shingles of a window, its last start, and how many it has to share,
+# since shared / (width + m - shared) is at least PERCENT / 100.
+WIDTH = f"(least(size, n) - {SHINGLE - 1})"
+LAST = "greatest(0, size - n)"
+NEEDED = f"(({PERCENT} * (width + m) + {99 + PERCENT}) div {100 + PERCENT})"
+# Every window with that many hits, counted from its first hit (``i``): starts after the hit before and not
+# after that one, late enough to reach the last hit that is needed.
+SPANS = (
+    "filter(transform(if(size(hits) < needed, array(), sequence(0, size(hits) - needed)), i -> struct(slice(hits, i + 1, width) as hits, "
+    "greatest(0, coalesce(get(hits, i - 1).at, -1) + 1, get(hits, i + needed - 1).at - width + 1) as low, "
+    "least(last, get(hits, i).at) as high)), x -> x.low <= x.high)"
+)
+# Shingles that hits and item share, each as often as in the one that has fewer.
 SHARED = (
-    "aggregate(array_intersect({a}, {b}), 0, (sum, x) -> sum + "
-    "least(size(filter({a}, y -> y = x)), size(filter({b}, y -> y = x))))"
+    "if(plain, size(array_distinct({a})), aggregate(array_distinct({a}), 0, (sum, y) -> sum + "
+    "least(size(filter({a}, z -> z = y)), size(filter(wanted, z -> z = y)))))"
+)
+BEST = (
+    "array_max(flatten(transform(spans, x -> transform(sequence(x.low, x.high), s -> struct("
+    + SHARED.format(a="transform(filter(x.hits, h -> h.at < s + width), h -> h.shingle)")
+    + " as shared, -s as back)))))"
 )
 
 
@@ -67,6 +85,77 @@ def prepared(rows: DataFrame, text: str) -> DataFrame:
     )
 
 
+def prepared_items(items: DataFrame, item: str, text: str) -> DataFrame:
+    """``item_id``, ``own`` (a hash of the words), ``n``, ``wanted``, ``m`` and ``print`` of every different item."""
+    return stage(
+        prepared(items.select(F.col(item).alias("item_id"), F.col(text).alias("text")), "text")
+        .select(
+            "item_id",
+            F.xxhash64("words").alias("own"),
+            F.size("words").alias("n"),
+            F.expr(shingles("words")).alias("wanted"),
+            F.expr(fingerprint("words")).alias("print"),
+        )
+        .withColumn("m", F.size("wanted"))
+        .distinct(),
+        "items",
+    )
+
+
+def sent(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def best_windows(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``doc_id``, ``mark``, ``item_id``, ``own``, ``start``, ``n`` and ``similarity``: the best window of
+    each different row of ``doc_id`` and ``text`` for each item that it holds."""
+    each = known.select("item_id", "own", "m", F.explode("wanted").alias("shingle"))
+    # A window may lack 20 % of an item's shingles, so it has one of any that are more. The shingles that
+    # the fewest items have are taken, so that a phrase of many items does not bring all of them together.
+    spread = each.select("item_id", "own", "shingle").distinct().groupBy("shingle").agg(F.count("*").alias("items"))
+    rarest = Window.partitionBy("item_id", "own").orderBy("items", "shingle")
+    anchors = stage(
+        each.join(spread, "shingle")
+        .withColumn("turn", F.row_number().over(rarest))
+        .filter(f"turn <= {100 - PERCENT} * m div 100 + 1")
+        .select("item_id", "own", "shingle")
+        .distinct(),
+        "anchors",
+    )
+    places = (
+        prepared(docs, "text")
+        .select("doc_id", "mark", F.size("words").alias("size"), F.expr(shingles("words")).alias("shingles"))
+        .select("doc_id", "mark", "size", F.posexplode_outer("shingles").alias("at", "shingle"))
+        .join(sent(each.select("shingle").distinct()), "shingle")
+        .groupBy("doc_id", "mark", "size")
+        .agg(F.array_sort(F.collect_set(F.struct("at", "shingle"))).alias("hits"))
+    )
+    places = stage(places, "places")
+    pairs = (
+        places.select("doc_id", "mark", F.explode(F.expr("array_distinct(hits.shingle)")).alias("shingle"))
+        .join(sent(anchors), "shingle")
+        .select("doc_id", "mark", "item_id", "own")
+        .distinct()
+    )
+    return (
+        places.alias("d")
+        .join(pairs.alias("p"), F.expr("d.doc_id <=> p.doc_id and d.mark = p.mark"))
+        .join(known.alias("i"), F.expr("p.item_id <=> i.item_id and p.own = i.own"))
+        .select("d.doc_id", "d.mark", "size", "hits", "i.item_id", "i.own", "n", "m", "wanted")
+        .withColumns({"width": F.expr(WIDTH), "last": F.expr(LAST), "plain": F.expr("size(array_distinct(wanted)) = m")})
+        .withColumns(
+            {"needed": F.expr(NEEDED).cast("int"), "hits": F.expr("filter(hits, h -> array_contains(wanted, h.shingle))")}
+        )
+        .filter("size(hits) >= needed")
+        .withColumn("spans", F.expr(SPANS))
+        .filter("size(spans) > 0")
+        .withColumn("best", F.expr(BEST))
+        .withColumn("similarity", F.expr("best.shared / (width + m - best.shared)"))
+        .filter(F.col("similarity") >= SIMILARITY)
+        .select("doc_id", "mark", "item_id", "own", (-F.col("best.back")).alias("start"), "n", "similarity")
+    )
+
+
 def passages(
     docs: DataFrame,
     items: DataFrame,
@@ -78,78 +167,31 @@ def passages(
     """``doc_id``, ``mark``, ``item_id``, ``start`` (word, from 0), ``n_words``, ``distance``, ``similarity``:
     the best window of each row of ``docs`` for each item that it holds.
 
-    A window holds an item if their fingerprints are within RADIUS bits and their shingles, weighted
-    by occurrences, are at least SIMILARITY similar (sum of smaller counts over sum of larger ones);
-    of equally similar windows the first. Null or empty texts, and texts of fewer than five words, hold nothing
-    and are held nowhere. Repeated rows count once: ``mark`` is a hash of the text, and rows with equal
+    A window holds an item if their shingles, weighted by occurrences, are at least SIMILARITY similar (sum
+    of smaller counts over sum of larger ones); of equally similar windows the first. ``distance`` is that of
+    their fingerprints in bits, whatever it is. Null or empty texts, and texts of fewer than five words, hold
+    nothing and are held nowhere. Repeated rows count once: ``mark`` is a hash of the text, and rows with equal
     ids and texts share a result. Null ids are values like others. Other columns are not looked at.
     """
     own_docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    own_items = items.select(F.col(item).alias("item_id"), F.col(item_text).alias("text"))
-    known = stage(
-        prepared(own_items, "text")
-        .withColumn("n", F.size("words"))
-        .withColumn("shingles", F.expr(shingles("words")))
-        .withColumn("print", F.expr(fingerprint("words")))
-        .select("item_id", "n", "shingles", "print")
-        .distinct(),
-        "items",
-    )
-    anchors = known.select("n", F.posexplode_outer("shingles").alias("offset", "shingle")).distinct()
-    if anchors.count() <= BROADCAST_ROWS:
-        anchors = F.broadcast(anchors)
-    places = (
-        prepared(own_docs, "text")
-        .select("doc_id", "mark", F.size("words").alias("size"), F.expr(shingles("words")).alias("shingles"))
-        .select("doc_id", "mark", "size", F.posexplode_outer("shingles").alias("at", "shingle"))
+    known = prepared_items(items, item, item_text)
+    found = stage(best_windows(own_docs, known), "windows")
+    # Texts are cut into words again only where they hold an item; what is joined are ids and hashes.
+    per_doc = found.groupBy("doc_id", "mark").agg(
+        F.collect_list(F.struct("item_id", "own", "start", "n", "similarity")).alias("found")
     )
-    windows = (
-        places.join(anchors, "shingle")
-        .select("doc_id", "mark", "n", F.expr("greatest(0, least(at - offset, size - n))").alias("start"))
-        .distinct()
-    )
-    windows = stage(windows, "windows")
-    # Texts are cut into words again only where they have windows; what is joined are ids and hashes.
-    per_doc = windows.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("n", "start")).alias("windows"))
     hashed = own_docs.withColumn("mark", F.xxhash64("text")).alias("d")
     met = hashed.join(per_doc.alias("w"), F.expr("d.doc_id <=> w.doc_id and d.mark = w.mark"))
-    fingered = (
-        prepared(met.select("d.doc_id", "d.text", "w.windows"), "text")
-        .select("doc_id", "mark", "words", F.explode("windows").alias("window"))
-        .select(
-            "doc_id", "mark", "window.*", F.expr("slice(words, window.start + 1, window.n)").alias("words")
-        )
-        .select(
-            "doc_id",
-            "mark",
-            "n",
-            "start",
-            F.expr(shingles("words")).alias("shingles"),
-            F.expr(fingerprint("words")).alias("print"),
-        )
-        .dropDuplicates(["doc_id", "mark", "n", "start"])
-    )
-    fingered = stage(fingered, "fingerprints")
-    left = fingered.select("doc_id", "mark", "n", "start", "print", F.explode(F.expr(blocks("print"))).alias("block"))
-    right = known.select("item_id", "n", F.col("print").alias("item_print"), F.explode(F.expr(blocks("print"))).alias("block"))
-    near = (
-        left.join(right, ["n", "block"])
-        .withColumn("distance", F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))))
-        .filter(F.col("distance") <= RADIUS)
-        .select("doc_id", "mark", "n", "start", "item_id", "print", "item_print", "distance")
-        .distinct()
-    )
-    same_window = F.expr("c.doc_id <=> f.doc_id and c.mark = f.mark and c.n = f.n and c.start = f.start")
-    same_item = F.expr("c.item_id <=> i.item_id and c.n = i.n and c.item_print = i.print")
     return (
-        near.alias("c")
-        .join(fingered.alias("f"), same_window)
-        .join(known.alias("i"), same_item)
-        .withColumn("shared", F.expr(SHARED.format(a="f.shingles", b="i.shingles")))
-        .withColumn("similarity", F.expr("shared / (size(f.shingles) + size(i.shingles) - shared)"))
-        .filter(F.col("similarity") >= SIMILARITY)
-        .groupBy("c.doc_id", "c.mark", "c.item_id")
-        .agg(F.max(F.struct("similarity", (-F.col("c.start")).alias("back"), F.col("c.n").alias("n"), (-F.col("distance")).alias("near"))).alias("best"))
+        prepared(met.select("d.doc_id", "d.text", "w.found"), "text")
+        .select("doc_id", "mark", "words", F.explode("found").alias("found"))
+        .select("doc_id", "mark", "found.*", F.expr("slice(words, found.start + 1, found.n)").alias("words"))
+        .withColumn("print", F.expr(fingerprint("words")))
+        .alias("f")
+        .join(known.alias("i"), F.expr("f.item_id <=> i.item_id and f.own = i.own"))
+        .withColumn("distance", F.bit_count(F.col("f.print").bitwiseXOR(F.col("i.print"))))
+        .groupBy("f.doc_id", "f.mark", "f.item_id")
+        .agg(F.max(F.struct("similarity", (-F.col("f.start")).alias("back"), F.col("f.n").alias("n"), (-F.col("distance")).alias("near"))).alias("best"))
         .select(
             "doc_id",
             "mark",
@@ -164,7 +206,9 @@ def passages(
 
 def without_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` less the rows that hold an item."""
-    found = stage(passages(docs, items, key, text).select("doc_id", "mark").distinct(), "contaminated")
+    own_docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    held = best_windows(own_docs, prepared_items(items, "item_id", "text"))
+    found = stage(held.select("doc_id", "mark").distinct(), "contaminated")
     marked = docs.withColumn("__mark", F.xxhash64(text)).alias("d")
     same = F.expr(f"d.`{key}` <=> c.doc_id and d.__mark = c.mark")
     return marked.join(found.alias("c"), same, "left_anti").drop("__mark")

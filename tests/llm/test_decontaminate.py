@@ -52,6 +52,33 @@ def test_passages_as_by_trying_every_window(spark, docs_of):
     assert len(wanted) > 15
 
 
+def test_edits_down_to_the_least_similarity(spark, docs_of):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    items, docs = {}, {}
+    for i, (n, k) in enumerate([(25, 2), (35, 3), (45, 4), (55, 5), (59, 6), (150, 12), (200, 17)] * 8):
+        piece = items[i] = [word() for _ in range(n)]
+        fresh = [word() for _ in range(k)]
+        if n > 100:
+            at = rng.randrange(5, n - k - 5)
+            edited = piece[:at] + fresh + piece[at + k :]
+        else:
+            edited = piece[: n - k] + fresh if i % 2 else fresh + piece[k:]
+        docs[i] = [word() for _ in range(20)] + edited + [word() for _ in range(20)]
+    # Halves that have changed places are as similar to the item.
+    items[100] = [word() for _ in range(60)]
+    docs[100] = [word() for _ in range(70)] + items[100][30:] + items[100][:30] + [word() for _ in range(70)]
+    rows = [(d, " ".join(w), "en", "s") for d, w in docs.items()]
+    found = decontaminate.passages(docs_of(rows), items_of(spark, [(i, " ".join(w)) for i, w in items.items()])).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(docs)
+    assert all(r["doc_id"] == r["item_id"] for r in found)
+    assert max(r["distance"] for r in found) > decontaminate.RADIUS
+    for r in found:
+        own, item = docs[r["doc_id"]], items[r["item_id"]]
+        windows = [similarity(own[s : s + len(item)], item) for s in range(len(own) - len(item) + 1)]
+        assert abs(r["similarity"] - max(windows)) < 1e-9 and r["start"] == windows.index(max(windows))
+
+
 def test_fingerprints_and_blocks(spark):
     row = spark.range(1).selectExpr("split('to be or not to be', ' ') AS w").withColumn(
         "print", F.expr(decontaminate.fingerprint("w"))
