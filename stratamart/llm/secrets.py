@@ -1,7 +1,7 @@
 """Secret scans whose false positives a random forest removes, in DataFrame operations alone.
 
-A pattern finds every run of key-like characters that is long enough to be a secret; most are words,
-names or numbers. The forest looks at length, character transitions, dictionary coverage, path and
+Patterns find every run of key-like characters that is long enough to be a secret, every value that a word
+announces, and passwords in urls; most are words, names or numbers. The forest looks at length, character transitions, dictionary coverage, path and
 neighbouring words, and is trained on labelled findings.
 """
 
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from stratamart.llm.common import SPACE, seeded_key, stage
 
-MIN_LENGTH = 16
+# Characters of a run that nothing announces, and of an announced value.
+MIN_LENGTH, MIN_ANNOUNCED = 16, 6
 # The bounded sample that is learned from: documents, findings of either label, words of the dictionary.
 SAMPLE_DOCS = 20_000
 SAMPLE_FINDINGS = 5_000
@@ -26,20 +27,38 @@ DICTIONARY = 150
 TREES, DEPTH = 20, 8
 NEIGHBOURHOOD = 60
 
-CANDIDATE = rf"(?<![\\p{{L}}\\p{{N}}_+/-])[A-Za-z0-9_+/-]{{{MIN_LENGTH},}}+={{0,2}}(?![\\p{{L}}\\p{{N}}])"
 # Words that announce a secret, words that deny one, and formats that providers use.
 ANNOUNCING = "key|token|secret|passw|pwd|auth|bearer|credential|api"
 DENYING = "example|sample|dummy|placeholder|changeme|test|fake"
 PROVIDER_FORMATS = "AKIA[A-Z0-9]{16}|ASIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[bap]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}"
+# Where an announced value starts; its last part is looked at first, which turns most places away.
+SIGN = r"[=:]{1,3}>?\s{0,3}"
+ASSIGNED = rf"(?<![^=:>\s\"'`])(?<={SIGN}[\"'`]?)(?<=(?i:{ANNOUNCING})[\p{{L}}\p{{N}}_.-]{{0,20}}[\"'`\])]{{0,2}}\s{{0,3}}{SIGN}"
+# A value reaches to the quote that it starts with, or else to the next blank, less closing marks.
+VALUES = [rf"{ASSIGNED}{q})[^\s{q}]{{{MIN_ANNOUNCED},}}(?={q})" for q in "\"'`"] + [
+    rf"{ASSIGNED})(?![\"'`]|(?<=[=:])[=:>])\S{{{MIN_ANNOUNCED - 1},}}[^\s.,;:)\]}}>\"'`]"
+]
+# One pattern for each kind of candidate; a place may be found by several.
+CANDIDATES = [
+    rf"(?<![\p{{L}}\p{{N}}_+/-])[A-Za-z0-9_+/-]{{{MIN_LENGTH},}}+={{0,2}}(?![\p{{L}}\p{{N}}])",
+    "|".join(VALUES),
+    r"(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/]+(?=@[^\s/@])",
+]
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
+IN_URL = "before rlike '://[^ /:@]{0,64}:$' and behind rlike '^@'"
+
 FEATURES = ["length", "switches", "digits", "capitals", "distinct", "transitions", "covered", "tested_path",
-            "path_depth", "announced", "denied", "assigned", "quoted"]
+            "path_depth", "announced", "denied", "assigned", "quoted", "in_url"]
 
 
 def findings(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """Every candidate: ``doc_id``, ``mark`` (a hash of the text), ``nth``, ``start`` (characters before it),
-    ``value``, what stands before and behind it, and ``path``."""
+    ``value``, what stands before and behind it, and ``path``.
+
+    Candidates are runs of MIN_LENGTH or more key-like characters, values of MIN_ANNOUNCED or more characters
+    other than blanks after an announcing word and ``=`` or ``:``, and passwords in ``user:password@`` of urls.
+    An announced value may hold a run; both are candidates then, unless they are the same."""
     rows = docs.select(
         F.col(key).alias("doc_id"),
         F.xxhash64(text).alias("mark"),
@@ -47,22 +66,32 @@ def findings(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
         (F.col(path).cast("string") if path else F.lit("")).alias("path"),
     )
     cut = rows.withColumns(
-        {
-            "values": F.expr(f"regexp_extract_all(text, '{CANDIDATE}', 0)"),
-            "between": F.expr(f"if(text rlike '{CANDIDATE}', split(text, '{CANDIDATE}', -1), null)"),
-        }
-    ).filter("size(values) > 0")
+        {f"values{k}": F.regexp_extract_all("text", F.lit(c), F.lit(0)) for k, c in enumerate(CANDIDATES)}
+    ).filter(" or ".join(f"size(values{k}) > 0" for k in range(len(CANDIDATES))))
+    cut = cut.withColumns(
+        {f"between{k}": F.when(F.expr(f"size(values{k}) > 0"), F.split("text", c, -1)) for k, c in enumerate(CANDIDATES)}
+    )
     pieces = F.expr(
-        f"transform(values, (v, i) -> struct(v as value, right(between[i], {NEIGHBOURHOOD}) as before, "
-        f"left(between[i + 1], {NEIGHBOURHOOD}) as behind, length(between[i]) as gap))"
+        "concat({})".format(
+            ", ".join(
+                f"transform(values{k}, (v, i) -> struct({k} as kind, i as turn, v as value, "
+                f"right(between{k}[i], {NEIGHBOURHOOD}) as before, left(between{k}[i + 1], {NEIGHBOURHOOD}) as behind, "
+                f"length(between{k}[i]) as gap))"
+                for k in range(len(CANDIDATES))
+            )
+        )
     )
-    so_far = Window.partitionBy("doc_id", "mark").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("doc_id", "mark", "kind").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     return (
         cut.dropDuplicates(["doc_id", "mark"])
-        .select("doc_id", "mark", "path", F.posexplode(pieces).alias("nth", "piece"))
-        .select("doc_id", "mark", "path", "nth", "piece.*")
+        .select("doc_id", "mark", "path", F.explode(pieces).alias("piece"))
+        .select("doc_id", "mark", "path", "piece.*")
         .withColumn("start", F.col("gap") + F.coalesce(F.sum(F.expr("gap + length(value)")).over(so_far), F.lit(0)))
-        .drop("gap")
+        # What is found twice keeps the text before it that tells more.
+        .groupBy("doc_id", "mark", "path", "start", "value")
+        .agg(F.max(F.struct(F.length("before").alias("told"), "kind", "before", "behind")).alias("seen"))
+        .withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy("start", "value")) - 1)
+        .select("doc_id", "mark", "path", "nth", "value", "seen.before", "seen.behind", "start")
     )
 
 
@@ -99,16 +128,17 @@ def with_features(found: DataFrame, rates: list[float], dictionary: list[str]) -
                 "capitals": F.expr(f"(length(value) - length(translate(value, '{UPPER}', ''))) / length(value)"),
                 "distinct": F.expr("size(array_distinct(split(value, ''))) / length(value)"),
                 "transitions": F.expr(
-                    f"aggregate(sequence(1, length(low) - 1), 0D, (sum, i) -> sum + if({letters}, "
-                    f"element_at(array({table}), {place} + 1), {min(rates):.4f}D)) / (length(low) - 1)"
+                    f"aggregate(sequence(1, greatest(1, length(low) - 1)), 0D, (sum, i) -> sum + if({letters}, "
+                    f"element_at(array({table}), {place} + 1), {min(rates):.4f}D)) / greatest(1, length(low) - 1)"
                 ),
                 "covered": F.expr(f"1 - length(regexp_replace(low, '{words}', '')) / length(low)"),
                 "tested_path": F.expr(f"coalesce(lower(path), '') rlike '{DENYING}|doc'"),
                 "path_depth": F.expr("length(path) - length(replace(path, '/', ''))"),
-                "announced": F.expr(f"lower(before) rlike '({ANNOUNCING})[^ ]*[ =:\"]{{0,4}}$'"),
+                "announced": F.lower("before").rlike(rf"({ANNOUNCING})\S*[\s=:>\"'`]{{0,8}}$"),
                 "denied": F.expr(f"lower(concat(before, ' ', low, ' ', behind)) rlike '{DENYING}'"),
                 "assigned": F.expr("before rlike '[=:] ?[\"`]?$'"),
                 "quoted": F.expr("before rlike '[\"`]$' and behind rlike '^[\"`]'"),
+                "in_url": F.expr(IN_URL),
             }
         )
         .withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES})
@@ -116,15 +146,14 @@ def with_features(found: DataFrame, rates: list[float], dictionary: list[str]) -
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """Labels for findings that need no judgement: formats of providers and announced values with
-    digits are secrets, runs of letters with at most one capital are not; the others stay open."""
+    """Labels for findings that need no judgement: formats of providers, passwords in urls and announced values
+    with digits are secrets, runs of letters with at most one capital are not; the others stay open."""
+    announced = F.lower("before").rlike(rf"({ANNOUNCING})\S*[\s=:>\"'`]{{1,8}}$")
     return found.withColumn(
         "label",
-        F.expr(
-            f"case when value rlike '^({PROVIDER_FORMATS})$' then 1D "
-            f"when lower(before) rlike '({ANNOUNCING})[^ ]*[ =:\"]{{1,4}}$' and value rlike '[0-9]' then 1D "
-            "when value rlike '^[A-Za-z]?[a-z_+/-]*$' then 0D end"
-        ),
+        F.when(F.col("value").rlike(f"^({PROVIDER_FORMATS})$") | F.expr(IN_URL), 1.0)
+        .when(announced & F.col("value").rlike("[0-9]"), 1.0)
+        .when(F.col("value").rlike("^[A-Za-z]?[a-z_+/-]*$"), 0.0),
     )
 
 

@@ -43,6 +43,44 @@ def test_candidates_stand_alone(docs_of):
     assert [(r["value"], text[r["start"] :][:3]) for r in found] == [("c" * 16 + "==", "ccc"), ("e" * 16, "eee")]
 
 
+ANNOUNCED = [
+    ('password = "hunter2!" and on', "hunter2!"),
+    ("pwd: Tr0ub4dor&3, they said", "Tr0ub4dor&3"),
+    ("see postgres://user:pass@host/db", "pass"),
+    ("redis://:p@ss@host:6379", "p@ss"),
+    ("{'api_key': 'ab~cd.ef12'}", "ab~cd.ef12"),
+    ('"secret"=>"it\'s-9.me"', "it's-9.me"),
+    ("TOKEN=x9.y8~z7;", "x9.y8~z7"),
+]
+
+
+def test_announced_values_of_any_characters(docs_of):
+    rows = [(i, text, "en", "s") for i, (text, _) in enumerate(ANNOUNCED)]
+    rows.append((90, "password: short token= http://host:80/a@b the key is simple", "en", "s"))
+    run = "Zx" + "4a" * 10
+    rows.append((91, f"keys: one,{run},two", "en", "s"))
+    found = secrets.findings(docs_of(rows)).collect()
+    texts = {r[0]: r[1] for r in rows}
+    assert all(texts[r["doc_id"]][r["start"] :].startswith(r["value"]) for r in found)
+    got = {(r["doc_id"], r["value"]) for r in found}
+    assert {(i, value) for i, (_, value) in enumerate(ANNOUNCED)} == {g for g in got if g[0] < 90}
+    assert {g for g in got if g[0] == 90} == {(90, "http://host:80/a@b")}
+    # A run inside an announced value is not lost.
+    assert {g for g in got if g[0] == 91} == {(91, run), (91, f"one,{run},two")}
+    assert len(found) == len(got)
+
+
+def test_short_announced_secrets_are_kept(docs_of):
+    rng = random.Random(9)
+    rows, _ = corpus(4, 300)
+    short = lambda: "".join(rng.choices("abcXYZ!~&.", k=7)) + rng.choice("0123456789")
+    teach = [(i, f"{t} password = \"{short()}\" then" if i % 3 == 1 else t, *r) for i, t, *r in rows]
+    scanner = secrets.train(docs_of(teach))
+    rows = [(i, text, "en", "s") for i, (text, _) in enumerate(ANNOUNCED)]
+    kept = {(r["doc_id"], r["value"]) for r in secrets.scan(docs_of(rows), scanner).collect() if r["secret"]}
+    assert kept == {(i, value) for i, (_, value) in enumerate(ANNOUNCED)}
+
+
 def test_given_labels_are_learned(docs_of):
     rows, hidden = corpus(3, 200)
     df = docs_of(rows)
