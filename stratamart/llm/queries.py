@@ -27,7 +27,7 @@ def op3_decontamination(spark, sf_dir):
 
 def op4_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return secrets.scan(docs, secrets.train(docs, path="source"), path="source")
+    return secrets.scan(docs, secrets.train(docs, path="source", lang="lang"), path="source")
 
 
 # A conversation whose texts are made of another template's control strings.

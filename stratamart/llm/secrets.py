@@ -20,10 +20,12 @@ from stratamart.llm.common import SPACE, seeded_key, stage
 
 # Characters of a run that nothing announces, and of an announced value.
 MIN_LENGTH, MIN_ANNOUNCED = 16, 6
-# The bounded sample that is learned from: documents, findings of either label, words of the dictionary.
+# The bounded sample that the forest is fitted on: documents whose findings are labelled, findings of either label.
 SAMPLE_DOCS = 20_000
 SAMPLE_FINDINGS = 5_000
-DICTIONARY = 150
+# Most frequent words of each language. At most so many words can each be 1/DICTIONARY of all words of
+# their language, so every word that is as frequent as that is in the dictionary.
+DICTIONARY = 500
 TREES, DEPTH = 20, 8
 NEIGHBOURHOOD = 60
 
@@ -110,12 +112,29 @@ def character_rates(words: DataFrame) -> list[float]:
     return [known.get(a + b, least) for a in LOWER for b in LOWER]
 
 
+def either_of(words: list[str]) -> str:
+    """A pattern of the longest of the words at a place. Words that begin alike share their beginning in it,
+    so that a place is tried in as many steps as a word has letters, however many words there are."""
+    tree: dict = {}
+    for word in words:
+        at = tree
+        for letter in word:
+            at = at.setdefault(letter, {})
+        at[""] = {}
+
+    def below(at: dict) -> str:
+        ways = [letter + below(at[letter]) for letter in sorted(at) if letter]
+        return f"(?:{'|'.join(ways)}){'?' if '' in at else ''}" if ways else ""
+
+    return below(tree) or "(?!)"
+
+
 def with_features(found: DataFrame, rates: list[float], dictionary: list[str]) -> DataFrame:
     """FEATURES of every finding, as doubles. A pair of characters that are not both letters counts
     as unlikely as the least likely pair of letters."""
     table = ", ".join(f"{r:.4f}D" for r in rates)
     classes = f"translate(value, '{LOWER}{UPPER}{DIGITS}', '{'a' * 26}{'A' * 26}{'9' * 10}')"
-    words = "|".join(dictionary) or "(?!)"
+    words = either_of(dictionary)
     place = "(ascii(substr(low, i, 1)) - 97) * 26 + ascii(substr(low, i + 1, 1)) - 97"
     letters = "ascii(substr(low, i, 1)) between 97 and 122 and ascii(substr(low, i + 1, 1)) between 97 and 122"
     return (
@@ -164,33 +183,43 @@ class Scanner:
     forest: PipelineModel | None
 
 
-def train(docs: DataFrame, labelled: DataFrame | None = None, key: str = "doc_id", text: str = "text",
-          path: str | None = None) -> Scanner:
-    """A scanner from a bounded sample: words and pairs of letters of some SAMPLE_DOCS documents, and up to
-    SAMPLE_FINDINGS findings of each label. ``labelled`` has the columns of ``findings`` and ``label`` (0 or 1);
-    without it, findings of the sample are labelled by ``weak_labels``. With findings of only one
-    label there is nothing to learn, and no finding is removed."""
-    rows = max(1, docs.count())
-    share = min(1.0, SAMPLE_DOCS / rows)
-    sample = stage(
+def sampled(docs: DataFrame, key: str, text: str, path: str | None) -> DataFrame:
+    """``doc_id``, ``text`` and ``path`` of some SAMPLE_DOCS documents, or of all if there are fewer."""
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    return stage(
         docs.filter(seeded_key(F.col(key), "secrets-1") < int(share * 2**52)).select(
             F.col(key).alias("doc_id"), F.col(text).alias("text"), (F.col(path) if path else F.lit("")).alias("path")
         ),
         "secrets-sample",
     )
+
+
+def train(docs: DataFrame, labelled: DataFrame | None = None, key: str = "doc_id", text: str = "text",
+          path: str | None = None, lang: str | None = None) -> Scanner:
+    """A scanner from the words and pairs of letters of all documents, and a bounded sample of up to
+    SAMPLE_FINDINGS findings of each label. Of each value of the column ``lang`` the DICTIONARY most frequent words
+    are known; without it, of all documents together. ``labelled`` has the columns of ``findings`` and ``label``
+    (0 or 1); without it, findings of some SAMPLE_DOCS documents are labelled by ``weak_labels``. With findings
+    of only one label there is nothing to learn, and no finding is removed."""
     words = stage(
-        sample.select(F.explode(F.split(F.lower("text"), SPACE)).alias("word"))
+        docs.select(
+            (F.col(lang).cast("string") if lang else F.lit("")).alias("lang"),
+            F.explode(F.split(F.lower(text), SPACE)).alias("word"),
+        )
         .filter("word rlike '^[a-z]+$'")
-        .groupBy("word")
+        .groupBy("lang", "word")
         .agg(F.count("*").alias("n")),
         "secrets-words",
     )
-    frequent = words.filter("length(word) >= 3").orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
-    # Longer words first, so that alternatives match as much as they can.
-    dictionary = sorted((r["word"] for r in frequent), key=lambda w: (-len(w), w))
+    # Few rows of each task reach the window: limits of ranks are applied before the shuffle too.
+    most = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    frequent = (
+        words.filter("length(word) >= 3").withColumn("turn", F.row_number().over(most)).filter(F.col("turn") <= DICTIONARY)
+    )
+    dictionary = sorted(r["word"] for r in frequent.select("word").distinct().collect())
     rates = character_rates(words)
     if labelled is None:
-        labelled = weak_labels(findings(sample, path="path")).filter("label is not null")
+        labelled = weak_labels(findings(sampled(docs, key, text, path), path="path")).filter("label is not null")
     order = Window.partitionBy("label").orderBy(F.xxhash64("value", "doc_id"), "doc_id", "mark", "nth")
     chosen = labelled.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= SAMPLE_FINDINGS)
     known = stage(with_features(chosen, rates, dictionary).select("label", *FEATURES), "secrets-labelled")

@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -91,6 +92,24 @@ def test_given_labels_are_learned(docs_of):
     assert out.count() > 50 and wrong <= 0.02 * out.count()
 
 
+def test_words_of_all_documents_and_languages_count(docs_of, monkeypatch):
+    rows, _ = corpus(5, 120)
+    rows += [(1000 + i, "zwei drei zwei vier", "de", "s") for i in range(3)]
+    rows += [(2000 + i, " ".join("w" + "".join(chr(97 + int(c)) for c in str(j)) for j in range(600)), "en", "s") for i in range(9)]
+    whole = secrets.train(docs_of(rows), lang="lang")
+    assert {"zwei", "drei", "vier"} <= set(whole.dictionary)
+    assert len(whole.dictionary) <= 2 * secrets.DICTIONARY
+    monkeypatch.setattr(secrets, "SAMPLE_DOCS", 30)
+    bounded = secrets.train(docs_of(rows), lang="lang")
+    assert bounded.rates == whole.rates and bounded.dictionary == whole.dictionary
+
+
+def test_pattern_of_many_words():
+    pattern = secrets.either_of(["the", "then", "other", "in", "inner"])
+    assert re.sub(pattern, "-", "thenothinnerinthex") == "-oth---x"
+    assert re.sub(secrets.either_of([]), "-", "abc") == "abc"
+
+
 def test_odd_rows(odd, none):
     scanner = secrets.train(odd, path="source")
     assert scanner.forest is None
