@@ -46,6 +46,11 @@ CANDIDATES = [
     "|".join(VALUES),
     r"(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/]+(?=@[^\s/@])",
 ]
+# What holds digits and is no secret unless it is announced: numbers and dates, UUIDs, hashes of usual lengths.
+HARMLESS = (
+    "[0-9][0-9_+/-]*|[0-9]{4}-?[0-9]{2}-?[0-9]{2}[T_-]?[0-9_-]*Z?|"
+    "(?i:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})"
+)
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 IN_URL = "before rlike '://[^ /:@]{0,64}:$' and behind rlike '^@'"
@@ -166,13 +171,15 @@ def with_features(found: DataFrame, rates: list[float], dictionary: list[str]) -
 
 def weak_labels(found: DataFrame) -> DataFrame:
     """Labels for findings that need no judgement: formats of providers, passwords in urls and announced values
-    with digits are secrets, runs of letters with at most one capital are not; the others stay open."""
+    with digits are secrets; runs of letters with at most one capital are not, nor are numbers, dates, UUIDs and
+    hashes that nothing announces; the others stay open."""
     announced = F.lower("before").rlike(rf"({ANNOUNCING})\S*[\s=:>\"'`]{{1,8}}$")
     return found.withColumn(
         "label",
         F.when(F.col("value").rlike(f"^({PROVIDER_FORMATS})$") | F.expr(IN_URL), 1.0)
         .when(announced & F.col("value").rlike("[0-9]"), 1.0)
-        .when(F.col("value").rlike("^[A-Za-z]?[a-z_+/-]*$"), 0.0),
+        .when(F.col("value").rlike("^[A-Za-z]?[a-z_+/-]*$"), 0.0)
+        .when(~announced & F.col("value").rlike(f"^({HARMLESS})$"), 0.0),
     )
 
 

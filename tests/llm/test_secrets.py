@@ -82,6 +82,28 @@ def test_short_announced_secrets_are_kept(docs_of):
     assert kept == {(i, value) for i, (_, value) in enumerate(ANNOUNCED)}
 
 
+def test_numbers_uuids_and_hashes_are_removed(docs_of):
+    rng = random.Random(11)
+    hexes = lambda k: "".join(rng.choices(HEX, k=k))
+    kinds = [
+        lambda: "".join(rng.choices("0123456789", k=16)),
+        lambda: f"20{rng.randint(10, 29)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}T10-20-30Z",
+        lambda: f"{hexes(8)}-{hexes(4)}-{hexes(4)}-{hexes(4)}-{hexes(12)}",
+        lambda: hexes(40),
+    ]
+
+    def made(seed):
+        rows, hidden = corpus(seed, 300)
+        return [(i, f"{t} see {kinds[i % 4]()} there", *r) for i, t, *r in rows], hidden
+
+    scanner = secrets.train(docs_of(made(12)[0]))
+    rows, hidden = made(13)
+    found = secrets.scan(docs_of(rows), scanner).collect()
+    kept = {(r["doc_id"], r["value"]) for r in found if r["secret"]}
+    right = kept & set(hidden.items())
+    assert len(right) >= 0.97 * len(hidden) and len(kept - right) <= 0.03 * len(hidden)
+
+
 def test_given_labels_are_learned(docs_of):
     rows, hidden = corpus(3, 200)
     df = docs_of(rows)
