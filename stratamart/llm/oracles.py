@@ -145,6 +145,48 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach ON reach.x
 GROUP BY d.doc_id, n
 """
 
+DIVERGENCE = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+terms AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (
+    SELECT lang, term, count(*) AS whole FROM terms GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+),
+langs AS (
+    SELECT lang, count(term) AS v, coalesce(sum(whole), 0)::HUGEINT AS n
+    FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang
+),
+counts AS (SELECT lang, source, term, count(*) AS c FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (
+    SELECT g.lang, g.source, coalesce(sum(c), 0)::HUGEINT AS n
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts USING (lang, source) GROUP BY ALL
+),
+shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c,
+        1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)) // (g.n + l.v) AS p,
+        1 + (1000000000::HUGEINT * (whole + 1)) // (l.n + l.v) AS q
+    FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(sum((a.p - b.p) * (a.p - b.p) // b.p), 0)::BIGINT AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    UNION ALL
+    SELECT a.lang, a.source, b.source, 0 FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    JOIN langs l ON l.lang = a.lang AND l.v = 0
+),
+found AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE c > 0 AND p > q
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
 ORACLES = {
     "op2_ngram_jaccard": NGRAM_JACCARD,
     "op5_chat_format": CHAT,
@@ -152,4 +194,5 @@ ORACLES = {
     "op8_warc": WARC,
     "op7_sharding": SHARDING,
     "op10_url_filter": URL_FILTER,
+    "op11_divergence": DIVERGENCE,
 }

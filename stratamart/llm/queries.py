@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import chat, decontaminate, langid, mixing, ngrams, secrets, sharding, topk, urls, warc
+from stratamart.llm import chat, decontaminate, divergence, langid, mixing, ngrams, secrets, sharding, topk, urls, warc
 from stratamart.llm.common import stage, table
 from stratamart.llm.fixed import URL_RULES
 
@@ -96,7 +96,11 @@ def op10_url_filter(spark, sf_dir):
     return urls.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_ngram_jaccard, op3_decontamination, op4_secret_scan, op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter)
+    for f in (op1_language_id, op2_ngram_jaccard, op3_decontamination, op4_secret_scan, op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter, op11_divergence)
 }

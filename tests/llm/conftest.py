@@ -36,6 +36,11 @@ ODD_DOCS = [
 ]
 
 
+@pytest.fixture
+def odd_rows():
+    return ODD_DOCS
+
+
 @pytest.fixture
 def odd(docs_of):
     return docs_of(ODD_DOCS)
