@@ -187,6 +187,52 @@ found AS (
 SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
 FROM found QUALIFY part = 'pair' OR rank <= 200
 """
+RESAMPLING = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+wanted AS (
+    SELECT unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS f
+    FROM benchmark
+),
+features AS (SELECT d, unnest(w) AS f FROM words),
+crc_table AS (
+    SELECT list(list_reduce([i] || range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) s(i)
+),
+steps AS (
+    SELECT f, t, hex(encode(f)) AS h FROM (SELECT f FROM features UNION SELECT f FROM wanted), crc_table
+),
+buckets AS (
+    SELECT f, xor(list_reduce([4294967295::BIGINT] || list_transform(range(0, length(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM steps
+),
+s AS (SELECT bucket, count(*) AS n FROM features JOIN buckets USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM wanted JOIN buckets USING (f) GROUP BY bucket),
+totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS s_all, (SELECT coalesce(sum(n), 0) FROM t) AS t_all),
+gains AS (
+    SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (s_all + 10000)::DOUBLE
+        / ((s.n + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM s LEFT JOIN t USING (bucket), totals
+),
+weights AS (SELECT d, sum(gain)::BIGINT AS weight FROM features JOIN buckets USING (f) JOIN gains USING (bucket) GROUP BY d),
+scores AS (
+    SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE)
+            / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (d)
+)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN n_features >= 20 AND r <= 10 * count(*) FILTER (n_features >= 20) OVER () // 100 THEN r END AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS r FROM scores)
+"""
+
 ORACLES = {
     "op2_ngram_jaccard": NGRAM_JACCARD,
     "op5_chat_format": CHAT,
@@ -195,4 +241,5 @@ ORACLES = {
     "op7_sharding": SHARDING,
     "op10_url_filter": URL_FILTER,
     "op11_divergence": DIVERGENCE,
+    "op13_resampling": RESAMPLING,
 }
