@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratamart.llm import chat, decontaminate, divergence, langid, mixing, ngrams, resampling, secrets, sharding, topk, urls, warc
+from stratamart.llm import chat, decontaminate, divergence, langid, mixing, ngrams, resampling, secrets, sharding, sketches, topk, urls, warc
 from stratamart.llm.common import stage, table
 from stratamart.llm.fixed import URL_RULES
 
@@ -100,11 +100,15 @@ def op11_divergence(spark, sf_dir):
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark, sf_dir):
+    return sketches.against_next(table(spark, sf_dir, "documents"))
+
+
 def op13_resampling(spark, sf_dir):
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_ngram_jaccard, op3_decontamination, op4_secret_scan, op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter, op11_divergence, op13_resampling)
+    for f in (op1_language_id, op2_ngram_jaccard, op3_decontamination, op4_secret_scan, op5_chat_format, op6_exact_topk, op7_sharding, op8_warc, op9_mixing, op10_url_filter, op11_divergence, op12_fingerprints, op13_resampling)
 }
