@@ -8,8 +8,10 @@ from pyspark.sql.types import DataType
 
 from stratamart.contracts import PROVENANCE_COLUMNS, TableContract
 from stratamart.functions.casts import soft_cast
+from stratamart.functions.payload import once, parsed, value_at
 
 RESCUED = "_rescued_data"
+PARSED = "__rescued"
 
 
 def spellings(column: str) -> list[str]:
@@ -20,12 +22,8 @@ def spellings(column: str) -> list[str]:
 
 
 def recovered(column: str, dtype: DataType) -> Column:
-    """The value of ``column`` in the rescued payload, or NULL."""
-    found = [
-        soft_cast(F.get_json_object(RESCUED, f"$.{key}"), dtype, from_text=True)
-        for key in spellings(column)
-    ]
-    return F.coalesce(*found)
+    """The value of ``column`` in the parsed payload, or NULL."""
+    return F.coalesce(*(value_at(PARSED, key, dtype) for key in spellings(column)))
 
 
 def conform(df: DataFrame, contract: TableContract, recover: bool = True) -> DataFrame:
@@ -33,7 +31,8 @@ def conform(df: DataFrame, contract: TableContract, recover: bool = True) -> Dat
     column the contract does not know is left out, and a business column that is NULL is looked
     up in the rescued payload. Names match in any case, as they do elsewhere in Spark.
 
-    ``recover=False`` leaves the payload alone, for rows whose values have just been converted.
+    The payload is parsed once a row. ``recover=False`` leaves it alone, for rows whose values have
+    just been converted.
     """
     actual = {c.lower(): c for c in df.columns}
     text = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
@@ -44,8 +43,10 @@ def conform(df: DataFrame, contract: TableContract, recover: bool = True) -> Dat
             held = F.lit(None).cast(dtype)
         else:
             held = soft_cast(F.col(f"`{source}`"), dtype, from_text=source in text)
-        if name in PROVENANCE_COLUMNS or RESCUED not in actual or not recover:
+        if name in PROVENANCE_COLUMNS or not recover:
             return held.alias(name)
         return F.coalesce(held, recovered(name, dtype)).alias(name)
 
-    return df.select(*(value(n, t) for n, t in contract.types.items()))
+    recover = recover and RESCUED in actual
+    rows = once(df, **{PARSED: parsed(RESCUED)}) if recover else df
+    return rows.select(*(value(n, t) for n, t in contract.types.items()))

@@ -16,6 +16,7 @@ from pyspark.sql.types import DecimalType, StringType, StructField, StructType,
 
 from stratamart.contracts import BRONZE_YELLOW, DIM_DATE, FACT_TRIP, SILVER, TableContract
 from stratamart.functions.keys import hashed_key, trip_key_of
+from stratamart.functions.payload import once, parsed
 from stratamart.operators import checks, dims, facts, marts, profile, rules
 from stratamart.operators.conform import conform
 from stratamart.operators.layout import append_rows, stage
@@ -227,8 +228,9 @@ def keep_one_per_key(spark, folder):
 
 
 def silver_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Two loads that share the trips of some days."""
-    held, pickup = clean(spark, folder), F.col("pickup_datetime")
+    """Two loads that share the trips of some days, of trips that are judged and keyed once."""
+    held = clean(spark, folder).select(*(c for c in SILVER.columns if c != "_ingestion_ts"))
+    held, pickup = stage(held, "keyed"), F.col("pickup_datetime")
 
     def load(rows: DataFrame, at: str) -> DataFrame:
         stamped = rows.withColumn("_ingestion_ts", F.lit(at).cast("timestamp"))
@@ -555,9 +557,7 @@ def type_drift(spark, folder):
 def land_drifting_trips(spark: SparkSession, folder: str, root: str) -> None:
     """Three kinds of files, one after the other in time: a wide passenger count; a narrow vendor
     and a fee written with a capital; no fee, but a column nobody has announced."""
-    rows = table(spark, folder, "events").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("int")
-    )
+    rows = once(table(spark, folder, "events"), k=F.try_variant_get(parsed("props"), "$.k", "int"))
     k = F.col("k")
     common = [
         F.col("ts").alias("tpep_pickup_datetime"),

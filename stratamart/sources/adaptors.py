@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.functions.payload import once, parsed
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -13,14 +15,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def event_trips(events: DataFrame) -> DataFrame:
     """Trips from an event log, with faults of every kind the rules look for."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     green = F.col("user_id") % 2 != 0
     start = F.col("ts").cast("timestamp")
     vendor = F.element_at(
         F.array(*(F.lit(v) for v in (1, 2, 6, 7))), (F.col("user_id") % 4).cast("int") + 1
     )
     amount = F.when(k % 20 == 19, -F.col("value")).otherwise(F.col("value"))
-    return events.select(
+    return once(events, k=F.try_variant_get(parsed("props"), "$.k", "int")).select(
         "event_id",
         F.when(green, "green").otherwise("yellow").alias("taxi_type"),
         F.when(F.col("user_id") % 75 != 74, vendor).alias("VendorID"),

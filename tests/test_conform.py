@@ -1,57 +1,50 @@
 from datetime import datetime
 
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructType
 
 from stratamart.contracts import BRONZE_YELLOW, TableContract
 from stratamart.operators.conform import conform
 from stratamart.sources.drift import rescue
 
-TEXT = {
-    "tpep_pickup_datetime",
-    "tpep_dropoff_datetime",
-    "store_and_fwd_flag",
-    "_ingestion_ts",
-    "_source_file",
-    "_batch_id",
-    "_rescued_data",
-}
-
-
-def drifted_row(spark):
-    values = {
-        "tpep_pickup_datetime": "2023-02-11 23:41:07",
-        "tpep_dropoff_datetime": "2023-02-12 00:19:58",
-        "trip_distance": 17.25,
-        "store_and_fwd_flag": "Y",
-        "payment_type": 4.0,
-        "fare_amount": 61.25,
-        "total_amount": 79.375,
-        "_ingestion_ts": "2024-09-03 04:00:00",
-        "_source_file": "/lake/in/7.parquet",
-        "_batch_id": "seventh",
-        "_rescued_data": '{"RatecodeID":5,"VendorID":6,"DOLocationID":261,"passenger_count":4,'
-        '"PULocationID":7,"Airport_fee":1.25}',
-    }
-    schema = StructType(
-        [
-            StructField(c, StringType() if c in TEXT else DoubleType())
-            for c in BRONZE_YELLOW.columns
-        ]
-    )
-    return spark.createDataFrame([tuple(values.get(c) for c in schema.names)], schema)
+COUNTS = ("stops", "bags", "seats", "riders")
+# Payloads, and what is in the columns before and after.
+PAYLOADS = [
+    ('{"stops":"12","bags":true,"unheard_of":[1,2]}', {}, (12, None, None, None)),
+    ('{"Seats":4,"seats":null,"riders":2.9}', {}, (None, None, 4, 2)),
+    ('{"seats":3,"Seats":8,"riders":"two"}', {}, (None, None, 3, None)),
+    ('{"stops":7,"bags":{"n":1}}', {"stops": 5}, (5, None, None, None)),
+    ('{"stops":7', {"bags": 1}, (None, 1, None, None)),
+    ("[7]", {"riders": 6}, (None, None, None, 6)),
+    (None, {"seats": 2}, (None, None, 2, None)),
+]
 
 
 def test_values_come_back_from_the_payload(spark):
-    out = conform(drifted_row(spark), BRONZE_YELLOW)
+    rows = [(i, *(held.get(c) for c in COUNTS), text) for i, (text, held, _) in enumerate(PAYLOADS)]
+    columns = ", ".join(f"{c} int" for c in COUNTS)
+    df = spark.createDataFrame(rows, f"id int, {columns}, _rescued_data string")
+    out = conform(df, probe(("id", "integer"), *((c, "integer") for c in COUNTS), ("toll", "double")))
+    assert out.schema["toll"].dataType == DoubleType()
+    found = {r.id: r for r in out.collect()}
+    for i, (text, _, wanted) in enumerate(PAYLOADS):
+        assert tuple(found[i][c] for c in COUNTS) == wanted, text
+        assert found[i]._rescued_data == text and found[i].toll is None
+
+
+def test_the_contract_of_bronze_is_met(spark):
+    df = spark.range(1).selectExpr("'2031-05-06 07:08:09' AS tpep_pickup_datetime", "'{\"trip_distance\":0.5}' AS _rescued_data")
+    out = conform(df, BRONZE_YELLOW)
     assert [f.dataType for f in out.schema] == [f.dataType for f in BRONZE_YELLOW.schema]
     row = out.first()
-    assert (row.VendorID, row.passenger_count, row.RatecodeID) == (6, 4, 5)
-    assert (row.PULocationID, row.DOLocationID) == (7, 261)
-    assert row.airport_fee == 1.25
-    assert row.payment_type == 4
-    assert row.tpep_pickup_datetime == datetime(2023, 2, 11, 23, 41, 7)
-    assert row._rescued_data.startswith('{"RatecodeID":5')
-    assert row.extra is None
+    assert row.tpep_pickup_datetime == datetime(2031, 5, 6, 7, 8, 9) and row.trip_distance == 0.5
+
+
+def test_a_payload_is_parsed_once_a_row(spark):
+    df = spark.range(5).selectExpr("id", "concat('{\"a\":', id, '}') AS _rescued_data")
+    out = conform(df, probe(("a", "integer"), ("b", "integer"), ("c", "double"))).filter("a > 1 and b is null")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1
+    assert sorted(r.a for r in out.collect()) == [2, 3, 4]
 
 
 def probe(*columns):
