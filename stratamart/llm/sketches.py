@@ -27,9 +27,10 @@ SHINGLE = 5
 SHARE = 8
 BITS = 48
 LIMIT = (1 << BITS) // SHARE
-# Bytes of text that are hashed at once, and rows of a slice of the order.
+# Bytes of text that are hashed at once; rows of a slice of the order, and keys that a task sorts to find slices.
 HASHED_BYTES = 1 << 19
-SLICE_ROWS = 20_000
+SLICE_ROWS = 4_000
+SORTED_ROWS = 1_000_000
 LAST_KEY = 2**63 - 1
 
 
@@ -150,11 +151,18 @@ def group_containment(prints: DataFrame, group: str, fingerprint: str = "fingerp
 
 
 def slice_bounds(keys: DataFrame) -> np.ndarray:
-    """The first key of each of even slices of the order: one number a slice passes the driver."""
-    rows = keys.count()
-    dealt = keys.repartitionByRange(max(1, -(-rows // SLICE_ROWS)), "key").withColumn("slice", F.spark_partition_id())
-    firsts = dealt.groupBy("slice").agg(F.min("key").alias("first")).collect()
-    return np.unique(np.array([r["first"] for r in firsts], dtype=np.int64))
+    """The first key of each slice of the order: one number for SLICE_ROWS rows passes the driver."""
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in batches:
+            at = np.arange(-seen % SLICE_ROWS, batch.num_rows, SLICE_ROWS)
+            seen += batch.num_rows
+            yield batch.take(pa.array(at))
+
+    parts = max(1, -(-keys.count() // SORTED_ROWS))
+    dealt = keys.repartitionByRange(parts, "key").sortWithinPartitions("key")
+    return np.unique(dealt.mapInArrow(firsts, "key long").toArrow()["key"].to_numpy())
 
 
 def with_next(docs: DataFrame, text: str, key: str) -> DataFrame:

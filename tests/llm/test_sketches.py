@@ -18,7 +18,7 @@ def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-@pytest.mark.parametrize("slice_rows", [7, 20_000])
+@pytest.mark.parametrize("slice_rows", [7, 4_000])
 def test_edits_as_one_by_one(docs_of, odd_rows, words, monkeypatch, slice_rows):
     monkeypatch.setattr(sketches, "SLICE_ROWS", slice_rows)
     monkeypatch.setattr("stratamart.llm.arrow_text.RUN_BYTES", 5_000)
