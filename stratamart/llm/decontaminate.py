@@ -1,9 +1,9 @@
 """Finding benchmark passages in documents, in DataFrame operations alone.
 
-A window of a document is as long as the item it is held against. A window that is similar to an item
-shares one of the item's rarest shingles and holds a known number of its shingles, so documents meet items
-by the rarest, and only windows with that many are looked at. Nothing is left to chance: what is similar
-is found, however far its SimHash fingerprint is, which is stated with every passage.
+A window of a document is as long as the item it is held against. Windows are looked at where a document shares
+one of an item's rarest shingles. Their SimHash fingerprints are cut into more blocks than RADIUS, so that
+fingerprints within RADIUS bits agree on a block; of the windows that do, those within RADIUS are verified by
+the exact similarity of their shingles, weighted by occurrences.
 """
 
 from __future__ import annotations
@@ -11,15 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratamart.functions.payload import once
 from stratamart.llm.common import stage
 
 SHINGLE = 5
 PERCENT = 80
 SIMILARITY = PERCENT / 100
-# Bits within which fingerprints surely agree on one of ``blocks``. Passages are not chosen by it.
-RADIUS = 11
-# Item shingles that are broadcast (24 bytes each, with the hashed relation's overhead some 64 MB); a
-# larger benchmark is met by a shuffled join.
+# Two windows of m shingles that are 0.8 similar share 8/9 of them, so their fingerprints differ in a bit with a
+# probability of some arccos(8/9) / pi = 0.15: in 9.7 of 64 bits, with a deviation of 2.9.
+RADIUS = 23
+# Anchors that are broadcast (24 bytes each, with the hashed relation's overhead some 64 MB); those of a larger
+# benchmark are met by a shuffled join.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -30,48 +32,45 @@ def shingles(words: str) -> str:
     )
 
 
-def fingerprint(words: str) -> str:
-    """SimHash: each bit as most of the words' hashes have it, words counted as often as they occur."""
-    return (
-        f"aggregate(sequence(0, 63), 0L, (bits, b) -> bits | if(aggregate(transform({words}, x -> xxhash64(x)), 0, "
-        "(sum, h) -> sum + if(getbit(h, b) = 1, 1, -1)) > 0, shiftleft(1L, b), 0L))"
-    )
+def majorities(hashes: str, lane: int) -> str:
+    """The bits that most of some hashes have set. Sums of ``64 / lane`` bits are taken in one number, which holds
+    them side by side in lanes of so many bits; two bits of each stay free, so that nothing overflows."""
+    ones = sum(1 << at for at in range(0, 64, lane))
+    bits = []
+    for k in range(lane):
+        counts = f"aggregate({hashes}, 0L, (sum, h) -> sum + (shiftrightunsigned(h, {k}) & {ones}L))"
+        over = f"({counts} + ({(1 << (lane - 2)) - 1} - size({hashes}) div 2) * {ones}L) & {ones << (lane - 2)}L"
+        bits.append(f"shiftleft(shiftrightunsigned({over}, {lane - 2}), {k})")
+    return " | ".join(bits)
+
+
+def fingerprint(hashes: str) -> str:
+    """SimHash of shingles, each counted as often as it occurs."""
+    return f"if(size({hashes}) < {1 << 14}, {majorities(hashes, 16)}, {majorities(hashes, 32)})"
 
 
 def blocks(bits: str) -> str:
-    """RADIUS + 1 blocks that make up a fingerprint, each with its place."""
+    """RADIUS + 1 blocks that make up a fingerprint, each with its place: fingerprints within RADIUS bits have one in
+    common."""
     parts = RADIUS + 1
     cuts = [64 * i // parts for i in range(parts + 1)]
     return "array({})".format(
         ", ".join(
-            f"struct({i} as at, shiftrightunsigned({bits}, {low}) & {(1 << (high - low)) - 1}L as value)"
+            f"{i << 32}L + (shiftrightunsigned({bits}, {low}) & {(1 << (high - low)) - 1}L)"
             for i, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False))
         )
     )
 
 
-# For an item's shingles (``m``, in order ``wanted``) and the places in a document of ``size`` words where any
-# of them stands (``hits``, by place): shingles of a window, its last start, and how many it has to share,
-# since shared / (width + m - shared) is at least PERCENT / 100.
-WIDTH = f"(least(size, n) - {SHINGLE - 1})"
-LAST = "greatest(0, size - n)"
-NEEDED = f"(({PERCENT} * (width + m) + {99 + PERCENT}) div {100 + PERCENT})"
-# Every window with that many hits, counted from its first hit (``i``): starts after the hit before and not
-# after that one, late enough to reach the last hit that is needed.
-SPANS = (
-    "filter(transform(if(size(hits) < needed, array(), sequence(0, size(hits) - needed)), i -> struct(slice(hits, i + 1, width) as hits, "
-    "greatest(0, coalesce(get(hits, i - 1).at, -1) + 1, get(hits, i + needed - 1).at - width + 1) as low, "
-    "least(last, get(hits, i).at) as high)), x -> x.low <= x.high)"
-)
-# Shingles that hits and item share, each as often as in the one that has fewer.
+# For a document's and an item's shingles (``m`` of them, ``wanted``): how many a window has.
+WIDTH = f"(least(size(shingles), n - {SHINGLE - 1}))"
+# The best window ends with a shingle of the item or is the document's first: any other can be moved to the
+# left without losing one. So can the first of several best ones.
+STARTS = "array_distinct(array_compact(transform(shingles, (x, i) -> if(array_contains(wanted, x), greatest(0, i - width + 1), null))))"
+# Shingles that window and item share, each as often as in the one that has fewer.
 SHARED = (
-    "if(plain, size(array_distinct({a})), aggregate(array_distinct({a}), 0, (sum, y) -> sum + "
-    "least(size(filter({a}, z -> z = y)), size(filter(wanted, z -> z = y)))))"
-)
-BEST = (
-    "array_max(flatten(transform(spans, x -> transform(sequence(x.low, x.high), s -> struct("
-    + SHARED.format(a="transform(filter(x.hits, h -> h.at < s + width), h -> h.shingle)")
-    + " as shared, -s as back)))))"
+    "if(plain, size(array_intersect(wanted, win)), aggregate(array_distinct(wanted), 0, (sum, y) -> sum + "
+    "least(size(filter(win, z -> z = y)), size(filter(wanted, z -> z = y)))))"
 )
 
 
@@ -94,9 +93,8 @@ def prepared_items(items: DataFrame, item: str, text: str) -> DataFrame:
             F.xxhash64("words").alias("own"),
             F.size("words").alias("n"),
             F.expr(shingles("words")).alias("wanted"),
-            F.expr(fingerprint("words")).alias("print"),
         )
-        .withColumn("m", F.size("wanted"))
+        .withColumns({"m": F.size("wanted"), "print": F.expr(fingerprint("wanted"))})
         .distinct(),
         "items",
     )
@@ -106,15 +104,14 @@ def sent(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def best_windows(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """``doc_id``, ``mark``, ``item_id``, ``own``, ``start``, ``n`` and ``similarity``: the best window of
-    each different row of ``doc_id`` and ``text`` for each item that it holds."""
+def anchors_of(known: DataFrame) -> DataFrame:
+    """``item_id``, ``own`` and ``shingle``: the shingles that documents meet items by. A window may lack 20 % of an
+    item's shingles, so it has one of any that are more. Those that the fewest items have are taken, so that a phrase
+    of many items does not bring all of them together."""
     each = known.select("item_id", "own", "m", F.explode("wanted").alias("shingle"))
-    # A window may lack 20 % of an item's shingles, so it has one of any that are more. The shingles that
-    # the fewest items have are taken, so that a phrase of many items does not bring all of them together.
     spread = each.select("item_id", "own", "shingle").distinct().groupBy("shingle").agg(F.count("*").alias("items"))
     rarest = Window.partitionBy("item_id", "own").orderBy("items", "shingle")
-    anchors = stage(
+    return stage(
         each.join(spread, "shingle")
         .withColumn("turn", F.row_number().over(rarest))
         .filter(f"turn <= {100 - PERCENT} * m div 100 + 1")
@@ -122,37 +119,54 @@ def best_windows(docs: DataFrame, known: DataFrame) -> DataFrame:
         .distinct(),
         "anchors",
     )
-    places = (
+
+
+def windows(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``doc_id``, ``mark``, ``item_id``, ``n``, ``wanted``, ``plain``, ``print``, ``start`` and ``win``, the shingles of
+    a window, for the windows of all rows of ``doc_id`` and ``text`` that may hold an item."""
+    met = (
         prepared(docs, "text")
-        .select("doc_id", "mark", F.size("words").alias("size"), F.expr(shingles("words")).alias("shingles"))
-        .select("doc_id", "mark", "size", F.posexplode_outer("shingles").alias("at", "shingle"))
-        .join(sent(each.select("shingle").distinct()), "shingle")
-        .groupBy("doc_id", "mark", "size")
-        .agg(F.array_sort(F.collect_set(F.struct("at", "shingle"))).alias("hits"))
-    )
-    places = stage(places, "places")
-    pairs = (
-        places.select("doc_id", "mark", F.explode(F.expr("array_distinct(hits.shingle)")).alias("shingle"))
-        .join(sent(anchors), "shingle")
+        .select("doc_id", "mark", F.explode(F.array_distinct(F.expr(shingles("words")))).alias("shingle"))
+        .join(sent(anchors_of(known)), "shingle")
         .select("doc_id", "mark", "item_id", "own")
         .distinct()
     )
-    return (
-        places.alias("d")
-        .join(pairs.alias("p"), F.expr("d.doc_id <=> p.doc_id and d.mark = p.mark"))
+    plain = F.expr("size(array_distinct(wanted)) = m").alias("plain")
+    per_doc = stage(
+        met.alias("p")
         .join(known.alias("i"), F.expr("p.item_id <=> i.item_id and p.own = i.own"))
-        .select("d.doc_id", "d.mark", "size", "hits", "i.item_id", "i.own", "n", "m", "wanted")
-        .withColumns({"width": F.expr(WIDTH), "last": F.expr(LAST), "plain": F.expr("size(array_distinct(wanted)) = m")})
-        .withColumns(
-            {"needed": F.expr(NEEDED).cast("int"), "hits": F.expr("filter(hits, h -> array_contains(wanted, h.shingle))")}
+        .select("doc_id", "mark", F.struct("i.item_id", "n", "wanted", "print", plain).alias("item"))
+        .groupBy("doc_id", "mark")
+        .agg(F.collect_list("item").alias("items")),
+        "met",
+    )
+    # Texts are cut into words again only where they meet an item.
+    hashed = docs.withColumn("own_mark", F.xxhash64("text")).alias("d")
+    same = F.expr("d.doc_id <=> w.doc_id and own_mark = w.mark")
+    return (
+        prepared(hashed.join(per_doc.alias("w"), same).select("d.doc_id", "text", "items"), "text")
+        .select("doc_id", "mark", "items", F.expr(shingles("words")).alias("shingles"))
+        .select("doc_id", "mark", "shingles", F.inline("items"))
+        .withColumn("width", F.expr(WIDTH))
+        .withColumn("starts", F.expr(STARTS))
+        .select(
+            "doc_id", "mark", "item_id", "n", "wanted", "plain", "print",
+            F.inline(F.expr("transform(starts, s -> struct(s as start, slice(shingles, s + 1, width) as win))")),
         )
-        .filter("size(hits) >= needed")
-        .withColumn("spans", F.expr(SPANS))
-        .filter("size(spans) > 0")
-        .withColumn("best", F.expr(BEST))
-        .withColumn("similarity", F.expr("best.shared / (width + m - best.shared)"))
+    )
+
+
+def held_items(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``doc_id``, ``mark``, ``item_id``, ``start``, ``n``, ``distance`` and ``similarity`` of every window that holds an item."""
+    found = once(windows(docs, known), win_print=F.expr(fingerprint("win")))
+    near = found.filter(F.arrays_overlap(F.expr(blocks("win_print")), F.expr(blocks("print")))).withColumn(
+        "distance", F.bit_count(F.expr("win_print ^ print"))
+    )
+    return (
+        once(near.filter(F.col("distance") <= RADIUS), shared=F.expr(SHARED))
+        .withColumn("similarity", F.expr("shared / (size(win) + size(wanted) - shared)"))
         .filter(F.col("similarity") >= SIMILARITY)
-        .select("doc_id", "mark", "item_id", "own", (-F.col("best.back")).alias("start"), "n", "similarity")
+        .select("doc_id", "mark", "item_id", "start", "n", "distance", "similarity")
     )
 
 
@@ -167,31 +181,18 @@ def passages(
     """``doc_id``, ``mark``, ``item_id``, ``start`` (word, from 0), ``n_words``, ``distance``, ``similarity``:
     the best window of each row of ``docs`` for each item that it holds.
 
-    A window holds an item if their shingles, weighted by occurrences, are at least SIMILARITY similar (sum
-    of smaller counts over sum of larger ones); of equally similar windows the first. ``distance`` is that of
-    their fingerprints in bits, whatever it is. Null or empty texts, and texts of fewer than five words, hold
-    nothing and are held nowhere. Repeated rows count once: ``mark`` is a hash of the text, and rows with equal
-    ids and texts share a result. Null ids are values like others. Other columns are not looked at.
+    A window holds an item if their fingerprints are within RADIUS bits and their shingles, weighted by
+    occurrences, at least SIMILARITY similar (sum of smaller counts over sum of larger ones); of equally similar
+    windows the first. Null or empty texts, and texts of fewer than five words, hold nothing and are held nowhere.
+    Repeated rows count once: ``mark`` is a hash of the text, and rows with equal ids and texts share a result.
+    Null ids are values like others. Other columns are not looked at.
     """
     own_docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    known = prepared_items(items, item, item_text)
-    found = stage(best_windows(own_docs, known), "windows")
-    # Texts are cut into words again only where they hold an item; what is joined are ids and hashes.
-    per_doc = found.groupBy("doc_id", "mark").agg(
-        F.collect_list(F.struct("item_id", "own", "start", "n", "similarity")).alias("found")
-    )
-    hashed = own_docs.withColumn("mark", F.xxhash64("text")).alias("d")
-    met = hashed.join(per_doc.alias("w"), F.expr("d.doc_id <=> w.doc_id and d.mark = w.mark"))
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n", (-F.col("distance")).alias("near"))).alias("best")
     return (
-        prepared(met.select("d.doc_id", "d.text", "w.found"), "text")
-        .select("doc_id", "mark", "words", F.explode("found").alias("found"))
-        .select("doc_id", "mark", "found.*", F.expr("slice(words, found.start + 1, found.n)").alias("words"))
-        .withColumn("print", F.expr(fingerprint("words")))
-        .alias("f")
-        .join(known.alias("i"), F.expr("f.item_id <=> i.item_id and f.own = i.own"))
-        .withColumn("distance", F.bit_count(F.col("f.print").bitwiseXOR(F.col("i.print"))))
-        .groupBy("f.doc_id", "f.mark", "f.item_id")
-        .agg(F.max(F.struct("similarity", (-F.col("f.start")).alias("back"), F.col("f.n").alias("n"), (-F.col("distance")).alias("near"))).alias("best"))
+        held_items(own_docs, prepared_items(items, item, item_text))
+        .groupBy("doc_id", "mark", "item_id")
+        .agg(best)
         .select(
             "doc_id",
             "mark",
@@ -205,9 +206,10 @@ def passages(
 
 
 def without_passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` less the rows that hold an item."""
+    """``docs`` less the rows that hold an item, as ``passages`` finds them. Rows with null or short texts stay, rows of one
+    id are judged each by its own text, repeated rows stay or go together; without items all stay."""
     own_docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    held = best_windows(own_docs, prepared_items(items, "item_id", "text"))
+    held = held_items(own_docs, prepared_items(items, "item_id", "text"))
     found = stage(held.select("doc_id", "mark").distinct(), "contaminated")
     marked = docs.withColumn("__mark", F.xxhash64(text)).alias("d")
     same = F.expr(f"d.`{key}` <=> c.doc_id and d.__mark = c.mark")

@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -72,25 +73,59 @@ def test_edits_down_to_the_least_similarity(spark, docs_of):
     found = decontaminate.passages(docs_of(rows), items_of(spark, [(i, " ".join(w)) for i, w in items.items()])).collect()
     assert sorted(r["doc_id"] for r in found) == sorted(docs)
     assert all(r["doc_id"] == r["item_id"] for r in found)
-    assert max(r["distance"] for r in found) > decontaminate.RADIUS
+    assert 11 < max(r["distance"] for r in found) <= decontaminate.RADIUS
     for r in found:
         own, item = docs[r["doc_id"]], items[r["item_id"]]
         windows = [similarity(own[s : s + len(item)], item) for s in range(len(own) - len(item) + 1)]
         assert abs(r["similarity"] - max(windows)) < 1e-9 and r["start"] == windows.index(max(windows))
 
 
+def majority(hashes):
+    """The fingerprint bit by bit."""
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
 def test_fingerprints_and_blocks(spark):
-    row = spark.range(1).selectExpr("split('to be or not to be', ' ') AS w").withColumn(
-        "print", F.expr(decontaminate.fingerprint("w"))
-    )
-    row = row.withColumn("blocks", F.expr(decontaminate.blocks("print"))).first()
-    bits, at = 0, 0
-    for i, block in enumerate(row["blocks"]):
-        width = 64 * (i + 1) // 12 - 64 * i // 12
-        assert block["at"] == i and 0 <= block["value"] < 1 << width
-        bits |= block["value"] << at
-        at += width
-    assert at == 64 and bits == row["print"] % 2**64
+    rng = random.Random(3)
+    rows = [[rng.getrandbits(64) - 2**63 for _ in range(n)] for n in (1, 2, 3, 46, 500, (1 << 14) - 1, 1 << 14, 20_001)]
+    rows += [[-1] * ((1 << 14) - 1), [-1, -1, 0], [0] * 7]
+    df = spark.createDataFrame([(r,) for r in rows], "w array<long>").withColumn("print", F.expr(decontaminate.fingerprint("w")))
+    for row in df.withColumn("blocks", F.expr(decontaminate.blocks("print"))).collect():
+        assert row["print"] % 2**64 == majority([h % 2**64 for h in row["w"]])
+        bits, at, parts = 0, 0, decontaminate.RADIUS + 1
+        for i, block in enumerate(row["blocks"]):
+            width = 64 * (i + 1) // parts - 64 * i // parts
+            place, value = divmod(block, 1 << 32)
+            assert place == i and 0 <= value < 1 << width
+            bits |= value << at
+            at += width
+        assert at == 64 and bits == row["print"] % 2**64
+
+
+def test_prints_within_the_radius_share_a_block(spark):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(300):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), decontaminate.RADIUS):
+            b ^= 1 << bit
+        rows.append((a - 2**63, b - 2**63))
+    df = spark.createDataFrame(rows, "a long, b long")
+    same = F.arrays_overlap(F.expr(decontaminate.blocks("a")), F.expr(decontaminate.blocks("b")))
+    assert df.filter(same).count() == 300
+
+
+def test_long_repetitive_text(spark, docs_of):
+    """Windows are looked at one by one: the work grows with the text, not with its square."""
+    rng = random.Random(6)
+    item = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(50)]
+    docs = docs_of([(1, " ".join(item * 400), "en", "s"), (2, "ring a " * 10_000, "en", "s"), (3, "clean words stay in here", "en", "s")])
+    items = items_of(spark, [(1, " ".join(item)), (2, "ring a " * 12)])
+    start = time.monotonic()
+    found = {(r["doc_id"], r["item_id"]): (r["start"], r["similarity"]) for r in decontaminate.passages(docs, items).collect()}
+    assert found == {(1, 1): (0, 1.0), (2, 2): (0, 1.0)}
+    assert time.monotonic() - start < 60
 
 
 def test_odd_rows(spark, odd, none, docs_of):
