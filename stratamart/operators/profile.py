@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.functions.measures import COUNT_DIGITS, mean, nulls_in
 from stratamart.operators.conform import RESCUED
-from stratamart.operators.layout import stage
+from stratamart.operators.quantiles import exact_percentiles, point_name
 from stratamart.operators.rules import REASONS
 
 # The columns whose absence matters, and the percentiles looked at.
@@ -25,9 +24,6 @@ CRITICAL_COLUMNS = (
 )
 POINTS = (0.5, 0.95, 0.99)
 
-# Exact percentiles: names of helper columns.
-VALUE, ROWS, POINT = "_value", "_rows", "_point"
-
 # The columns both sources have in common.
 BRONZE_UNION_COLUMNS = (
     "VendorID",
@@ -138,10 +134,6 @@ def bounds(df: DataFrame, columns: Sequence[str], by: str = "taxi_type") -> Data
     return df.groupBy(by).agg(*ends).orderBy(by)
 
 
-def point_name(point: float) -> str:
-    return f"p{Decimal(str(point)) * 100:f}".rstrip("0").rstrip(".").replace(".", "_")
-
-
 def approx_percentiles(
     df: DataFrame,
     column: str,
@@ -171,76 +163,6 @@ def approx_percentiles(
     return found.select(by, f"min_{column}", *named, f"max_{column}").orderBy(by)
 
 
-def exact_percentiles(
-    df: DataFrame,
-    column: str,
-    by: str = "taxi_type",
-    points: Sequence[float] = POINTS,
-    accuracy: int = 10_000,
-) -> DataFrame:
-    """Range and exact percentiles: the smallest value with at least ``point`` of all rows at or
-    below it. Neither a sort of all rows nor a large group in one task.
-
-    One pass sketches a bracket around each wanted rank: the sketch is off by rows / accuracy ranks at
-    most, so ranks twice as far on either side enclose it. Two more passes count the rows below each
-    bracket and the values inside, some 4 / accuracy of the rows; only these are put in order.
-    """
-    rows = df.filter(F.col(column).isNotNull()).select(by, F.col(column).alias(VALUE))
-    margin = 2 / accuracy
-    ends = [min(1.0, max(0.0, p + side)) for p in points for side in (-margin, margin)]
-    found = rows.groupBy(by).agg(
-        F.count("*").alias("_total"),
-        F.min(VALUE).alias("_low"),
-        F.max(VALUE).alias("_high"),
-        F.percentile_approx(VALUE, ends, accuracy).alias("_ends"),
-    )
-    brackets = stage(
-        found.select(
-            F.col(by).alias("_by"),
-            "_total",
-            "_low",
-            "_high",
-            *(F.col("_ends")[2 * i].alias(f"_from{i}") for i in range(len(points))),
-            *(F.col("_ends")[2 * i + 1].alias(f"_upto{i}") for i in range(len(points))),
-        ),
-        "percentiles",
-    )
-    near = rows.join(brackets, F.col(by).eqNullSafe(F.col("_by")))
-    below = near.groupBy("_by").agg(
-        *(F.count_if(F.col(VALUE) < F.col(f"_from{i}")).alias(f"_below{i}") for i in range(len(points)))
-    )
-    inside = [
-        F.when((F.col(VALUE) >= F.col(f"_from{i}")) & (F.col(VALUE) <= F.col(f"_upto{i}")), F.lit(i))
-        for i in range(len(points))
-    ]
-    held = (
-        near.filter(reduce(Column.__or__, (i.isNotNull() for i in inside)))
-        .select("_by", VALUE, F.explode(F.array_compact(F.array(*inside))).alias(POINT))
-        .groupBy("_by", POINT, VALUE)
-        .agg(F.count("*").alias(ROWS))
-    )
-    in_order = Window.partitionBy("_by", POINT).orderBy(VALUE)
-    reached = held.withColumn("_upto", F.sum(ROWS).over(in_order)).alias("h")
-    known = brackets.join(below.withColumnRenamed("_by", "_own"), F.col("_by").eqNullSafe(F.col("_own"))).alias("b")
-    answers = reached.join(known, F.col("h._by").eqNullSafe(F.col("b._by"))).groupBy(
-        F.col("b._by").alias(by), "_low", "_high"
-    )
-    wanted = [F.ceil(F.lit(Decimal(str(p))) * F.col("_total")) - F.col(f"_below{i}") for i, p in enumerate(points)]
-    return answers.agg(
-        *(
-            F.min(F.when((F.col(POINT) == i) & (F.col("_upto") >= wanted[i]), F.col(VALUE))).alias(
-                f"{point_name(p)}_{column}"
-            )
-            for i, p in enumerate(points)
-        )
-    ).select(
-        by,
-        F.col("_low").alias(f"min_{column}"),
-        *(f"{point_name(p)}_{column}" for p in points),
-        F.col("_high").alias(f"max_{column}"),
-    ).orderBy(by)
-
-
 def top_rows(df: DataFrame, order: Sequence[Column], limit: int = 25) -> DataFrame:
     """Each task keeps its best ``limit`` rows; only those are merged."""
     return df.orderBy(*order).limit(limit)

@@ -313,6 +313,10 @@ EXPECTED: dict[str, str] = {
     "percentiles_amount": percentiles("total_amount", TRIPS),
     "percentiles_distance": percentiles("trip_distance", TRIPS),
     "percentiles_line_price": percentiles("total_amount", LINES),
+    "percentiles_incremental": f"""WITH {LINES} SELECT taxi_type, count(*) AS rows,
+        CAST(min(total_amount) AS DOUBLE) AS min_amount, CAST(max(total_amount) AS DOUBLE) AS max_amount,
+        true AS p50_near, true AS p95_near, true AS p99_near
+      FROM fact GROUP BY taxi_type""",
     "top_passengers": f"""WITH {TRIPS} SELECT event_id, taxi_type, pickup_datetime,
         dropoff_datetime, passenger_count, trip_distance, total_amount
       FROM trips WHERE passenger_count IS NOT NULL

@@ -10,14 +10,14 @@ from collections.abc import Callable
 from datetime import date
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampType
 
 from stratamart.contracts import BRONZE_YELLOW, DIM_DATE, FACT_TRIP, SILVER, TableContract
 from stratamart.functions.keys import hashed_key, trip_key_of
 from stratamart.functions.payload import once, parsed
-from stratamart.operators import checks, dims, facts, marts, profile, rules
+from stratamart.operators import checks, dims, facts, marts, profile, quantiles, rules
 from stratamart.operators.conform import conform
 from stratamart.operators.layout import append_rows, stage
 from stratamart.operators.rules import REASONS
@@ -454,6 +454,37 @@ def percentiles_line_price(spark, folder):
     return profile.exact_percentiles(line_trips(table(spark, folder, "lineitem")), "total_amount")
 
 
+def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines by the year they were shipped in."""
+    rows = line_trips(table(spark, folder, "lineitem"))
+    return rows.select("taxi_type", "total_amount", F.year("pickup_datetime").alias("year"))
+
+
+@query
+def percentiles_incremental(spark, folder):
+    """Sketches kept by year and brought up to date by a second landing of the later years; whether the ranks of the
+    percentiles that they state are within one hundredth."""
+    lines = priced_lines(spark, folder)
+    root = fresh_folder(spark, "sketches")
+    years = [r["year"] for r in lines.select("year").distinct().orderBy("year").collect()]
+    keys = (["year"], ["taxi_type"], ["total_amount"])
+    lines.write.partitionBy("year").parquet(f"{root}/rows")
+    stored = spark.read.parquet(f"{root}/rows")
+    for landed in (years[: len(years) // 2 + 1], years[len(years) // 2 :]):  # one year is in both
+        quantiles.refresh_sketches(stored, f"{root}/sketches", *keys, [Row(year=y) for y in landed])
+    sketches = quantiles.stored_sketches(spark, f"{root}/sketches", stored.schema, *keys)
+    found = quantiles.sketched_percentiles(sketches, "taxi_type", "total_amount", profile.POINTS)
+    ranked = lines.join(found.withColumnRenamed("taxi_type", "of"), F.col("taxi_type") == F.col("of"))
+    names = [profile.point_name(p) for p in profile.POINTS]
+    near = [
+        (F.abs(F.avg((F.col("total_amount") <= F.col(f"{n}_total_amount")).cast("double")) - p) <= 0.01).alias(f"{n}_near")
+        for n, p in zip(names, profile.POINTS)
+    ]
+    return ranked.groupBy("taxi_type").agg(
+        F.max("rows").alias("rows"), F.max("min_total_amount").alias("min_amount"), F.max("max_total_amount").alias("max_amount"), *near
+    )
+
+
 TOP_COLUMNS = (
     "event_id",
     "taxi_type",
