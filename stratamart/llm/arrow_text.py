@@ -12,12 +12,13 @@ import pyarrow.compute as pc
 RUN_BYTES = 4 << 20
 
 
-def runs(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of some RUN_BYTES of text, one row at least."""
+def runs(batch: pa.RecordBatch, text: str = "text", most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of some ``most`` bytes of text (RUN_BYTES if not stated), one row at least."""
+    most = RUN_BYTES if most is None else most
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     low, done = 0, 0
     while low < batch.num_rows:
-        high = max(low + 1, int(np.searchsorted(ends, done + RUN_BYTES, "right")))
+        high = max(low + 1, int(np.searchsorted(ends, done + most, "right")))
         yield batch.slice(low, high - low)
         low, done = high, ends[high - 1]
 

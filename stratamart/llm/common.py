@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratamart.operators.layout import stage
+from stratamart.session import shared_dir
 
-__all__ = ["WORD", "SPACE", "KEY_BITS", "stage", "table", "word_count", "seeded_key", "marked",
+__all__ = ["WORD", "SPACE", "KEY_BITS", "stage", "Scratch", "table", "word_count", "seeded_key", "marked",
            "slices_for", "slice_of", "running_offsets"]
 
 # A word is a run of anything but the six ASCII blanks.
@@ -19,6 +22,32 @@ KEY_BITS = 52
 SLICE_ROWS = 4_000
 
 
+class Scratch:
+    """Staged tables that a job removes once nothing reads them any more."""
+
+    def __init__(self, spark) -> None:
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/stage/{name}-{uuid4().hex}"
+        df.write.parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(staged)] = (staged, path)
+        return staged
+
+    def drop(self, *staged: DataFrame) -> None:
+        """Remove staged tables; only what has itself been staged may have been made of them."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for df in staged:
+            _, path = self.paths.pop(id(df))
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+    def drop_all(self) -> None:
+        self.drop(*(df for df, _ in list(self.paths.values())))
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import stage
+from stratamart.llm.common import Scratch
 
 MAX_ROUNDS = 60
 LINKS_PER_TASK = 200_000
@@ -37,8 +37,9 @@ def contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"node": nodes, "top": [root(x) for x in nodes]}, dtype="int64")
 
 
-def connected(links: DataFrame) -> DataFrame:
-    """``node`` and ``label``, the smallest node of its group, for every node of the links ``a``, ``b``.
+def connected(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """``node`` and ``label``, the smallest node of its group, for every node of the links ``a``, ``b``; staged, in
+    ``scratch`` if given.
 
     Links are dealt out evenly, not by node: a node with a third of all links is no task's burden.
 
@@ -46,29 +47,33 @@ def connected(links: DataFrame) -> DataFrame:
     size; a node that several partitions know then links their tops. What is left are links among
     tops, fewer each time and in fewer partitions, so that at last one partition sees all that is left.
     """
+    scratch = scratch or Scratch(links.sparkSession)
     labels, rounds = None, 0
-    links = stage(links.select("a", "b").filter("a <> b"), "links")
+    links = scratch.stage(links.select("a", "b").filter("a <> b"), "links")
     left = links.count()
     while left and rounds < MAX_ROUNDS:
         parts = max(1, -(-left // LINKS_PER_TASK))
-        stars = stage(links.repartition(parts).mapInPandas(contract, "node long, top long"), "stars")
-        best = stage(stars.groupBy("node").agg(F.min("top").alias("best")), "tops")
-        if labels is None:
-            labels = best.select("node", F.col("best").alias("label"))
+        stars = scratch.stage(links.repartition(parts).mapInPandas(contract, "node long, top long"), "stars")
+        best = scratch.stage(stars.groupBy("node").agg(F.min("top").alias("best")), "tops")
+        old = labels
+        if old is None:
+            labels = scratch.stage(best.select("node", F.col("best").alias("label")), "labels")
         else:
-            labels = stage(
-                labels.join(best.withColumnRenamed("node", "label"), "label", "left").select(
+            labels = scratch.stage(
+                old.join(best.withColumnRenamed("node", "label"), "label", "left").select(
                     "node", F.coalesce("best", "label").alias("label")
                 ),
                 "labels",
             )
-        links = stage(
-            stars.join(best, "node").filter("top <> best").select(F.col("top").alias("a"), F.col("best").alias("b")).distinct(),
-            "links",
-        )
+            scratch.drop(old)
+        tops = stars.join(best, "node").filter("top <> best").select(F.col("top").alias("a"), F.col("best").alias("b"))
+        more = scratch.stage(tops.distinct(), "links")
+        scratch.drop(links, stars, best)
+        links = more
         left, rounds = links.count(), rounds + 1
     if left:
         raise RuntimeError(f"groups are not complete after {MAX_ROUNDS} rounds")
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    scratch.drop(links)
     return labels

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import stage
+from stratamart.llm.arrow_text import runs
+from stratamart.llm.common import Scratch, stage
 from stratamart.llm.groups import connected
 
 N = 4
@@ -35,6 +36,8 @@ SEEDS = 3
 # each in the hashed relation, some 64 MB in all); beyond it ids are met by a shuffled join.
 BATCH_BYTES = 1 << 19
 TILE = 2_048
+# Pairs of a tile that are held before they are handed on.
+STRIP = 100_000
 BROADCAST_IDS = 2_000_000
 
 BLANKS = np.zeros(256, dtype=bool)
@@ -91,18 +94,20 @@ def shingle_sets(texts: list[bytes], n: int = N) -> list[np.ndarray]:
     return np.split(out[new], np.searchsorted(owner[new], np.arange(1, len(texts))))
 
 
-def batches_of(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Ids and sets of runs of some BATCH_BYTES of text, one row at least; no more text than that is held
-    besides the rows themselves."""
-    texts, low = rows["text"].tolist(), 0
-    names = rows["id"].to_numpy()
-    while low < len(texts):
-        high, held = low, 0
-        while high < len(texts) and (high == low or held + len(texts[high] or "") <= BATCH_BYTES):
-            held += len(texts[high] or "")
-            high += 1
-        yield names[low:high], [(t or "").encode() for t in texts[low:high]]
-        low = high
+def batches_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Runs of some BATCH_BYTES of text and their sets; a null text's set is empty."""
+    for batch in batches:
+        for run in runs(batch, most=BATCH_BYTES):
+            yield run, shingle_sets([(t or "").encode() for t in run["text"].to_pylist()], n)
+
+
+def name_of(hashes: np.ndarray) -> np.uint64:
+    """What tells a set from others."""
+    return mixed(hashes).sum()
+
+
+def signed(values: list[np.uint64]) -> np.ndarray:
+    return np.array(values, dtype=np.uint64).view(np.int64)
 
 
 @dataclass(frozen=True)
@@ -185,56 +190,59 @@ def folded(bits: np.ndarray, words: int) -> np.ndarray:
 def describe(n: int):
     """Per document: size of its set, two hashes of the set, its bitmap."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for names, texts in batches_of(rows):
-                out = []
-                for own in shingle_sets(texts, n):
-                    first, second = mixed(own).sum(), mixed(own ^ np.uint64(0xA5A5)).sum()
-                    out.append((len(own), *np.array([first, second]).view(np.int64), bitmap(own).view(np.int64)))
-                found = pd.DataFrame(out, columns=["n", "first", "second", "bits"])
-                found.insert(0, "id", names)
-                yield found
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, sets in batches_of(batches, n):
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "id": rows["id"],
+                    "mark": rows["mark"],
+                    "n": pa.array([len(own) for own in sets], pa.int64()),
+                    "first": signed([name_of(own) for own in sets]),
+                    "second": signed([name_of(own ^ np.uint64(0xA5A5)) for own in sets]),
+                    "bits": pa.array([bitmap(own).view(np.int64) for own in sets], pa.list_(pa.int64())),
+                }
+            )
 
     return run
 
 
 def emit_keys(n: int, percent: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bands(1_000, percent)
-        for rows in batches:
-            for _, texts in batches_of(rows):
-                keys, names = [], []
-                for own in shingle_sets(texts, n):
-                    if len(own):
-                        while table[-1].low <= 2 * len(own):
-                            table = bands(4 * len(own), percent)
-                        found = keys_of(own, table, percent)
-                        keys.append(found)
-                        names.append(np.full(len(found), mixed(own).sum()))
-                if keys:
-                    yield pd.DataFrame(
-                        {"key": np.concatenate(keys).view(np.int64), "first": np.concatenate(names).view(np.int64)}
-                    )
+        for _, sets in batches_of(batches, n):
+            for own in sets:
+                if len(own):
+                    while table[-1].low <= 2 * len(own):
+                        table = bands(4 * len(own), percent)
+                    found = keys_of(own, table, percent)
+                    if len(found):
+                        yield pa.RecordBatch.from_pydict(
+                            {"key": found.view(np.int64), "first": np.full(len(found), name_of(own)).view(np.int64)}
+                        )
 
     return run
 
 
 def emit_arrays(n: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for names, texts in batches_of(rows):
-                yield pd.DataFrame({"id": names, "array": [own.tobytes() for own in shingle_sets(texts, n)]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sets in batches_of(batches, n):
+            yield pa.RecordBatch.from_pydict(
+                {"id": signed([name_of(own) for own in sets]), "array": pa.array([own.tobytes() for own in sets], pa.binary())}
+            )
 
     return run
 
 
 def emit_bitmaps(n: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for names, texts in batches_of(rows):
-                sets = shingle_sets(texts, n)
-                yield pd.DataFrame({"id": names, "n": list(map(len, sets)), "fine": [fine_bitmap(own).tobytes() for own in sets]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sets in batches_of(batches, n):
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "id": signed([name_of(own) for own in sets]),
+                    "n": pa.array([len(own) for own in sets], pa.int64()),
+                    "fine": pa.array([fine_bitmap(own).tobytes() for own in sets], pa.binary()),
+                }
+            )
 
     return run
 
@@ -297,14 +305,20 @@ def as_pairs(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame(np.unique(np.sort(np.column_stack([a, b]), axis=1), axis=0), columns=["a", "b"])
 
 
-def all_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Every open pair of whole tiles."""
-    names = rows["id"].to_numpy()
-    found = [(names[at], names[to]) for at, to, _ in open_pairs(rows, percent)] or [(names[:0], names[:0])]
-    return as_pairs(*(np.concatenate(side) for side in zip(*found, strict=True)))
+def all_pairs(rows: pd.DataFrame, percent: int) -> Iterator[pd.DataFrame]:
+    """Every open pair of whole tiles, STRIP of them at a time."""
+    names, held, n = rows["id"].to_numpy(), [], 0
+    for at, to, _ in open_pairs(rows, percent):
+        held.append((names[at], names[to]))
+        n += len(at)
+        if n >= STRIP:
+            yield as_pairs(*(np.concatenate(side) for side in zip(*held, strict=True)))
+            held, n = [], 0
+    if n:
+        yield as_pairs(*(np.concatenate(side) for side in zip(*held, strict=True)))
 
 
-def closest_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+def closest_pairs(rows: pd.DataFrame, percent: int) -> Iterator[pd.DataFrame]:
     """For each group in each of some whole tiles, the open pair that brings it closest to another one."""
     names, labels, tile = rows["id"].to_numpy(), rows["label"].to_numpy(), np.cumsum(rows["starts"].to_numpy())
     far, partner = np.full(len(rows), np.inf), np.full(len(rows), -1)
@@ -317,7 +331,7 @@ def closest_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     first[1:] = (tile[order][1:] != tile[order][:-1]) | (labels[order][1:] != labels[order][:-1])
     best = order[first]
     best = best[partner[best] >= 0]
-    return as_pairs(names[best], names[partner[best]])
+    yield as_pairs(names[best], names[partner[best]])
 
 
 def of_whole_tiles(batches: Iterator[pd.DataFrame], search, percent: int) -> Iterator[pd.DataFrame]:
@@ -333,10 +347,10 @@ def of_whole_tiles(batches: Iterator[pd.DataFrame], search, percent: int) -> Ite
             rows = pd.concat([held, rows], ignore_index=True)
         cut = np.flatnonzero(rows["starts"].to_numpy())[-1] if len(rows) else 0
         if cut:
-            yield search(rows.iloc[:cut], percent)
+            yield from search(rows.iloc[:cut], percent)
         held = rows.iloc[cut:]
     if held is not None and len(held):
-        yield search(held, percent)
+        yield from search(held, percent)
 
 
 def search_all(percent: int):
@@ -371,18 +385,22 @@ def finer(pairs: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(bound(percent), "a long, b long")
 
 
-def decided(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+def decided(scratch: Scratch, slim: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs that link, by intersecting the arrays. Staged: links are used more than once."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    arrays = scratch.stage(of_classes(slim, classes.join(ids, "id", "left_semi"), emit_arrays(n), "id long, array binary", scratch), "ngram-arrays")
     left, right = arrays.toDF("a", "array_a"), arrays.toDF("b", "array_b")
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "array_a", "array_b")
-    return stage(both.mapInArrow(decide(percent), "a long, b long"), "ngram-links")
+    links = scratch.stage(both.mapInArrow(decide(percent), "a long, b long"), "ngram-links")
+    scratch.drop(arrays)
+    return links
 
 
-def relabelled(classes: DataFrame, links: DataFrame) -> DataFrame:
+def relabelled(scratch: Scratch, classes: DataFrame, links: DataFrame) -> DataFrame:
     """``id`` and ``label`` of every class."""
-    groups = connected(links)
+    groups = connected(links, scratch)
     found = classes.select("id").join(groups.withColumnRenamed("node", "id"), "id", "left")
-    return stage(found.select("id", F.coalesce("label", "id").alias("label")), "ngram-labels")
+    return scratch.stage(found.select("id", F.coalesce("label", "id").alias("label")), "ngram-labels")
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -427,100 +445,141 @@ def tiles(meetings: DataFrame, classes: DataFrame, labels: DataFrame, search) ->
     )
 
 
-def near_groups(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = N, percent: int = PERCENT
-) -> DataFrame:
-    """``id``, ``n_shingles`` and ``component_id`` for every row of ``docs``.
+def of_classes(slim: DataFrame, classes: DataFrame, make, schema: str, scratch: Scratch) -> DataFrame:
+    """What ``make`` makes of one text of each of some classes, known by its id and mark. It is made again where it
+    is needed: to keep the arrays of all documents would take more than the texts."""
+    wanted = scratch.stage(classes.select("doc", F.col("mark").alias("text_mark")), "ngram-wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    same = F.expr("id <=> doc and mark = text_mark")
+    return slim.join(wanted, same, "left_semi").mapInArrow(make, schema)
 
-    A row's set: its distinct shingles of ``n`` words; with fewer words all of them as one; empty
-    without words or text, and then linked with nothing. Two rows link if their sets' Jaccard
-    similarity is ``percent`` hundredths at least. ``component_id`` is the smallest ``key`` that links
-    lead to, a row's own included. Rows with one key count as one node, whatever their texts; a null key
-    gets a null component. Other columns are not looked at; an empty table gives an empty result.
 
-    Sets are told apart by 64-bit hashes of shingles. No pair, component or set passes the driver.
-    """
-    slim = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    rows = stage(
-        slim.mapInPandas(describe(n), "id long, n long, first long, second long, bits array<long>"),
-        "ngram-rows",
+def described(docs: DataFrame, text: str, key: str, n: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The texts with ids and marks, hashes of the texts; and what is known of each row's set, staged."""
+    slim = docs.select(
+        F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("mark")
     )
-    named = rows.filter("n > 0 and id is not null")
-    classes = stage(
-        named.groupBy("n", "first", "second").agg(F.min("id").alias("id"), F.min("bits").alias("bits")),
+    rows = slim.mapInArrow(describe(n), "id long, mark long, n long, first long, second long, bits array<long>")
+    return slim, scratch.stage(rows, "ngram-rows")
+
+
+def linked_classes(slim: DataFrame, rows: DataFrame, n: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The classes of equal sets that are not empty, each named by its first hash, with the smallest id it occurs
+    under; and the links between them. Staged."""
+    best = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark"))
+    classes = scratch.stage(
+        rows.filter("n > 0")
+        .groupBy("n", "first", "second")
+        .agg(best.alias("best"), F.min("bits").alias("bits"))
+        .select(F.col("first").alias("id"), "n", "bits", F.col("best.id").alias("doc"), "best.mark"),
         "ngram-classes",
     )
+    # Equal rows would bring a class's text several times.
+    twice = rows.filter("n > 0").groupBy("id", "mark").count().filter("count > 1").head(1)
+    one = (lambda df: df.dropDuplicates(["id"])) if twice else (lambda df: df)
+    # A class states its keys once, however many rows have its set.
+    keys = of_classes(slim, classes, emit_keys(n, percent), "key long, first long", scratch)
+    keys = keys.distinct() if twice else keys
     order = Window.partitionBy("key").orderBy("first")
-    keys = slim.filter("id is not null").mapInPandas(emit_keys(n, percent), "key long, first long")
-    neighbours = (
+    meetings = scratch.stage(
         keys.withColumn("before", F.lag("first").over(order))
         .filter("before <> first")
-        .select("key", "before", "first")
-    )
-    neighbours = stage(neighbours, "ngram-neighbours")
-    names = classes.select("first", "id")
-    meetings = stage(
-        neighbours.join(names.toDF("before", "a"), "before")
-        .join(names.toDF("first", "b"), "first")
-        .select("key", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
+        .select("key", F.least("before", "first").alias("a"), F.greatest("before", "first").alias("b")),
         "ngram-meetings",
     )
-    counted = stage(meetings.groupBy("a", "b").agg(F.count("*").alias("times")), "ngram-counted")
+    counted = scratch.stage(meetings.groupBy("a", "b").agg(F.count("*").alias("times")), "ngram-counted")
     met = counted.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    fine = of_ids(slim, met, emit_bitmaps(n), "id long, n long, fine binary")
+    fine = of_classes(slim, classes.join(met, "id", "left_semi"), emit_bitmaps(n), "id long, n long, fine binary", scratch)
+    fine = scratch.stage(one(fine), "ngram-fine")
     room = finer(within_bound(counted.select("a", "b"), classes, percent), fine, percent)
-    pairs = stage(room.join(counted, ["a", "b"]), "ngram-pairs")
+    pairs = scratch.stage(room.join(counted, ["a", "b"]), "ngram-pairs")
 
     # First every set with the one neighbour it meets most often; then the neighbours that this left
     # apart; then, in tiles that still hold different groups, the closest sets of each; then all sets of
     # tiles that hold different groups even so.
-    arrays = arrays_of(slim, pairs, n)
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
-    links = decided(best, arrays, percent)
-    labels = relabelled(classes, links)
+    best = scratch.stage(best, "ngram-best")
+    links = decided(scratch, slim, classes, best, n, percent)
+    labels = relabelled(scratch, classes, links)
     more = apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
-    links = links.unionByName(decided(more, arrays, percent))
-    labels = relabelled(classes, links)
+    more = scratch.stage(more, "ngram-more")
+    links = links.unionByName(decided(scratch, slim, classes, more, n, percent))
+    scratch.drop(labels, pairs, best, more)
+    labels = relabelled(scratch, classes, links)
     looked_at = counted.select("a", "b")
     for search in (search_closest(percent), search_all(percent)):
         rest = tiles(meetings, classes, labels, search).join(looked_at, ["a", "b"], "left_anti")
-        rest = stage(finer(rest, fine, percent), "ngram-rest")
-        links = links.unionByName(decided(rest, arrays_of(slim, rest, n), percent))
-        labels = relabelled(classes, links)
+        rest = scratch.stage(finer(rest, fine, percent), "ngram-rest")
+        links = links.unionByName(decided(scratch, slim, classes, rest, n, percent))
+        scratch.drop(labels)
+        labels = relabelled(scratch, classes, links)
         looked_at = looked_at.unionByName(rest)
-    named_classes = classes.join(labels, "id").select("n", "first", "second", "label")
-    # Several classes of one key are one node.
-    found = rows.join(named_classes, ["n", "first", "second"], "left").select(
-        "id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("label", "id")).alias("component_id"),
-    )
-    return found
+    scratch.drop(labels, meetings, fine)
+    return classes, links
 
 
-def of_ids(slim: DataFrame, ids: DataFrame, make, schema: str) -> DataFrame:
-    """What ``make`` makes of the texts with certain ids, staged. It is made again where it is needed:
-    to keep the arrays of all documents would take more than the texts."""
-    ids = stage(ids, "ngram-ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return stage(slim.join(ids, "id", "left_semi").mapInPandas(make, schema), "ngram-made")
+def near_groups(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = N, percent: int = PERCENT
+) -> DataFrame:
+    """``id``, ``n_shingles`` and ``component_id`` for every row of ``docs``.
 
+    A row's set: its distinct shingles of ``n`` words; with fewer words all of them as one; empty
+    without words or text, and then linked with nothing. Two rows link if their sets' Jaccard
+    similarity is ``percent`` hundredths at least. ``component_id`` is the smallest ``key`` that links
+    lead to, a row's own included. Rows with one key count as one node, whatever their texts; a null key
+    gets a null component. Other columns are not looked at; an empty table gives an empty result.
 
-def arrays_of(slim: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """The sorted arrays of the sets in some pairs."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return of_ids(slim, ids, emit_arrays(n), "id long, array binary")
+    Sets are told apart by 64-bit hashes of shingles. No pair, component or set passes the driver.
+    """
+    scratch = Scratch(docs.sparkSession)
+    slim, rows = described(docs, text, key, n, scratch)
+    classes, links = linked_classes(slim, rows, n, percent, scratch)
+    # Different sets under one key are one node.
+    named = rows.filter("n > 0 and id is not null").select("id", "first").distinct()
+    shared = named.groupBy("id").agg(F.min("first").alias("a"), F.max("first").alias("b")).filter("a <> b").select("id", "a")
+    links = links.unionByName(named.join(shared, "id").select("a", F.col("first").alias("b")))
+    labels = relabelled(scratch, classes, links)
+    own = classes.select("id", "doc").join(labels, "id")
+    smallest = own.groupBy("label").agg(F.min("doc").alias("component"))
+    found = own.join(smallest, "label").select(F.col("id").alias("first"), "component")
+    result = rows.join(found, ["first"], "left").select(
+        "id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
+    )
+    kept = stage(result, "ngram-groups")
+    scratch.drop_all()
+    return kept
+
+
+def surplus_rows(docs: DataFrame, text: str, key: str, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``id`` and ``mark`` (a hash of the text) of all rows that a group does without: all but those with its smallest
+    key. And of the rows that are kept, those whose id and text are there several times. Staged."""
+    scratch = Scratch(docs.sparkSession)
+    slim, rows = described(docs, text, key, n, scratch)
+    classes, links = linked_classes(slim, rows, n, percent, scratch)
+    labels = relabelled(scratch, classes, links)
+    own = (
+        rows.filter("n > 0").groupBy("id", "mark", "first").agg(F.count("*").alias("times")).join(labels.withColumnRenamed("id", "first"), "first")
+    )
+    best = own.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark")).alias("best"))
+    judged = own.join(best, "label").withColumn("stays", F.expr("id <=> best.id and mark = best.mark"))
+    judged = stage(judged.filter("not stays or times > 1").select("id", "mark", "stays"), "ngram-judged")
+    scratch.drop_all()
+    return judged.filter("not stays").select("id", "mark"), judged.filter("stays").select("id", "mark")
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = N, percent: int = PERCENT) -> DataFrame:
-    """The row with the smallest ``key`` of every group; one row of those that repeat a key. Rows with a
-    null key are kept. Only keys are joined; rows are not gathered by group."""
-    groups = stage(near_groups(docs, text, key, n, percent), "ngram-groups")
-    surplus = stage(groups.filter("id <> component_id").select("id").distinct(), "ngram-surplus")
-    repeated = stage(groups.filter("id is not null").groupBy("id").count().filter("count > 1").select("id"), "ngram-repeated")
-    kept = docs.join(surplus, docs[key] == surplus["id"], "left_anti")
-    if not repeated.head(1):
-        return kept
-    again = kept.join(repeated, kept[key] == repeated["id"], "left_semi").dropDuplicates([key])
-    return kept.join(repeated, kept[key] == repeated["id"], "left_anti").unionByName(again)
+    """One row of every group of linked texts: that with the smallest ``key``, null keys last, then by a hash of the
+    text; of rows with equal key and text any one. Rows without a word are in no group and all stay. A row is
+    judged by its own text, whatever other rows have its key. Only keys and hashes are joined; rows are not
+    gathered by group."""
+    surplus, repeated = surplus_rows(docs, text, key, n, percent)
+    marked = docs.withColumns({"__id": F.col(key).cast("long"), "__mark": F.xxhash64(text)})
+    same = F.expr("__id <=> id_of and __mark = mark_of")
+    kept = marked.join(surplus.toDF("id_of", "mark_of"), same, "left_anti")
+    if repeated.head(1):
+        again = kept.join(repeated.toDF("id_of", "mark_of"), same, "left_semi").dropDuplicates(["__id", "__mark"])
+        kept = kept.join(repeated.toDF("id_of", "mark_of"), same, "left_anti").unionByName(again)
+    return kept.select(*docs.columns)

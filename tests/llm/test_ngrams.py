@@ -1,10 +1,13 @@
+import os
 import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from stratamart.llm import ngrams
+from stratamart.session import shared_dir
 
 
 def brute_set(text, n=4):
@@ -102,6 +105,7 @@ def test_odd_rows_and_one_of_each(odd, none, docs_of):
     kept = ngrams.one_of_each(odd)
     assert kept.columns == odd.columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [-8, 1, 2, 3, 4, 5, 7]
+    assert sum(r["doc_id"] is None for r in kept.collect()) == 1
     assert ngrams.near_groups(none).collect() == [] and ngrams.one_of_each(none).collect() == []
 
 
@@ -111,3 +115,32 @@ def test_a_large_group_of_copies(docs_of, words):
     rows += [(1000 + i, " ".join(words(50)), "en", "s") for i in range(50)]
     found = {r["id"]: r["component_id"] for r in ngrams.near_groups(docs_of(rows)).collect()}
     assert {found[i] for i in range(400)} == {0} and all(found[1000 + i] == 1000 + i for i in range(50))
+
+
+def test_rows_are_judged_by_their_own_text(docs_of, words):
+    base, other = words(40), words(30)
+    near = [*base, "new"]
+    rows = [(3, " ".join(base), "en", "a"), (5, " ".join(near), "en", "a"), (5, " ".join(other), "en", "b"), (5, " ".join(other), "en", "c")]
+    rows += [(None, " ".join(base), "en", "d"), (None, "alone " * 9, "en", "e"), (None, "alone " * 9, "en", "f"), (None, None, "en", "g")]
+    kept = ngrams.one_of_each(docs_of(rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == sorted(
+        [(3, " ".join(base)), (5, " ".join(other)), (0, "alone " * 9), (0, "")]
+    )
+    groups = {(r["id"], r["component_id"]) for r in ngrams.near_groups(docs_of(rows)).collect()}
+    assert groups == {(3, 3), (5, 3), (None, None)}
+
+
+def test_pairs_of_a_tile_come_in_strips(monkeypatch):
+    monkeypatch.setattr(ngrams, "STRIP", 500)
+    n = 300
+    rows = pd.DataFrame({"id": range(n), "n": 10, "label": range(n), "block": 0, "low": 0, "high": 0, "starts": [True] + [False] * (n - 1)})
+    rows["bits"] = [np.zeros(8, np.int64)] * n
+    strips = list(ngrams.all_pairs(rows, 85))
+    assert max(map(len, strips)) < 500 + n and len(pd.concat(strips).drop_duplicates()) == n * (n - 1) // 2
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, docs_of):
+    folder = f"{shared_dir(spark)}/stage"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    ngrams.near_groups(docs_of([(1, "a b c d e f", "en", "s"), (2, "a b c d e f", "en", "s")])).collect()
+    assert len([f for f in set(os.listdir(folder)) - before if f.startswith("ngram")]) == 1
