@@ -70,7 +70,8 @@ class TableContract:
             stored.add(c, self.partition_by[c][0], True)
         return stored
 
-    def create_table(self, database: str, location: str) -> str:
+    def create_table(self, database: str, location: str, buckets: int = 0) -> str:
+        """The statement; with ``buckets``, rows are kept apart by a hash of their key."""
         lines = [
             f"  {f.name} {f.dataType.simpleString()}"
             + ("" if f.nullable else " NOT NULL")
@@ -79,6 +80,8 @@ class TableContract:
         ]
         lines += [f"  {c} {self.partition_by[c][0]}" for c in self.folders]
         layout = f" PARTITIONED BY ({', '.join(self.partition_by)})" if self.partition_by else ""
+        if buckets:
+            layout += f" CLUSTERED BY ({', '.join(self.key)}) INTO {buckets} BUCKETS"
         return (
             f"CREATE TABLE IF NOT EXISTS {database}.{self.name} (\n"
             + ",\n".join(lines)

@@ -6,17 +6,29 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from stratamart.contracts import TableContract
 from stratamart.operators.rules import holds
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Key values held by more than one row. Counts combine before the shuffle, so a key with a
-    large share of all rows costs one partial row per task."""
-    return df.groupBy(key).agg(F.count("*").alias("count")).filter("count > 1")
+def key_hash(*key: str) -> Column:
+    return F.xxhash64(*key)
+
+
+def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
+    """Key values held by more than one row, with their ``count``.
+
+    Rows are first counted by a hash of their key, so that 8 bytes a key are shuffled instead of, say, 64
+    characters; counts combine before that, so a key with a large share of all rows costs one partial row per
+    task. Only keys whose hash is not unique are then counted themselves, which tells duplicates from collisions.
+    Hashes that occur twice are few where keys are mostly unique, and sent to the rows; else both sides are
+    met by a shuffle of hashes.
+    """
+    suspects = df.groupBy(key_hash(*key).alias("_suspect")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_suspect")
+    met = df.select(*key).join(suspects, key_hash(*key) == F.col("_suspect"), "left_semi")
+    return met.groupBy(*key).agg(F.count("*").alias("count")).filter("count > 1")
 
 
 def top_duplicate_keys(df: DataFrame, key: str, sample: int = 10) -> DataFrame:
@@ -26,8 +38,8 @@ def top_duplicate_keys(df: DataFrame, key: str, sample: int = 10) -> DataFrame:
 def duplicates_message(df: DataFrame, key: str, found: int, sample: int = 10) -> str:
     worst = ", ".join(f"{r[0]} ({r[1]} rows)" for r in top_duplicate_keys(df, key, sample).collect())
     return (
-        f"the merge source holds {found} duplicated {key} values; either input was ingested "
-        f"twice or the key leaves out a column. Most frequent: {worst}"
+        f"{found} values of {key} occur in more than one row of what is to be merged, most often {worst}. "
+        f"Was a file ingested twice, or does {key} not tell all rows apart?"
     )
 
 
@@ -54,6 +66,21 @@ def constraint_violations(df: DataFrame, contract: TableContract) -> DataFrame:
     return counted.select(F.inline(F.array(*pairs)))
 
 
+def asserted(df: DataFrame, contract: TableContract) -> DataFrame:
+    """``df``, which fails while it is computed where a row breaks NOT NULL or a check, naming the first one: the hard
+    form of the gate, inside the plan that writes. Every column goes through it, so no pruning removes it."""
+    broken = F.lit(None).cast("string")
+    for name, test in reversed(_tests(contract).items()):
+        broken = F.when(~holds(F.expr(test)), F.lit(name)).otherwise(broken)
+    sound = {
+        c: F.when(broken.isNull(), F.col(c)).otherwise(
+            F.raise_error(F.concat(F.lit(f"{contract.name} refuses a row: "), broken)).cast(df.schema[c].dataType)
+        )
+        for c in contract.columns
+    }
+    return df.withColumns(sound)
+
+
 def _tests(contract: TableContract) -> dict[str, str]:
     required = {f"{c}_required": f"{c} IS NOT NULL" for c in contract.required}
     return {**required, **contract.checks}
@@ -70,13 +97,14 @@ class SourceReport:
 
 
 def inspect_source(source: DataFrame, contract: TableContract) -> SourceReport:
-    """Uniqueness, NOT NULL, checks and touched folders in one shuffle on the key.
+    """Uniqueness, NOT NULL, checks and touched folders in one shuffle on a hash of the key.
 
     ``source`` carries the folder columns, which must follow from the key. What reaches the
-    driver is one row per touched folder, so its size is that of the calendar.
+    driver is one row per touched folder, so its size is that of the calendar. Where a hash occurs twice, the
+    keys themselves are counted as well.
     """
     tests = _tests(contract)
-    per_key = source.groupBy(*contract.partition_by, *contract.key).agg(
+    per_key = source.groupBy(*contract.partition_by, key_hash(*contract.key).alias("_hash")).agg(
         F.count("*").alias("_copies"),
         *(F.count_if(~holds(F.expr(t))).alias(n) for n, t in tests.items()),
     )
@@ -86,10 +114,13 @@ def inspect_source(source: DataFrame, contract: TableContract) -> SourceReport:
         *(F.sum(n).alias(n) for n in tests),
     )
     found = per_folder.collect()
+    duplicated = sum(r["_duplicated"] for r in found)
+    if duplicated:
+        duplicated = duplicate_keys(source, *contract.key).count()
     return SourceReport(
         rows=sum(r["_rows"] for r in found),
         folders=[Row(**{c: r[c] for c in contract.partition_by}) for r in found],
-        duplicated_keys=sum(r["_duplicated"] for r in found),
+        duplicated_keys=duplicated,
         violations={n: sum(r[n] for r in found) for n in tests},
     )
 
@@ -114,23 +145,61 @@ def orphans(rows: DataFrame, column: str, dimension: DataFrame, key: str) -> Dat
 def orphan_counts(rows: DataFrame, links: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """One row: ``rows`` and ``orphans_<column>`` for each ``column -> (dimension, key)``.
 
-    Each link is counted for itself: rows per key value combine before the shuffle to the size of the
-    dimension, and only those counts meet it. A scan per link reads that one column.
+    Each link is counted for itself, without a join: rows per key value and the keys of the dimension are one relation,
+    which combines before the shuffle to the size of the dimension. A scan per link reads that one column.
     """
     parts = []
     for column, (dimension, key) in links.items():
-        counted = rows.groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("_n"))
-        known = dimension.select(F.col(key).alias("_known")).distinct()
-        met = counted.join(known, F.col("_key") == F.col("_known"), "left")
-        lost = F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0))
+        known = dimension.select(F.col(key).alias("_key"), F.lit(True).alias("_known")).filter("_key IS NOT NULL")
+        both = rows.select(F.col(column).alias("_key"), F.lit(False).alias("_known")).unionByName(known)
+        counted = both.groupBy("_key").agg(F.count_if(~F.col("_known")).alias("_n"), F.max("_known").alias("_known"))
+        lost = F.coalesce(F.sum(F.when(~F.col("_known"), F.col("_n"))), F.lit(0))
         total = F.coalesce(F.sum("_n"), F.lit(0))
-        parts.append(met.agg(F.lit(column).alias("_link"), total.alias("_rows"), lost.alias("_lost")))
+        parts.append(counted.agg(F.lit(column).alias("_link"), total.alias("_rows"), lost.alias("_lost")))
     return reduce(DataFrame.unionByName, parts).agg(
         F.max("_rows").alias("rows"),
         *(F.max(F.when(F.col("_link") == c, F.col("_lost"))).alias(f"orphans_{c}") for c in links),
     )
 
 
+def key_bitmaps(keys: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """The integers of a column as bitmaps of 32,768 neighbours each: ``_bucket``, ``_bits``. Exact, and 4 KB for
+    what would be up to 32,768 keys in a shuffle; they combine before it. NULL is no key."""
+    key = F.col(column).cast("long")
+    return (
+        keys.filter(key.isNotNull())
+        .groupBy(*by, F.bitmap_bucket_number(key).alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("_bits"))
+    )
+
+
+def orphan_keys(rows: DataFrame, links: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``link``, ``used`` and ``orphan_keys``: how many different integer keys the rows use for each
+    ``column -> (dimension, key)``, and how many of these the dimension lacks. By difference of bitmaps: what both
+    hold together less what the dimension holds. A NULL refers to nothing and is no key."""
+    parts = []
+    for column, (dimension, key) in links.items():
+        sides = [(rows, column, False), (dimension, key, True)]
+        both = reduce(
+            DataFrame.unionByName, [key_bitmaps(df, c).withColumn("_known", F.lit(known)) for df, c, known in sides]
+        )
+        known_bits = F.max(F.when(F.col("_known"), F.bitmap_count("_bits")))
+        used_bits = F.max(F.when(~F.col("_known"), F.bitmap_count("_bits")))
+        counted = both.groupBy("_bucket").agg(
+            F.bitmap_count(F.bitmap_or_agg("_bits")).alias("_all"),
+            F.coalesce(known_bits, F.lit(0)).alias("_in_dimension"),
+            F.coalesce(used_bits, F.lit(0)).alias("_used"),
+        )
+        parts.append(
+            counted.agg(
+                F.lit(column).alias("link"),
+                F.coalesce(F.sum("_used"), F.lit(0)).alias("used"),
+                F.coalesce(F.sum(F.expr("_all - _in_dimension")), F.lit(0)).alias("orphan_keys"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def require_links(rows: DataFrame, links: Mapping[str, tuple[DataFrame, str]]) -> dict[str, int]:
     counts = orphan_counts(rows, links).first().asDict()
     lost = {n: v for n, v in counts.items() if n != "rows" and v}

@@ -69,6 +69,22 @@ def replace_table(df: DataFrame, contract: TableContract, location: str) -> None
     staged.hint("rebalance").write.mode("overwrite").parquet(location)
 
 
+def insert_by_position(df: DataFrame, table: str) -> None:
+    """Replace the folders of a catalog table that ``df`` has rows for. Columns go by their place, whatever they are
+    called, and folder columns come last, as in SQL; their number and what cannot be cast is refused by Spark.
+    Other folders stay. The catalog knows new folders at once; tasks write to a staging folder that replaces the old
+    ones once all have finished."""
+    spark = df.sparkSession
+    # This way of writing takes the mode from the session alone.
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(name, before)
+
+
 def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, the columns
     can be pruned, and later passes do not recompute it."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stratamart.functions.measures import COUNT_DIGITS, mean, nulls_in
 from stratamart.operators.conform import RESCUED
 from stratamart.operators.quantiles import exact_percentiles, point_name
-from stratamart.operators.rules import REASONS
+from stratamart.operators.rules import REASONS, Rule, mask, named
 
 # The columns whose absence matters, and the percentiles looked at.
 CRITICAL_COLUMNS = (
@@ -177,6 +177,16 @@ def reason_counts(quarantined: DataFrame, by: str = "taxi_type") -> DataFrame:
     )
 
 
+def reason_counts_by_mask(df: DataFrame, rules: Sequence[Rule], by: str = "taxi_type") -> DataFrame:
+    """The same straight from the rows that are judged: sets of broken rules are grouped as bits of a number, and named
+    once they are counted."""
+    judged = df.select(by, mask(rules).alias("_mask")).filter("_mask <> 0")
+    counted = judged.groupBy(by, "_mask").agg(F.count("*").alias("rows_in_quarantine"))
+    return counted.select(by, named(F.col("_mask"), rules).alias(REASONS), "rows_in_quarantine").orderBy(
+        F.asc(by), F.desc("rows_in_quarantine")
+    )
+
+
 def quarantine_bounds(quarantined: DataFrame, by: str = "taxi_type") -> DataFrame:
     return (
         quarantined.groupBy(by)

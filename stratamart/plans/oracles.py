@@ -236,6 +236,27 @@ EXPECTED: dict[str, str] = {
         ORDER BY l_shipdate DESC, l_linenumber DESC, l_quantity DESC) = 1""",
     "upsert_silver": f"WITH {CLEAN} {UPSERTED}",
     "upsert_stored": f"WITH {CLEAN} {UPSERTED}",
+    "upsert_bucketed": f"WITH {CLEAN} {UPSERTED}",
+    "overwritten_by_position": """SELECT o_orderpriority AS priority,
+        CASE WHEN year(o_orderdate) % 2 <> 0 THEN 2 * count(*) ELSE count(*) END AS orders,
+        o_orderstatus AS status, CAST(year(o_orderdate) AS INTEGER) AS year
+      FROM orders GROUP BY o_orderpriority, o_orderstatus, year(o_orderdate)""",
+    "bounds_from_footers": """SELECT o_orderstatus, count(*) AS rows,
+        count(o_orderkey) AS n_o_orderkey, min(o_orderkey) AS min_o_orderkey, max(o_orderkey) AS max_o_orderkey,
+        count(o_totalprice) AS n_o_totalprice, min(o_totalprice) AS min_o_totalprice, max(o_totalprice) AS max_o_totalprice,
+        count(o_orderdate) AS n_day, CAST(min(o_orderdate) AS DATE) AS min_day, CAST(max(o_orderdate) AS DATE) AS max_day
+      FROM orders GROUP BY o_orderstatus""",
+    "refused_in_write": f"""WITH {TRIPS}
+      SELECT passenger_count, count(*) AS rows, max(event_id) AS last, true AS named
+      FROM (SELECT *, date_diff('second', date_trunc('second', pickup_datetime),
+          date_trunc('second', dropoff_datetime)) AS duration_seconds FROM trips)
+      WHERE event_id % 997 <> 0 AND total_amount >= 0 AND passenger_count > 0 AND duration_seconds >= 0
+      GROUP BY passenger_count""",
+    "orphan_keys": """SELECT 'l_suppkey' AS link, count(DISTINCT l_suppkey) AS used,
+        count(DISTINCT l_suppkey) FILTER (NOT EXISTS (SELECT 1 FROM supplier
+          WHERE s_suppkey = l_suppkey AND s_acctbal >= 0)) AS orphan_keys FROM lineitem
+      UNION ALL SELECT 'l_partkey', count(DISTINCT l_partkey),
+        count(DISTINCT l_partkey) FILTER (NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)) FROM lineitem""",
     "upsert_fact_union": f"""WITH {CLEAN} SELECT {FACT_COLUMNS},
         CASE WHEN pickup_datetime >= TIMESTAMP '2024-01-10' THEN TIMESTAMP '2024-02-02'
           ELSE TIMESTAMP '2024-02-01' END AS _ingestion_ts
@@ -411,6 +432,7 @@ DECIMALS: dict[str, tuple[str, ...]] = {
     "quarantine_samples": _AMOUNT,
     "upsert_silver": _AMOUNT,
     "upsert_stored": _AMOUNT,
+    "upsert_bucketed": _AMOUNT,
     "upsert_fact_union": _AMOUNT,
     "fact_trip": _AMOUNT,
     "null_samples": _AMOUNT,

@@ -7,19 +7,21 @@ states the expected result of each in SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
+from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampType
 
 from stratamart.contracts import BRONZE_YELLOW, DIM_DATE, FACT_TRIP, SILVER, TableContract
 from stratamart.functions.keys import hashed_key, trip_key_of
 from stratamart.functions.payload import once, parsed
-from stratamart.operators import checks, dims, facts, marts, profile, quantiles, rules
+from stratamart.operators import bucketed, checks, dims, facts, marts, profile, quantiles, rules
 from stratamart.operators.conform import conform
-from stratamart.operators.layout import append_rows, stage
+from stratamart.operators.layout import append_rows, insert_by_position, stage
 from stratamart.operators.rules import REASONS
 from stratamart.operators.upsert import merge_rows, upsert
 from stratamart.plans.jobs import Lake, bronze_to_silver, land_to_bronze, run_all
@@ -27,6 +29,7 @@ from stratamart.plans.views import register_views
 from stratamart.session import pin_utc, shared_dir
 from stratamart.settings import GREEN, YELLOW, StudyRange
 from stratamart.sources.adaptors import event_trips, line_trips, order_trips, table
+from stratamart.sources import metadata
 from stratamart.sources.footers import list_files, read_footers, snapshot
 from stratamart.sources.tables import TableStore
 from stratamart.streaming.bronze import ingest_files, ingest_uniform, new_batch_id, rescued_examples
@@ -171,7 +174,7 @@ def quarantine_trips(spark, folder):
 
 @query
 def quarantine_by_reason(spark, folder):
-    return profile.reason_counts(quarantined(spark, folder)).select(
+    return profile.reason_counts_by_mask(trips(spark, folder), event_rules()).select(
         "taxi_type", F.array_join(REASONS, ",").alias("reasons"), "rows_in_quarantine"
     )
 
@@ -259,6 +262,84 @@ def upsert_stored(spark, folder):
     return store.rows("silver", SILVER)
 
 
+@query
+def upsert_bucketed(spark, folder):
+    """The same two loads through a table bucketed by the key, the second one twice."""
+    store = TableStore(spark, fresh_folder(spark, "bucketed"), prefix=f"bucketed_{uuid4().hex}")
+    store.create("silver", SILVER, buckets=4)
+    first, second = silver_loads(spark, folder)
+    first, second = stage(first, "load"), stage(second, "load")
+    for load in (first, second, second):
+        bucketed.upsert_bucketed(store, "silver", SILVER, load)
+    twice = bucketed.stored_duplicates(store, "silver", SILVER).count()
+    if twice:
+        raise ValueError(f"{twice} keys are there twice")
+    return spark.table(store.table_name("silver", SILVER)).select(*SILVER.columns)
+
+
+@query
+def overwritten_by_position(spark, folder):
+    """Priorities per order status and year through a catalog table, whose odd years are then written again with double
+    counts: by position, under other names, other years untouched."""
+    counts = (
+        table(spark, folder, "orders")
+        .groupBy("o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("year"))
+        .agg(F.count("*").alias("orders"))
+    )
+    counts = stage(counts, "priorities").select("o_orderpriority", "orders", "o_orderstatus", "year")
+    name = f"priorities_{uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {name} (priority STRING, orders BIGINT, status STRING, year INT) USING PARQUET "
+        f"PARTITIONED BY (status, year) LOCATION '{fresh_folder(spark, 'priorities')}'"
+    )
+    insert_by_position(counts, name)
+    again = counts.filter("year % 2 <> 0").select(
+        F.col("o_orderpriority").alias("a"), (F.col("orders") * 2).alias("year"), F.col("o_orderstatus").alias("b"), F.col("year").alias("orders")
+    )
+    insert_by_position(again, name)
+    return spark.table(name)
+
+
+@query
+def bounds_from_footers(spark, folder):
+    """Counts and bounds of stored orders by status, out of the footers of files in folders by status and year."""
+    root = fresh_folder(spark, "footers")
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("day"), "o_orderstatus", F.year("o_orderdate").alias("year")
+    )
+    orders.write.partitionBy("o_orderstatus", "year").parquet(root)
+    columns = ["o_orderkey", "o_totalprice", "day"]
+    return metadata.stored_bounds(spark, root, orders.schema, ["o_orderstatus", "year"], columns, ["o_orderstatus"])
+
+
+@query
+def refused_in_write(spark, folder):
+    """All trips into a fact table whose write refuses rows that break a check, after their sound part went through: the
+    rows that are there afterwards, and whether the refusal named the check."""
+    lasted = F.unix_timestamp("dropoff_datetime") - F.unix_timestamp("pickup_datetime")
+    rows = trips(spark, folder).filter("event_id % 997 <> 0").select("event_id", "total_amount", "passenger_count", lasted.alias("duration_seconds"))
+    contract = replace(FACT_TRIP, schema=rows.schema, partition_by={}, cluster_by=())
+    root = fresh_folder(spark, "refused")
+    sound = reduce(Column.__and__, (F.coalesce(F.expr(t), F.lit(False)) for t in contract.checks.values()))
+    checks.asserted(rows.filter(sound), contract).write.parquet(root)
+    said = "nothing was refused"
+    try:
+        checks.asserted(rows, contract).write.mode("overwrite").parquet(f"{root}-all")
+    except Exception as refusal:  # noqa: BLE001 - Spark's own kinds differ by the place a task fails at
+        said = str(refusal)
+    named = any(f"{contract.name} refuses a row: {name}" in said for name in contract.checks)
+    kept = spark.read.schema(rows.schema).parquet(root)
+    return kept.groupBy("passenger_count").agg(F.count("*").alias("rows"), F.max("event_id").alias("last"), F.lit(named).alias("named"))
+
+
+@query
+def orphan_keys(spark, folder):
+    """Different supplier and part keys of all order lines that the suppliers in credit and the parts lack."""
+    suppliers = table(spark, folder, "supplier").filter("s_acctbal >= 0")
+    links = {"l_suppkey": (suppliers, "s_suppkey"), "l_partkey": (table(spark, folder, "part"), "p_partkey")}
+    return checks.orphan_keys(table(spark, folder, "lineitem"), links)
+
+
 @query
 def upsert_fact_union(spark, folder):
     """Fact of an earlier period, updated by the fact of all sources over a later one."""

@@ -32,9 +32,9 @@ class TableStore:
     def location(self, layer: str, contract: TableContract) -> str:
         return f"{self.root}/{layer}/{contract.name}"
 
-    def create(self, layer: str, contract: TableContract) -> None:
-        """Make the table if it is missing. Else add the columns that the contract has gained, refuse
-        changed types, and bring the comments up to date."""
+    def create(self, layer: str, contract: TableContract, buckets: int = 0) -> None:
+        """Make the table if it is missing, with ``buckets`` by key if stated. Else add the columns that the
+        contract has gained, refuse changed types, and bring the comments up to date."""
         database, name = self.database(layer), self.table_name(layer, contract)
         catalog = self.spark.catalog
         if catalog.tableExists(name):
@@ -43,12 +43,14 @@ class TableStore:
             present[""] = catalog.getTable(name).description
             contract.apply_comments(self.spark, database, present)
             return
-        self.make_folder(layer, contract)
+        if not buckets:  # files that are there must all be of a bucket
+            self.make_folder(layer, contract)
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {quoted(f'{self.root}/{layer}')}"
         )
-        self.spark.sql(contract.create_table(database, self.location(layer, contract)))
-        self.refresh(layer, contract)
+        self.spark.sql(contract.create_table(database, self.location(layer, contract), buckets))
+        if not buckets:
+            self.refresh(layer, contract)
 
     def evolve(self, name: str, contract: TableContract) -> None:
         """Rows stored before a column was added have NULL there. A column that the contract no longer

@@ -1,8 +1,11 @@
 from datetime import date
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from stratamart.operators import profile, rules
 from stratamart.operators.rules import (
     REASONS,
     rule_failures,
@@ -117,3 +120,24 @@ def test_the_clean_side_reaches_the_scan(spark, small):
     rule = [r for r in trip_rules(StudyRange(date(1996, 1, 1), date(1996, 2, 1)))][-1:]
     plan = split(df, rule)[0]._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_masks_name_the_same_rules(spark):
+    tests = [(f"r{i}", F.col("n") != i) for i in range(40)] + [("known", F.col("n").isNotNull())]
+    df = spark.createDataFrame([(i,) for i in range(41)] + [(None,)], "n int")
+    found = df.select("n", rules.named(rules.mask(tests), tests).alias("names"), rules.reasons(tests).alias("wanted")).collect()
+    assert all(r.names == r.wanted for r in found) and [r.names for r in found if r.n == 39] == [["r39"]]
+    with pytest.raises(ValueError, match="63 rules"):
+        rules.mask(tests * 2)
+
+
+def test_reasons_travel_as_numbers(spark):
+    tests = [("small", F.col("n") < 5), ("even", F.col("n") % 2 == 0)]
+    df = spark.range(12).selectExpr("id AS n", "'a' AS taxi_type")
+    counted = profile.reason_counts_by_mask(df, tests)
+    assert [(r[1], r[2]) for r in counted.collect()] in (
+        [(["small", "even"], 4), (["small"], 3), (["even"], 2)],
+    )
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    exchange = plan[plan.index("hashpartitioning") :]
+    assert "array" not in exchange
