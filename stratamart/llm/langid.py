@@ -11,7 +11,7 @@ from __future__ import annotations
 import sys
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
@@ -34,8 +34,9 @@ CHUNK = 1 << 20
 UNKNOWN = "und"
 BLANK, FOREIGN = 0, 1
 FOUND = "lang_pred string, score double, bits double, letters long, phrases long"
-# A text with this many letters in a known language holds phrases of several letters.
+# A text with this many letters in a known language has so many letters a phrase at least.
 ENOUGH_LETTERS = 16
+LEAST_PHRASE = 2
 
 
 @dataclass(frozen=True)
@@ -230,26 +231,34 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     second-best cost the best one saves, 0 for ties and ``und``, 1 if only one language was learned.
     ``bits``: the cost per letter; ``letters`` and ``phrases``: their numbers. Whole texts are parsed; no column but the text is looked at.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: the workers need no class of ours to unpack them.
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(getattr(model, f.name) for f in fields(model)))
 
     @F.pandas_udf(FOUND)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = Model(*sent.value)
         for texts in batches:
-            yield predict(sent.value, texts.tolist())
+            yield predict(own, texts.tolist())
 
     held = [c for c in docs.columns if c not in ("lang_pred", "score", "bits", "letters", "phrases")]
     return docs.select(*held, found(F.col(text)).alias("__found")).select(*held, "__found.*")
 
 
 def held_out(key: str = "doc_id"):
-    return F.crc32(F.col(key).cast("string")) % 4 == 2
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
 
 
 def recognised(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
-    """The documents that are in one of the languages of ``docs``; their columns stay as they are.
-    Rejected are texts without letters, and those of ENOUGH_LETTERS letters of which no language knows
-    more than single ones."""
-    model = train(docs.filter(~F.coalesce(held_out(key), F.lit(False))), text, lang, key)
-    found = identify(docs, model, text)
-    foreign = (F.col("letters") >= ENOUGH_LETTERS) & (F.col("phrases") >= F.col("letters"))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & ~foreign).select(*docs.columns)
+    """The documents that are in one of the languages of ``docs``, with their language: where ``lang`` is null it is
+    the predicted one, else it stays, as all other columns do.
+
+    Rejected are texts without letters, null ones among them, and those of ENOUGH_LETTERS letters or more whose best
+    parse has fewer than LEAST_PHRASE letters a phrase: no language knows more of them than single letters and pairs.
+    Shorter texts say too little to be rejected. Repeated rows are judged alike; without labelled rows there is no
+    language, and all are rejected. An empty table stays empty.
+    """
+    model = train(docs.filter(~held_out(key)), text, lang, key)
+    found = identify(docs.withColumn("__lang", F.col(lang)), model, text)
+    foreign = (F.col("letters") >= ENOUGH_LETTERS) & (F.col("letters") < LEAST_PHRASE * F.col("phrases"))
+    kept = found.filter((F.col("lang_pred") != UNKNOWN) & ~foreign)
+    return kept.select(*(F.coalesce("__lang", F.col("lang_pred").cast(docs.schema[c].dataType)).alias(c) if c == lang else c for c in docs.columns))

@@ -90,3 +90,12 @@ def test_only_texts_without_a_language_go(docs_of):
     kept = langid.recognised(docs_of(rows))
     assert kept.columns == docs_of([]).columns
     assert {r["doc_id"] for r in kept.collect()} == {*range(18), 103}
+    assert all(r["lang"] for r in kept.collect())
+
+
+def test_junk_goes_and_missing_languages_are_filled_in(docs_of):
+    rows = [(i, t, n, "s") for i, (n, t) in enumerate(list(SAMPLES.items()) * 6)]
+    text = SAMPLES["aa"]
+    rows += [(50, text, None, "s"), (51, text, None, "s"), (52, "".join(a + "ψ" for a in text if a.isalpha()), None, "s"), (53, text[:8], None, "s")]
+    kept = {r["doc_id"]: r["lang"] for r in langid.recognised(docs_of(rows)).collect()}
+    assert kept == {i: n for i, _, n, _ in rows[:18]} | {50: "aa", 51: "aa", 53: "aa"}
