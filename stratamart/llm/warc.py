@@ -38,7 +38,7 @@ LINES = """line_key string, page_id long, url string, record_type string, payloa
 refers_to long, file string, offset long, length long"""
 BLOCKS = "first string, file string, offset long, length long, lines long"
 RECORDS = """page_id long, payload_bytes long, payload_digest string, record_type string,
-refers_to long"""
+refers_to long, said_digest string"""
 FOUND = "page_id long, file string, offset long, length long"
 
 
@@ -69,10 +69,10 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(name.lower().split("."))) + (f":{port}" if port else "") + ")" + rest[len(host) :]
 
 
-def line_key(url: str | None, page_id: int | None) -> str:
-    """What index lines are sorted by: the url key, then the page's number. Keys hold no blanks, and
-    a blank sorts before all that they hold."""
-    return f"{url_key(url)} {(page_id or 0) + (1 << 63):020d}"
+def line_key(url: str | None, page_id: int | None, digest: str | None = None) -> str:
+    """What index lines are sorted by: the url key, then the page's number, then the payload's digest. Keys hold no
+    blanks, and a blank sorts before all that they hold; without a digest this is what all lines of a page begin with."""
+    return f"{url_key(url)} {(page_id or 0) + (1 << 63):020d} {digest or ''}"
 
 
 def record(page_id, url, kind: str, payload: bytes, digest: str, refers_to, refers_url) -> bytes:
@@ -111,6 +111,7 @@ def parse(raw: bytes) -> dict:
         "payload_digest": None if revisit else hashlib.sha1(payload).hexdigest(),
         "record_type": fields["WARC-Type"],
         "refers_to": number("X-Refers-To-Page-ID"),
+        "said_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:"),
         "payload": None if revisit else payload,
     }
 
@@ -194,7 +195,7 @@ def write_archives(
                 raw = record(number, link, kind, text.encode(), digest, refers, refers_url)
                 data = packer.compress(raw) + packer.flush()
                 out.write(data)
-                lines.append((line_key(link, number), number, link, kind, digest, refers, name, at, len(data)))
+                lines.append((line_key(link, number, digest), number, link, kind, digest, refers, name, at, len(data)))
                 at += len(data)
             yield frame(lines, LINES)
         if out:
@@ -246,8 +247,9 @@ def write_index(lines: DataFrame, folder: str) -> DataFrame:
 
 
 def find(archive: Archive, wanted: DataFrame) -> DataFrame:
-    """Where the records of pages (``url``, ``page_id``) lie: ``page_id``, ``file``, ``offset``,
-    ``length``. Pages that are not there give no row; repeated records give their first."""
+    """Where the records of pages (``url``, ``page_id`` and, if wanted, ``payload_digest``) lie: ``page_id``, ``file``,
+    ``offset``, ``length``. Pages that are not there give no row; of repeated records, or without a digest of all
+    records of a page, the first is given."""
     spark = wanted.sparkSession
     entries = archive.directory.select("first", "file", "offset", "length", "folder").orderBy("first").collect()
     if not entries:
@@ -259,7 +261,7 @@ def find(archive: Archive, wanted: DataFrame) -> DataFrame:
         firsts = [e[0] for e in sent.value]
         for rows in batches:
             numbers = whole_numbers(rows["page_id"])
-            keys = [line_key(u, n) for u, n in zip(rows["url"], numbers, strict=True)]
+            keys = [line_key(u, n, d) for u, n, d in zip(rows["url"], numbers, rows["payload_digest"], strict=True)]
             # A key equal to the first of some blocks may begin at the end of the block before.
             blocks = [max(0, bisect.bisect_left(firsts, k) - 1) for k in keys]
             yield frame(list(zip(blocks, keys, numbers, strict=True)), "block long, key string, page_id long")
@@ -282,14 +284,14 @@ def find(archive: Archive, wanted: DataFrame) -> DataFrame:
                         keys = [line.partition("\t")[0] for line in lines]
                     place = bisect.bisect_left(keys, key)
                     if at == here and place < len(keys):
-                        if keys[place] == key:
+                        if keys[place].startswith(key):
                             _, name, offset, length = lines[place].split("\t")
                             found.append((number, name, int(offset), int(length)))
                         break
             yield frame(found, FOUND)
 
     return (
-        wanted.select("url", "page_id")
+        wanted.select("url", "page_id", "payload_digest" if "payload_digest" in wanted.columns else F.lit("").alias("payload_digest"))
         .mapInPandas(to_blocks, "block long, key string, page_id long")
         .repartition("block")
         .sortWithinPartitions("block", "key")
@@ -347,20 +349,24 @@ def read_archives(archive: Archive) -> DataFrame:
 
 def resolved(archive: Archive) -> DataFrame:
     """All records, revisits with the size and digest of the payload that they refer to: the index
-    leads to the record they name, once for each, however many refer to it."""
+    leads to the record they name, once for each, however many refer to it. Of several records of one page the
+    one with the digest that the revisit states is meant. Null pages and payloads stay null and empty, repeated
+    rows are there as often as they were written, an empty archive gives none."""
     records = stage(read_archives(archive), "warc-records")
-    named = records.filter("refers_to is not null").select(F.col("refers_to").alias("page_id")).distinct()
-    kept = archive.lines.filter("record_type = 'response'").select("page_id", "url")
-    wanted = kept.join(named, "page_id", "left_semi").distinct()
+    named = records.filter("refers_to is not null").select(F.col("refers_to").alias("page_id"), F.col("said_digest").alias("payload_digest")).distinct()
+    kept = archive.lines.filter("record_type = 'response'").select("page_id", "url", "payload_digest")
+    wanted = kept.join(named, ["page_id", "payload_digest"], "left_semi").distinct()
     originals = read_ranges(find(archive, wanted)).select(
         F.col("page_id").alias("refers_to"),
         F.col("payload_bytes").alias("own_bytes"),
-        F.col("payload_digest").alias("own_digest"),
+        F.col("payload_digest").alias("said_digest"),
+        F.lit(True).alias("read"),
     ).distinct()
-    return records.join(originals, "refers_to", "left").select(
+    return records.join(originals, ["refers_to", "said_digest"], "left").select(
         "page_id",
         F.coalesce("payload_bytes", "own_bytes").alias("payload_bytes"),
-        F.coalesce("payload_digest", "own_digest").alias("payload_digest"),
+        # A revisit has the digest of what was read for it, not the one that it states.
+        F.coalesce("payload_digest", F.when(F.col("read"), F.col("said_digest"))).alias("payload_digest"),
         "record_type",
         "refers_to",
     )

@@ -52,6 +52,13 @@ def test_read_back(spark):
     assert warc.resolved(empty).collect() == []
 
 
+def test_pages_that_share_a_number_keep_their_own_digest(spark):
+    a, b = "a" * 1000, "b" * 1000
+    rows = [(5, "http://x/", a), (5, "http://x/", b), (3, "http://y/", a), (2, "http://y/", b), (5, "http://x/", a)]
+    archive = warc.write_archives(pages_of(spark, rows))
+    assert sorted((tuple(r) for r in warc.resolved(archive).collect()), key=str) == expected(rows)
+
+
 @pytest.mark.parametrize("per_block", [1, 2, 3000])
 def test_lookups_find_every_record(spark, per_block, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", per_block)
