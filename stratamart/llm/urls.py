@@ -160,8 +160,19 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
+def rule_key(host: Column, path: Column) -> Column:
+    """A host and a path as one text. A slash parts them: no host of a url holds one."""
+    return F.concat(host, F.lit("/"), path)
+
+
+def rule_text(key: Column) -> Column:
+    """Host and path of a key, one behind the other."""
+    at = F.instr(key, "/")
+    return F.concat(F.substring(key, F.lit(1), at - 1), F.substring(key, at + 1, F.length(key)))
+
+
 def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Every rule that could fit: the host and its parents by labels, each with the path's prefixes
+    """The keys of every rule that could fit: the host and its parents by labels, each with the path's prefixes
     of the lengths that rules have. Longest first, ties in order of the text."""
     labels = F.split(host, r"\.", -1)
     parents = F.transform(
@@ -172,7 +183,7 @@ def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
         F.array(*(F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths)),
         lambda p: p.isNotNull(),
     )
-    pairs = F.flatten(F.transform(parents, lambda h: F.transform(starts, lambda p: F.concat(h, p))))
+    pairs = F.flatten(F.transform(parents, lambda h: F.transform(starts, lambda p: rule_key(h, p))))
     ranked = F.transform(pairs, lambda k: F.struct((-F.length(k)).alias("n"), k.alias("k")))
     return F.transform(F.array_sort(F.array_distinct(ranked)), lambda r: r["k"])
 
@@ -185,7 +196,7 @@ def by_join(parts: DataFrame, rules: DataFrame, url: str) -> DataFrame:
     first = met.groupBy("__url").agg(F.min(F.struct("__place", "key", "block")).alias("__first"))
     return parts.join(first, F.col(url).eqNullSafe(F.col("__url")), "left").select(
         parts["*"],
-        F.col("__first.key").alias("rule"),
+        rule_text(F.col("__first.key")).alias("rule"),
         F.when(F.col("__first.block"), "block").otherwise("allow").alias("verdict"),
     )
 
@@ -194,16 +205,16 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """``urls`` with ``host``, ``path``, ``rule`` and ``verdict`` (columns of these names are replaced).
 
     Rules: ``host``, ``path`` (a prefix, by characters), ``action`` (allow or block); a null host, path or
-    action makes a rule void, and of repeated rules that disagree, block holds. The longest fitting
+    action makes a rule void, as does a host with a slash, question mark or hash, which no url has, and of repeated rules that disagree, block holds. The longest fitting
     rule decides, of equally long ones the first by text. Where none fits, ``rule`` is null and the
     verdict allow: the cascade has shown that the url is not listed.
     """
     spark: SparkSession = urls.sparkSession
     rules = (
-        rules.filter("host is not null and path is not null and action is not null")
+        rules.filter("host is not null and path is not null and action is not null and not host rlike '[/?#]'")
         .groupBy(lower_ascii(F.col("host")).alias("host"), "path")
         .agg(F.max(F.col("action") == "block").alias("block"))
-        .withColumn("key", F.concat("host", "path"))
+        .withColumn("key", rule_key(F.col("host"), F.col("path")))
     )
     lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
     held = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
@@ -216,11 +227,12 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
         both = [build(rules.select("key"), universe), build(rules.filter("block").select("key"), rules.select("key"))]
     except LevelTooLarge:
         return by_join(parts, rules, url).select(*held, "host", "path", "rule", "verdict")
-    sent = spark.sparkContext.broadcast(both)
+    # Plain values: the workers need no class of ours to unpack them.
+    sent = spark.sparkContext.broadcast([[(x.bits, x.hashes, x.words) for x in levels] for levels in both])
 
     @F.pandas_udf("place int, block boolean")
     def first_listed(first: pd.Series, second: pd.Series) -> pd.DataFrame:
-        known, blocked = sent.value
+        known, blocked = ([Level(*x) for x in levels] for levels in sent.value)
         sizes = first.map(len).to_numpy(dtype=np.int64)
         none = np.zeros(0, np.int64)
         a = np.concatenate([*first, none]).astype(np.int64).view(np.uint64)
@@ -239,6 +251,6 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
         *held,
         "host",
         "path",
-        F.when(F.col("__hit.place") > 0, F.get("__keys", F.col("__hit.place") - 1)).alias("rule"),
+        F.when(F.col("__hit.place") > 0, rule_text(F.get("__keys", F.col("__hit.place") - 1))).alias("rule"),
         F.when(F.col("__hit.block"), "block").otherwise("allow").alias("verdict"),
     )

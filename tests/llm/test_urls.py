@@ -45,6 +45,15 @@ def test_void_and_repeated_rules_and_no_rules(spark):
     assert urls.judge(pages.limit(0), rules_of(spark)).collect() == []
 
 
+@pytest.mark.parametrize("level_bytes", [urls.LEVEL_BYTES, 0])
+def test_hosts_and_paths_do_not_run_together(spark, level_bytes, monkeypatch):
+    monkeypatch.setattr(urls, "LEVEL_BYTES", level_bytes)
+    rules = [("a", "b", "block"), ("zz", "", "allow"), ("c", "/d/", "block"), ("c/d", "/", "block"), ("", "", "block")]
+    pages = spark.createDataFrame(list(enumerate(["http://ab/", "http://zz/", "http://c/d//", "http://c/d", "x"])), "page_id long, url string")
+    found = [(r["rule"], r["verdict"]) for r in urls.judge(pages, rules_of(spark, rules)).orderBy("page_id").collect()]
+    assert found == [(None, "allow"), ("zz", "allow"), ("c/d/", "block"), (None, "allow"), ("", "block")]
+
+
 def test_cascade_is_exact_for_its_universe(spark):
     keys = spark.range(3000).selectExpr("concat('k', id) as key")
     listed = keys.filter("hash(key) % 5 = 0")
