@@ -14,8 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from stratamart.llm.common import (
     marked,
@@ -128,14 +129,22 @@ def place_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 PLACED = "__source string, shard int, slot long, turn long, take long, block long"
 
 
-def packed(df: DataFrame, key: str, source: str, text: str, seed: str) -> DataFrame:
+def row_hash(df: DataFrame, columns: list[str]) -> Column:
+    """A 64-bit hash of some columns, nulls told apart from values; maps, which have no order, are left out."""
+    held = [F.col(f"`{c}`") for c in columns if not isinstance(df.schema[c].dataType, MapType)]
+    nulls = F.concat(*(F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in held))
+    return F.xxhash64(nulls, *held)
+
+
+def packed(df: DataFrame, key: str, source: str, text: str, seed: str, identity: list[str]) -> DataFrame:
     """Every row's place in its source's sequence of words: ``__doc``, ``__source``, ``__size``,
-    ``__crc``, ``__start`` (words before it). Written to the shared folder: small, and read twice."""
+    ``__row`` (a hash of the columns ``identity``), ``__start`` (words before it). Written to the shared folder:
+    small, and read twice."""
     words = df.select(
         F.col(key).alias("__doc"),
         marked(F.col(source)).alias("__source"),
         word_count(F.col(text)).alias("__size"),
-        F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("__crc"),
+        row_hash(df, identity).alias("__row"),
         seeded_key(F.col(key), seed).alias("__key"),
     )
     words = words.withColumn("__slice", slice_of(F.col("__key"), slices_for(df.count())))
@@ -143,14 +152,14 @@ def packed(df: DataFrame, key: str, source: str, text: str, seed: str) -> DataFr
     offsets = running_offsets(words, "__source", "__slice", F.col("__size"))
     before = (
         Window.partitionBy("__source", "__slice")
-        .orderBy("__key", "__doc", "__size", "__crc")
+        .orderBy("__key", "__doc", "__size", "__row")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     places = words.join(offsets, ["__source", "__slice"]).select(
         "__doc",
         "__source",
         "__size",
-        "__crc",
+        "__row",
         (F.col("__before") + F.coalesce(F.sum("__size").over(before), F.lit(0)))
         .cast("long")
         .alias("__start"),
@@ -203,12 +212,13 @@ def mix(
     block: int = BLOCK,
     shards: int = SHARDS,
     seed: str = SEED,
+    identity: list[str] | None = None,
 ) -> Mixture:
     """Rows without words give nothing; a null source is a source, a null key a key; every repeated
-    row has its own place. Columns other than the three named are not looked at. An empty table gives
-    an empty mixture. Only a row per source and the plan (sources x shards) pass the driver.
+    row has its own place. Columns other than the three named are not looked at, unless ``identity`` names them: rows of one key are
+    packed in the order of a hash of the columns that it names. An empty table gives an empty mixture. Only a row per source and the plan (sources x shards) pass the driver.
     """
-    places = packed(df, key, source, text, seed)
+    places = packed(df, key, source, text, seed, identity or [key, source, text])
     sizes = {r[0]: int(r[1]) for r in places.groupBy("__source").agg(F.sum("__size")).collect()}
     targets = share_out(sizes)
     slots = slot_rows(df.sparkSession, sizes, targets, shards, block)
@@ -232,7 +242,8 @@ def mix(
 
 
 def words_taken(mixture: Mixture) -> DataFrame:
-    """Per row of the mixed table: ``__doc``, ``__source``, ``__size``, ``taken`` (0 if none)."""
+    """Per row of the mixed table: ``__doc``, ``__source``, ``__size``, ``taken`` (0 if none): every repeated row for
+    itself, null keys and sources as they are, rows without words with 0; nothing for an empty table."""
     taken = mixture.spans.groupBy("__source", "__start").agg(F.sum("n_words").alias("taken"))
     full = mixture.places.filter("__size > 0").join(taken, ["__source", "__start"], "left")
     none = mixture.places.filter("__size = 0").withColumn("taken", F.lit(None).cast("long"))
@@ -243,8 +254,11 @@ def words_taken(mixture: Mixture) -> DataFrame:
 def mixed_texts(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """What the mixture takes, as rows of ``df``: one per row and pass that takes any of its words,
     with the words taken, joined by blanks where some are left out, and else with its text as it is.
-    ``n_chars``, where there is such a column, follows the text."""
-    mixture = mix(df, key, source, text)
+    ``n_chars``, where there is such a column, follows the text.
+
+    Rows without words are not taken. Rows are told apart by all of their columns, so rows of one key, null keys
+    among them, keep what is theirs; rows equal in all columns are taken each for itself. An empty table gives none."""
+    mixture = mix(df, key, source, text, identity=df.columns)
     runs = (
         mixture.spans.groupBy("__source", "__start", "turn")
         .agg(
@@ -253,17 +267,13 @@ def mixed_texts(df: DataFrame, key: str = "doc_id", source: str = "source", text
         )
         .join(mixture.places, ["__source", "__start"])
         .filter("__size > 0")
-        .select("__doc", "__crc", "__size", "__runs", "__taken")
+        .select("__doc", "__row", "__size", "__runs", "__taken")
     )
     held = df.columns
-    identity = ["__doc", "__crc", "__size"]
-    texts = df.withColumns(
-        {
-            "__doc": F.col(key),
-            "__crc": F.crc32(F.coalesce(F.col(text), F.lit(""))),
-            "__size": word_count(F.col(text)),
-        }
-    ).dropDuplicates(identity)
+    identity = ["__doc", "__row"]
+    # Rows without words are in no span, and there may be very many of them.
+    worded = df.filter(word_count(F.col(text)) > 0)
+    texts = worded.withColumns({"__doc": F.col(key), "__row": row_hash(df, held)}).dropDuplicates(identity)
     met = texts.alias("t").join(
         runs.alias("r"), [F.col(f"t.{c}").eqNullSafe(F.col(f"r.{c}")) for c in identity]
     )

@@ -86,3 +86,15 @@ def test_mixed_texts_are_made_of_the_words_taken(docs_of, words, odd, none):
     assert strange.columns == odd.columns
     assert strange.filter(F.col("text").isNull()).count() == 0
     assert mixing.mixed_texts(none).collect() == []
+
+
+def test_rows_of_one_key_keep_what_is_theirs(docs_of, words):
+    texts = [" ".join(words(30)) for _ in range(3)]
+    rows = [(None, texts[0], "en", "a"), (None, texts[0], "de", "a"), (None, texts[0], None, "b"), (None, texts[0], "b", None)]
+    rows += [(7, texts[1], "en", "a"), (7, texts[2], "en", "b"), (7, texts[2], "en", "b"), (8, "", "en", "a"), (8, None, "en", "a")]
+    df = docs_of(rows)
+    out = Counter(tuple(r)[:4] for r in mixing.mixed_texts(df).collect() if len(r["text"].split()) == 30)
+    taken = mixing.words_taken(mixing.mix(df, identity=df.columns)).collect()
+    assert out and set(out) <= {r[:4] for r in rows}
+    assert sum(n["taken"] for n in taken) == sum(len(r["text"].split()) for r in mixing.mixed_texts(df).collect())
+    assert set(out) >= {r[:4] for r in rows[:4]}  # as all four are taken in whole at least once
