@@ -90,7 +90,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     shards = max(1, -(-rows.count() // ROW_BLOCK))
     size = F.size("vector").alias("size")
-    # Even for repeated ids: a shard is drawn per row of the scan, not per id.
+    # By a hash of the row, so that a repeated task deals it as before; copies of a row go to one shard.
     left = queries.select(
         F.expr(f"pmod(xxhash64(id), {blocks})").alias("block"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
@@ -100,7 +100,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     )
     right = rows.select(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("row_block"),
-        F.floor(F.rand(6) * shards).cast("long").alias("row_shard"),
+        F.expr(f"pmod(xxhash64(id, vector), {shards})").alias("row_shard"),
         size.alias("row_size"),
         F.col("id").alias("vec_id"),
         F.col("vector").alias("row"),

@@ -1,0 +1,43 @@
+"""Workers on a cluster have no copy of the library: what is sent to them brings its code along."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+REPO = str(Path(__file__).resolve().parents[2])
+START = """
+import sys
+sys.path.insert(0, sys.argv[1])  # the driver's alone
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", sys.argv[2]).config(
+    "spark.sql.shuffle.partitions", "2").getOrCreate()
+@F.udf("boolean")
+def seen(x):
+    import importlib.util
+    return importlib.util.find_spec("stratamart") is not None
+assert not spark.range(1).select(seen("id")).first()[0]
+docs = spark.createDataFrame([(i, "some words of a text " * 8, "en", "s", 1) for i in range(6)], "doc_id long, text string, lang string, source string, n_chars long")
+"""
+USES = {
+    "language": "from stratamart.llm import langid\nassert langid.recognised(docs).count() == 6",
+    "urls": (
+        "from stratamart.llm import urls\n"
+        "rules = spark.createDataFrame([('b', '/', 'block')], 'host string, path string, action string')\n"
+        "assert urls.judge(spark.sql(\"SELECT 'http://a.b/c' AS url\"), rules).first()['verdict'] == 'block'"
+    ),
+    "sketches": "from stratamart.llm import sketches\nassert sketches.against_next(docs).count() == 6",
+    "counts": (
+        "from stratamart.llm import divergence, resampling\nassert divergence.audit(docs).count() == 0\n"
+        "assert resampling.resample(docs, docs).count() == 6"
+    ),
+    "groups": "from stratamart.llm import ngrams\nassert ngrams.one_of_each(docs).count() == 1",
+}
+
+
+@pytest.mark.parametrize("use", USES)
+def test_without_the_package(use, tmp_path):
+    code = START + USES[use]
+    done = subprocess.run([sys.executable, "-c", code, REPO, str(tmp_path / "shared")], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
