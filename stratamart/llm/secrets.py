@@ -88,16 +88,16 @@ def findings(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
             )
         )
     )
-    so_far = Window.partitionBy("doc_id", "mark", "kind").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("doc_id", "mark", "path", "kind").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        cut.dropDuplicates(["doc_id", "mark"])
+        cut.dropDuplicates(["doc_id", "mark", "path"])
         .select("doc_id", "mark", "path", F.explode(pieces).alias("piece"))
         .select("doc_id", "mark", "path", "piece.*")
         .withColumn("start", F.col("gap") + F.coalesce(F.sum(F.expr("gap + length(value)")).over(so_far), F.lit(0)))
         # What is found twice keeps the text before it that tells more.
         .groupBy("doc_id", "mark", "path", "start", "value")
         .agg(F.max(F.struct(F.length("before").alias("told"), "kind", "before", "behind")).alias("seen"))
-        .withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy("start", "value")) - 1)
+        .withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "mark", "path").orderBy("start", "value")) - 1)
         .select("doc_id", "mark", "path", "nth", "value", "seen.before", "seen.behind", "start")
     )
 
@@ -143,7 +143,7 @@ def with_features(found: DataFrame, rates: list[float], dictionary: list[str]) -
     place = "(ascii(substr(low, i, 1)) - 97) * 26 + ascii(substr(low, i + 1, 1)) - 97"
     letters = "ascii(substr(low, i, 1)) between 97 and 122 and ascii(substr(low, i + 1, 1)) between 97 and 122"
     return (
-        found.withColumn("low", F.lower("value"))
+        found.withColumns({"low": F.lower("value"), "draw": F.expr("pmod(xxhash64(value, doc_id, mark, path, nth), 1048576) / 1048576D")})
         .withColumns(
             {
                 "length": F.expr("length(value)"),
@@ -183,6 +183,43 @@ def weak_labels(found: DataFrame) -> DataFrame:
     )
 
 
+def planted(sample: DataFrame) -> DataFrame:
+    """Labelled findings that no rule decides: into every document of a sample (``doc_id``, ``text``, ``path``) a key
+    and a look-alike are put between its words, where nothing announces them. Keys are made of digests in the
+    alphabets that keys come in; look-alikes are names made of the document's own words, as code and file systems
+    have them. A word of the document also is the password in a url."""
+    digest = lambda turn: f"base64(unhex(sha2(concat('planted-{turn}:', coalesce(string(doc_id), text)), 256)))"
+    long = f"regexp_replace(concat({digest(1)}, {digest(2)}), '=', '')"
+    bits = "pmod(xxhash64('planted', doc_id, text), 1024)"
+    capital = "transform(names, w -> initcap(w))"
+    made = (
+        sample.withColumns({"bits": F.expr(bits), "names": F.expr("regexp_extract_all(lower(text), '[a-z]{3,}', 0)")})
+        .filter("size(names) >= 8")
+        .withColumn("names", F.expr("slice(names, int(1 + bits % greatest(1, size(names) - 6)), int(4 + bits % 3))"))
+        .withColumns(
+            {
+                "key": F.expr(
+                    f"substr(case bits % 4 when 0 then {long} when 1 then translate({long}, '+/', '-_') "
+                    f"when 2 then upper(regexp_replace({long}, '[^A-Za-z2-7]', '')) "
+                    f"else regexp_replace({long}, '[+/]', '') end, 1, int(20 + bits % 21))"
+                ),
+                "alike": F.expr(
+                    f"case bits div 4 % 5 when 0 then array_join({capital}, '') when 1 then array_join(names, '_') "
+                    f"when 2 then array_join(names, '/') when 3 then concat(array_join(names, '-'), '-', bits % 100) "
+                    f"else concat(get(names, 0), array_join(slice({capital}, 2, 9), ''), bits % 10) end"
+                ),
+                "head": F.expr("substring_index(text, ' ', int(1 + bits % 12))"),
+            }
+        )
+        .filter(f"length(alike) >= {MIN_LENGTH} and alike not rlike '^[A-Za-z]?[a-z_+/-]*$'")
+        .withColumn("text", F.expr("concat(head, ' ', key, ' ', alike, ' db://', get(names, 0), ':', get(names, 1), '@host ', substr(text, length(head) + 2))"))
+    )
+    marked = made.select("doc_id", F.xxhash64("text").alias("mark"), "key", "alike", F.expr("get(names, 1)").alias("word")).distinct().alias("m")
+    same = F.expr("f.doc_id <=> m.doc_id and f.mark = m.mark and f.value in (m.key, m.alike, m.word)")
+    found = findings(made, path="path").alias("f")
+    return found.join(marked, same).select("f.*", F.expr("double(f.value <> m.alike)").alias("label"))
+
+
 @dataclass(frozen=True)
 class Scanner:
     rates: list[float]
@@ -190,6 +227,15 @@ class Scanner:
     forest: PipelineModel | None
 
 
+def bounded(labelled: DataFrame) -> DataFrame:
+    """About SAMPLE_FINDINGS rows of each label, or all if there are fewer, by the evenly spread column ``draw``."""
+    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    keep = F.lit(False)
+    for label, n in counts.items():
+        keep = keep | ((F.col("label") == label) & (F.col("draw") < min(1.0, SAMPLE_FINDINGS / n)))
+    return labelled.filter(keep)
+
+
 def sampled(docs: DataFrame, key: str, text: str, path: str | None) -> DataFrame:
     """``doc_id``, ``text`` and ``path`` of some SAMPLE_DOCS documents, or of all if there are fewer."""
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
@@ -203,10 +249,11 @@ def sampled(docs: DataFrame, key: str, text: str, path: str | None) -> DataFrame
 
 def train(docs: DataFrame, labelled: DataFrame | None = None, key: str = "doc_id", text: str = "text",
           path: str | None = None, lang: str | None = None) -> Scanner:
-    """A scanner from the words and pairs of letters of all documents, and a bounded sample of up to
+    """A scanner from the words and pairs of letters of all documents, and a bounded sample of some
     SAMPLE_FINDINGS findings of each label. Of each value of the column ``lang`` the DICTIONARY most frequent words
     are known; without it, of all documents together. ``labelled`` has the columns of ``findings`` and ``label``
-    (0 or 1); without it, findings of some SAMPLE_DOCS documents are labelled by ``weak_labels``. With findings
+    (0 or 1); without it, findings of some SAMPLE_DOCS documents are labelled by ``weak_labels``, and keys and
+    look-alikes ``planted`` among their words, which teach what no rule decides. With findings
     of only one label there is nothing to learn, and no finding is removed."""
     words = stage(
         docs.select(
@@ -226,10 +273,10 @@ def train(docs: DataFrame, labelled: DataFrame | None = None, key: str = "doc_id
     dictionary = sorted(r["word"] for r in frequent.select("word").distinct().collect())
     rates = character_rates(words)
     if labelled is None:
-        labelled = weak_labels(findings(sampled(docs, key, text, path), path="path")).filter("label is not null")
-    order = Window.partitionBy("label").orderBy(F.xxhash64("value", "doc_id"), "doc_id", "mark", "nth")
-    chosen = labelled.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= SAMPLE_FINDINGS)
-    known = stage(with_features(chosen, rates, dictionary).select("label", *FEATURES), "secrets-labelled")
+        sample = sampled(docs, key, text, path)
+        labelled = weak_labels(findings(sample, path="path")).filter("label is not null")
+        labelled = labelled.unionByName(planted(sample))
+    known = bounded(stage(with_features(labelled, rates, dictionary).select("label", "draw", *FEATURES), "secrets-labelled"))
     if known.select("label").distinct().count() < 2:
         return Scanner(rates, dictionary, None)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
@@ -241,8 +288,8 @@ def train(docs: DataFrame, labelled: DataFrame | None = None, key: str = "doc_id
 def scan(docs: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """``doc_id``, ``start``, ``value``, ``probability`` and ``secret`` for every finding in ``docs``.
 
-    Whole texts are searched; null and empty texts have no findings. Rows with equal ids and texts
-    are searched once; null ids are values like others. Columns that are not named are not looked at.
+    Whole texts are searched; null and empty texts have no findings. Rows with equal ids, texts and paths
+    are searched once, those of different paths each for its own; null ids are values like others. Columns that are not named are not looked at.
     """
     found = with_features(findings(docs, key, text, path), scanner.rates, scanner.dictionary)
     if scanner.forest is None:

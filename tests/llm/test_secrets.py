@@ -104,6 +104,67 @@ def test_numbers_uuids_and_hashes_are_removed(docs_of):
     assert len(right) >= 0.97 * len(hidden) and len(kept - right) <= 0.03 * len(hidden)
 
 
+def unannounced(seed, n):
+    """Keys that nothing announces and names that look like them, in documents of their own words."""
+    rng = random.Random(seed)
+    rows, _ = corpus(seed, n)
+    alphabet = HEX.upper() + HEX + UPPER + "ghijklmnopqrstuvwxyz"
+    hidden, names, out = {}, {}, []
+    for i, text, *rest in rows:
+        words = [w for w in re.findall("[a-z]{4,}", text)][:8]
+        key = "".join(rng.choices(alphabet + "-_" * (i % 2), k=rng.randint(22, 44))).strip("-_")
+        name = [
+            "".join(w.capitalize() for w in words[:5]),
+            words[0] + "".join(w.capitalize() for w in words[1:5]) + str(i % 10),
+            "-".join(words[:4]) + f"-{i % 50}",
+            "/".join(["", "Srv", *words[:3], "V2"]),
+        ][i % 4]
+        hidden[i], names[i] = key, name
+        out.append((i, f"{text} and {key} or {name} then", *rest))
+    return out, hidden, names
+
+
+def test_the_forest_decides_what_no_rule_does(docs_of):
+    scanner = secrets.train(docs_of(corpus(21, 400)[0]))  # holds none of what is asked for here
+    rows, hidden, names = unannounced(22, 300)
+    df = docs_of(rows)
+    open_ones = {(r["doc_id"], r["value"]) for r in secrets.weak_labels(secrets.findings(df)).filter("label is null").collect()}
+    judged = {(r["doc_id"], r["value"]): r["secret"] for r in secrets.scan(df, scanner).collect()}
+    keys = [x for x in hidden.items() if x in open_ones]
+    alike = [x for x in names.items() if x in open_ones]
+    assert len(keys) > 250 and len(alike) > 200
+    right, wrong = sum(judged[x] for x in keys), sum(judged[x] for x in alike)
+    assert right / len(keys) >= 0.9 and right / (right + wrong) >= 0.9, (right, len(keys), wrong, len(alike))
+
+
+def test_candidates_as_by_looking_at_every_place(docs_of):
+    """A plain search of one text, without the patterns of the library."""
+    rng = random.Random(31)
+    inside = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/-")
+    edge = lambda c: c.isalpha() or c.isdigit()
+    rows, wanted = [], set()
+    for i in range(80):
+        text = "".join(rng.choice(["a1B2" * rng.randint(1, 6), " ", ".", "é", "x", "=", "Zz9_" * 5, "==", "\n"]) for _ in range(25))
+        rows.append((i, text, "en", "s"))
+        at = 0
+        while at < len(text):
+            end = at
+            while end < len(text) and text[end] in inside:
+                end += 1
+            free = at == 0 or not (edge(text[at - 1]) or text[at - 1] in inside)
+            if end - at >= 16 and free:
+                tail = end
+                while tail < len(text) and text[tail] == "=" and tail - end < 2:
+                    tail += 1
+                while tail >= end and tail < len(text) and edge(text[tail]):
+                    tail -= 1  # closing marks may be left out
+                if tail >= end:
+                    wanted.add((i, at, text[at:tail]))
+            at = max(end, at + 1)
+    found = {(r["doc_id"], r["start"], r["value"]) for r in secrets.findings(docs_of(rows)).collect()}
+    assert found == wanted and len(wanted) > 40
+
+
 def test_given_labels_are_learned(docs_of):
     rows, hidden = corpus(3, 200)
     df = docs_of(rows)
@@ -139,6 +200,17 @@ def test_odd_rows(odd, none):
     assert secrets.scan(none, secrets.train(none)).collect() == []
 
 
+def test_equal_texts_of_several_paths(docs_of):
+    scanner = secrets.train(docs_of(corpus(1, 120)[0]), path="source")
+    text = f"see {'Zk3' * 8} here and {'q9W' * 7} there"
+    df = docs_of([(1, text, "en", p) for p in ("src/a", "docs/example", None, "src/a", "docs/example")])
+    found = secrets.findings(df, path="source").collect()
+    places = {(r["path"], r["start"], r["value"]) for r in found}
+    assert len(found) == len(places) == 6 and {s for _, s, _ in places} == {text.index("Zk3"), text.index("q9W")}
+    first, again = (sorted(map(tuple, secrets.scan(d, scanner, path="source").collect())) for d in (df, df.repartition(5)))
+    assert first == again and len(first) == 6
+
+
 def test_no_python_on_the_way(docs_of):
     df = docs_of(corpus(1, 60)[0])
     plan = secrets.scan(df, secrets.train(df))._jdf.queryExecution().executedPlan().toString()
