@@ -15,22 +15,24 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratamart.llm.arrow_text import runs
 from stratamart.llm.common import seeded_key
 
 # The labelled sample, the only bounded thing here: documents per language, characters of each, and bytes of all
 # automata together; many languages or letters get shorter samples, so that the bound holds.
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 300
-MODEL_BYTES = 64 << 20
+MODEL_BYTES = 16 << 20
 # Letters with a symbol of their own; further ones share some.
 OWN_SYMBOLS = 120
 SHARED_SYMBOLS = 64
 # Symbols that are parsed in one go, and characters that are held at once.
 SEGMENT = 256
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 UNKNOWN = "und"
 BLANK, FOREIGN = 0, 1
 FOUND = "lang_pred string, score double, bits double, letters long, phrases long"
@@ -234,11 +236,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     # Plain values: the workers need no class of ours to unpack them.
     sent = docs.sparkSession.sparkContext.broadcast(tuple(getattr(model, f.name) for f in fields(model)))
 
-    @F.pandas_udf(FOUND)
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(FOUND)
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Model(*sent.value)
+        kinds = {"lang_pred": pa.string(), "score": pa.float64(), "bits": pa.float64(), "letters": pa.int64(), "phrases": pa.int64()}
         for texts in batches:
-            yield predict(own, texts.tolist())
+            parts = [predict(own, run["text"].to_pylist()) for run in runs(pa.record_batch({"text": texts}), most=4 * CHUNK)]
+            rows = pd.concat(parts) if parts else pd.DataFrame(columns=list(kinds))
+            yield pa.StructArray.from_arrays([pa.array(rows[n], kind) for n, kind in kinds.items()], names=list(kinds))
 
     held = [c for c in docs.columns if c not in ("lang_pred", "score", "bits", "letters", "phrases")]
     return docs.select(*held, found(F.col(text)).alias("__found")).select(*held, "__found.*")
