@@ -37,11 +37,11 @@ from stratamart.operators.standardize import (
     standardize,
 )
 from stratamart.operators.upsert import in_folders, upsert
-from stratamart.plans.progress import Progress
+from stratamart.plans.progress import Progress, folders_of
 from stratamart.session import pin_utc
 from stratamart.settings import SOURCES, STUDY, SourceSpec, StudyRange
 from stratamart.sources.tables import TableStore
-from stratamart.streaming.bronze import ingest_files, new_batch_id, rescued_examples
+from stratamart.streaming.bronze import ingest_files, fresh_run_name, rescued_examples
 
 CLEAN = "_clean"
 
@@ -71,7 +71,7 @@ def land_to_bronze(
 ) -> dict[str, object]:
     """New files below ``landing`` to Bronze rows with provenance; counts are those of the new rows."""
     pin_utc(lake.spark)
-    store, batch_id = lake.store, batch_id or new_batch_id()
+    store, batch_id = lake.store, batch_id or fresh_run_name()
     store.create("bronze", spec.bronze)
     landed = ingest_files(
         lake.spark,
@@ -298,10 +298,10 @@ def run_all(lake: Lake, landings: Mapping[str, str], everything: bool = False) -
     results["dimensions"] = publish_dimensions(lake)
     progress = lake.progress
     due = {spec.name: progress.due(f"silver {spec.name}", f"published {spec.name}") for spec in lake.sources}
-    days = list({str(r): r for rows in due.values() for r in rows}.values())
+    days = folders_of(sorted({item for items in due.values() for item in items}))
     if everything or days:
         results["fact"] = publish_fact(lake, None if everything else days)
         results["marts"] = publish_marts(lake, None if everything else results["fact"]["folders"])
-    for name, rows in due.items():
-        progress.note(f"published {name}", rows)
+    for name, items in due.items():
+        progress.note(f"published {name}", items)
     return results

@@ -32,7 +32,7 @@ from stratamart.sources.adaptors import event_trips, line_trips, order_trips, ta
 from stratamart.sources import metadata
 from stratamart.sources.footers import list_files, read_footers, snapshot
 from stratamart.sources.tables import TableStore
-from stratamart.streaming.bronze import ingest_files, ingest_uniform, new_batch_id, rescued_examples
+from stratamart.streaming.bronze import ingest_files, ingest_uniform, fresh_run_name, rescued_examples
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -711,7 +711,7 @@ def bronze_stream(spark, folder):
     land_drifting_trips(spark, folder, landing)
     for _ in range(2):
         ingest_files(
-            spark, landing, bronze, checkpoint, BRONZE_YELLOW, new_batch_id(), files_per_batch=100
+            spark, landing, bronze, checkpoint, BRONZE_YELLOW, fresh_run_name(), files_per_batch=100
         )
     return spark.read.schema(BRONZE_YELLOW.schema).parquet(bronze).select(
         "VendorID",
@@ -732,7 +732,7 @@ def bronze_two_checkpoints(spark, folder):
     rows = table(spark, folder, "events").select(F.col("event_id").cast("int").alias("PULocationID"))
     for name, own in (("even", F.col("PULocationID") % 2 == 0), ("odd", F.col("PULocationID") % 2 != 0)):
         rows.filter(own).write.parquet(f"{root}/{name}")
-        ingest_files(spark, f"{root}/{name}", f"{root}/bronze", f"{root}/{name}-seen", BRONZE_YELLOW, new_batch_id())
+        ingest_files(spark, f"{root}/{name}", f"{root}/bronze", f"{root}/{name}-seen", BRONZE_YELLOW, fresh_run_name())
     return spark.read.schema(BRONZE_YELLOW.schema).parquet(f"{root}/bronze").select("PULocationID")
 
 
@@ -745,7 +745,7 @@ def bronze_uniform(spark, folder):
     )
     rows.write.parquet(f"{root}/landing")
     ingest_uniform(
-        spark, f"{root}/landing", rows.schema, f"{root}/bronze", f"{root}/seen", BRONZE_YELLOW, new_batch_id()
+        spark, f"{root}/landing", rows.schema, f"{root}/bronze", f"{root}/seen", BRONZE_YELLOW, fresh_run_name()
     )
     bronze = spark.read.schema(BRONZE_YELLOW.schema).parquet(f"{root}/bronze")
     return bronze.select("PULocationID", "trip_distance")

@@ -69,6 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix="stratamart-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    # Spark takes this setting at its start alone, so what a session has chosen is kept with its context.
+    context = spark.sparkContext
+    if not hasattr(context, "stratamart_dir"):
+        context.stratamart_dir = tempfile.mkdtemp(prefix="stratamart-")
+    return context.stratamart_dir

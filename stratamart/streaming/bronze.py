@@ -32,7 +32,7 @@ class Landed:
     rescued_rows: int = 0
 
 
-def new_batch_id() -> str:
+def fresh_run_name() -> str:
     """A name that no other run has. When a row came in is stated next to it."""
     return f"run-{uuid.uuid4()}"
 

@@ -13,7 +13,7 @@ from stratamart.sources.footers import list_files, read_footers
 from stratamart.streaming.bronze import (
     ingest_files,
     ingest_uniform,
-    new_batch_id,
+    fresh_run_name,
     rescued_examples,
 )
 
@@ -191,4 +191,4 @@ def test_uniform_files_are_streamed_as_rows(spark, places):
 
 
 def test_batch_ids_differ():
-    assert len({new_batch_id() for _ in range(100)}) == 100
+    assert len({fresh_run_name() for _ in range(100)}) == 100

@@ -13,7 +13,7 @@ class Session:
 
     def __init__(self, master, **conf):
         self.conf = Settings(conf)
-        self.sparkContext = type("Context", (), {"master": master})
+        self.sparkContext = type("Context", (), {"master": master})()
 
 
 def test_the_cluster_names_the_shared_folder():
@@ -25,7 +25,7 @@ def test_the_cluster_names_the_shared_folder():
 
 def test_a_local_session_may_have_its_own():
     local = Session("local[2]")
-    assert shared_dir(local) == shared_dir(local) == local.conf["spark.checkpoint.dir"]
+    assert shared_dir(local) == shared_dir(local) != shared_dir(Session("local[2]"))
 
 
 def test_partitions_grow_with_the_shuffle():
