@@ -20,8 +20,8 @@ SIMILARITY = PERCENT / 100
 # Two windows of m shingles that are 0.8 similar share 8/9 of them, so their fingerprints differ in a bit with a
 # probability of some arccos(8/9) / pi = 0.15: in 9.7 of 64 bits, with a deviation of 2.9.
 RADIUS = 23
-# Anchors that are broadcast (24 bytes each, with the hashed relation's overhead some 64 MB); those of a larger
-# benchmark are met by a shuffled join.
+# Rows of two or three numbers that are broadcast: anchors, and documents that meet an item (with the hashed
+# relation's overhead some 64 MB); more of them are met by a shuffled join.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -140,9 +140,10 @@ def windows(docs: DataFrame, known: DataFrame) -> DataFrame:
         .agg(F.collect_list("item").alias("items")),
         "met",
     )
-    # Texts are cut into words again only where they meet an item.
-    hashed = docs.withColumn("own_mark", F.xxhash64("text")).alias("d")
+    # Only texts that meet an item are shuffled to what they meet, and cut into words again.
     same = F.expr("d.doc_id <=> w.doc_id and own_mark = w.mark")
+    hashed = docs.withColumn("own_mark", F.xxhash64("text")).alias("d")
+    hashed = hashed.join(sent(per_doc.select("doc_id", "mark")).alias("w"), same, "left_semi").alias("d")
     return (
         prepared(hashed.join(per_doc.alias("w"), same).select("d.doc_id", "text", "items"), "text")
         .select("doc_id", "mark", "items", F.expr(shingles("words")).alias("shingles"))
