@@ -168,7 +168,8 @@ def read_back(formatted: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """Digests of every conversation, from the formatted text and the masked tokens alone.
 
     Segments of a conversation arrive in order and are hashed one by one, so that memory does not
-    grow with the conversation; a digest over its whole text has to be made by one task.
+    grow with the conversation; a digest over its whole text has to be made by one task. Null roles and texts
+    were written as empty ones and are read as such; repeated turns are turns; an empty table gives no rows.
     """
     with open(tokenizer, encoding="utf-8") as file:
         sent = formatted.sparkSession.sparkContext.broadcast(file.read())

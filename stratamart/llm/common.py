@@ -22,6 +22,10 @@ KEY_BITS = 52
 SLICE_ROWS = 4_000
 
 
+# Rows that a task hands to Python at once while a scratch table is computed: whole texts are in memory on both sides.
+BATCH_ROWS = 2_500
+
+
 class Scratch:
     """Staged tables that a job removes once nothing reads them any more."""
 
@@ -31,7 +35,13 @@ class Scratch:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{shared_dir(self.spark)}/stage/{name}-{uuid4().hex}"
-        df.write.parquet(path)
+        limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = self.spark.conf.get(limit)
+        self.spark.conf.set(limit, str(BATCH_ROWS))
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(limit, before)
         staged = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(staged)] = (staged, path)
         return staged

@@ -245,6 +245,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             rows = pd.concat(parts) if parts else pd.DataFrame(columns=list(kinds))
             yield pa.StructArray.from_arrays([pa.array(rows[n], kind) for n, kind in kinds.items()], names=list(kinds))
 
+    # Or else Spark would copy it into a filter on its result, and parse every text twice.
+    found = found.asNondeterministic()
     held = [c for c in docs.columns if c not in ("lang_pred", "score", "bits", "letters", "phrases")]
     return docs.select(*held, found(F.col(text)).alias("__found")).select(*held, "__found.*")
 

@@ -77,7 +77,8 @@ def interleave(
 
 
 def write_shards(sharded: DataFrame, folder: str) -> None:
-    """One folder per shard; each file is sorted by slot, and large shards take several tasks."""
+    """One folder per shard; each file is sorted by slot, and large shards take several tasks. Rows are written as
+    they are, nulls and repeated ones too; an empty table leaves an empty folder. What was in ``folder`` is replaced."""
     (
         sharded.hint("rebalance", "shard")
         .sortWithinPartitions("shard", "slot")

@@ -93,6 +93,12 @@ def test_only_texts_without_a_language_go(docs_of):
     assert all(r["lang"] for r in kept.collect())
 
 
+def test_texts_are_parsed_once(docs_of):
+    rows = [(i, t, n, "s") for i, (n, t) in enumerate(list(SAMPLES.items()) * 6)]
+    plan = langid.recognised(docs_of(rows))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_junk_goes_and_missing_languages_are_filled_in(docs_of):
     rows = [(i, t, n, "s") for i, (n, t) in enumerate(list(SAMPLES.items()) * 6)]
     text = SAMPLES["aa"]

@@ -1,3 +1,5 @@
+import hashlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -98,3 +100,54 @@ def test_rows_of_one_key_keep_what_is_theirs(docs_of, words):
     assert out and set(out) <= {r[:4] for r in rows}
     assert sum(n["taken"] for n in taken) == sum(len(r["text"].split()) for r in mixing.mixed_texts(df).collect())
     assert set(out) >= {r[:4] for r in rows[:4]}  # as all four are taken in whole at least once
+
+
+def plain_mixture(rows, block=128, shards=64):
+    """Words taken per document, by plain loops over the definition: pack, draw, permute, count."""
+    texts = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t, _ in rows}
+    marks = {i: "n" if s is None else "a" + s for i, _, s in rows}
+    key = lambda i: int(hashlib.md5(f"mix-1:{i}".encode()).hexdigest()[:13], 16)
+    names = sorted(set(marks.values()))
+    packs = {n: [(i, w) for i in sorted((i for i in texts if marks[i] == n), key=lambda i: (key(i), i)) for w in range(len(texts[i]))] for n in names}
+    sizes, left, targets = {n: len(packs[n]) for n in names}, 1.5 * sum(map(len, packs.values())), {}
+    weight = {n: (5, 2, 1)[k % 3] for k, n in enumerate(names)}
+    waiting = list(names)
+    while waiting:
+        whole = sum(weight[n] for n in waiting)
+        full = [n for n in waiting if left * weight[n] / whole > 2 * sizes[n]]
+        targets |= {n: 2.0 * sizes[n] for n in full} if full else {n: left * weight[n] / whole for n in waiting}
+        left -= sum(2 * sizes[n] for n in full)
+        waiting = [n for n in waiting if n not in full] if full else []
+    slots = {}
+    for n in names:
+        times, rest = divmod(round(targets[n]), sizes[n]) if sizes[n] else (0, 0)
+        slots[n] = (times * -(-sizes[n] // block) + -(-rest // block), (rest - 1) % block + 1 if rest else block)
+    drawn = mixing.draw_counts(np.array([slots[n][0] for n in names]), shards)
+    assert drawn.sum(axis=0).tolist() == [slots[n][0] for n in names]
+    taken = Counter()
+    for k, n in enumerate(names):
+        blocks = -(-sizes[n] // block)
+        for slot in range(slots[n][0]):
+            turn, at = divmod(slot, blocks)
+            half = next(w for w in range(1, 33) if blocks <= 1 << 2 * w)
+            low = (1 << half) - 1
+            while True:
+                left_bits, right_bits = at >> half, at & low
+                for r in range(1, 5):
+                    x = (right_bits + (k + 1) * 1_000_003 + turn * 7919 + r * 0x9E3779B97F4A7C15) % 2**64
+                    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+                    x = (x ^ (x >> 27)) * 0x94D049BB133111EB % 2**64
+                    left_bits, right_bits = right_bits, left_bits ^ ((x ^ (x >> 31)) & low)
+                at = left_bits << half | right_bits
+                if at < blocks:
+                    break
+            most = slots[n][1] if slot == slots[n][0] - 1 else block
+            taken.update(i for i, _ in packs[n][at * block : at * block + most])
+    return {i: (len(texts[i]), taken[i]) for i in texts}
+
+
+def test_whole_table_as_by_plain_loops(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]
+    found = {r["__doc"]: (r["__size"], r["taken"]) for r in mixing.words_taken(mixing.mix(docs)).collect()}
+    assert found == plain_mixture(rows)
