@@ -1,4 +1,8 @@
-"""The training-data pipeline over `documents`: a list of stages, each by one operator."""
+"""The training-data pipeline over `documents`: a list of stages, each by one operator.
+
+Every stage takes nulls in any column, empty and very long texts, repeated rows, empty tables and further columns;
+what becomes of them its docstring says, and the operator's in more detail.
+"""
 
 from __future__ import annotations
 
@@ -11,27 +15,30 @@ SHINGLE, PERCENT = 5, 80
 
 
 def in_known_languages(spark, docs, sf_dir):
-    """Documents in a language that the labelled ones are in."""
+    """Documents in a language that the labelled ones are in, with that language where ``lang`` was null. Null texts
+    and texts without letters go, as do longer ones that no language knows more of than pairs of letters."""
     return langid.recognised(docs)
 
 
 def without_near_copies(spark, docs, sf_dir):
-    """One document of each group of near copies."""
+    """One document of each group of near copies, that with the smallest id (a null id last). Texts without words are
+    copies of nothing. Rows of one id are judged each by its own text."""
     return ngrams.one_of_each(docs, n=SHINGLE, percent=PERCENT)
 
 
 def without_benchmark(spark, docs, sf_dir):
-    """Documents that hold no passage of the benchmark."""
+    """Documents that hold no passage of the benchmark. Null and short texts hold none; without a benchmark all stay."""
     return decontaminate.without_passages(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark, docs, sf_dir):
-    """Sources at their target weights: a row per document and pass that takes any of its words."""
+    """Sources at their target weights: a row per document and pass that takes any of its words. Texts without words are
+    not taken; a null source is a source."""
     return mixing.mixed_texts(docs)
 
 
 def sharded(spark, docs, sf_dir):
-    """Every row with its shard and its place in the shard."""
+    """Every row, null and repeated ones too, with its shard and its place in the shard; of an empty table none."""
     return sharding.interleave(docs, SHARDS, ties=("n_chars",))
 
 
