@@ -76,7 +76,7 @@ def asserted(df: DataFrame, contract: TableContract) -> DataFrame:
         c: F.when(broken.isNull(), F.col(c)).otherwise(
             F.raise_error(F.concat(F.lit(f"{contract.name} refuses a row: "), broken)).cast(df.schema[c].dataType)
         )
-        for c in contract.columns
+        for c in df.columns
     }
     return df.withColumns(sound)
 

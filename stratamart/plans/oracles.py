@@ -413,8 +413,9 @@ EXPECTED: dict[str, str] = {
       UNION ALL SELECT 'fact', taxi_type, count(*), 0 FROM trips WHERE {ALL_HOLD} GROUP BY taxi_type
       UNION ALL SELECT * FROM (VALUES ('landing', 'yellow', 11, 0), ('landing', 'green', 13, 0))""",
     "rescued_in_bronze": f"""WITH {TRIPS}
-      SELECT '{{"trip_distance":' || trip_distance || '}}' AS _rescued_data
-      FROM trips WHERE taxi_type = 'yellow' AND event_type = 'error' ORDER BY 1 LIMIT 3""",
+      SELECT taxi_type, '{{"trip_distance":' || trip_distance || '}}' AS _rescued_data
+      FROM trips WHERE event_type = 'error'
+      QUALIFY row_number() OVER (PARTITION BY taxi_type ORDER BY '{{"trip_distance":' || trip_distance || '}}') <= 3""",
     "evolved_table": """SELECT event_id, value,
         CASE WHEN event_id % 2 <> 0 THEN event_type END AS kind
       FROM events""",

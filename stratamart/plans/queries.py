@@ -28,7 +28,7 @@ from stratamart.plans.jobs import Lake, bronze_to_silver, land_to_bronze, run_al
 from stratamart.plans.views import register_views
 from stratamart.session import pin_utc, shared_dir
 from stratamart.settings import GREEN, YELLOW, StudyRange
-from stratamart.sources.adaptors import event_trips, line_trips, order_trips, table
+from stratamart.sources.adaptors import event_trips, line_trips, order_trips, plain_trips, table
 from stratamart.sources import metadata
 from stratamart.sources.footers import list_files, read_footers, snapshot
 from stratamart.sources.tables import TableStore
@@ -361,7 +361,7 @@ def orphans_date(spark, folder):
 @query
 def orphans_vendor(spark, folder):
     known = dims.vendors(spark).filter("vendor_id < 7")
-    lost = checks.orphans(trips(spark, folder), "VendorID", known, "vendor_id")
+    lost = checks.orphans(plain_trips(table(spark, folder, "events")), "VendorID", known, "vendor_id")
     return lost.groupBy("taxi_type", "VendorID").agg(F.count("*").alias("orphans"))
 
 
@@ -398,7 +398,7 @@ def dim_date(spark, folder):
 @query
 def dim_vendor(spark, folder):
     """Known vendors with their trips; trips are counted before they meet the dimension."""
-    per_vendor = trips(spark, folder).groupBy("VendorID").agg(F.count("*").alias("trips"))
+    per_vendor = plain_trips(table(spark, folder, "events")).groupBy("VendorID").agg(F.count("*").alias("trips"))
     known = dims.vendors(spark)
     joined = known.join(per_vendor, known.vendor_id == per_vendor.VendorID, "left")
     return joined.select("vendor_id", "vendor_name", "vendor_short_name", "trips")
@@ -527,7 +527,7 @@ def percentiles_amount(spark, folder):
 
 @query
 def percentiles_distance(spark, folder):
-    return profile.exact_percentiles(trips(spark, folder), "trip_distance")
+    return profile.exact_percentiles(plain_trips(table(spark, folder, "events")), "trip_distance")
 
 
 @query
@@ -730,7 +730,7 @@ def bronze_two_checkpoints(spark, folder):
     """Two landing folders, each with a checkpoint of its own, into one Bronze: all rows of both."""
     root = fresh_folder(spark, "streams")
     rows = table(spark, folder, "events").select(F.col("event_id").cast("int").alias("PULocationID"))
-    for name, own in (("even", F.col("PULocationID") % 2 == 0), ("odd", F.col("PULocationID") % 2 != 0)):
+    for name, own in (("even", F.col("PULocationID") % 2 == 0), ("odd", F.coalesce(F.col("PULocationID") % 2 != 0, F.lit(True)))):
         rows.filter(own).write.parquet(f"{root}/{name}")
         ingest_files(spark, f"{root}/{name}", f"{root}/bronze", f"{root}/{name}-seen", BRONZE_YELLOW, fresh_run_name())
     return spark.read.schema(BRONZE_YELLOW.schema).parquet(f"{root}/bronze").select("PULocationID")
@@ -950,13 +950,16 @@ def view_totals(spark, folder):
 
 @query
 def rescued_in_bronze(spark, folder):
-    """The first rescued rows of Bronze, in order of their payloads."""
+    """The first rescued rows of each source's Bronze, in order of their payloads."""
     root = fresh_folder(spark, "lake")
     lake = new_lake(spark, root)
     landings = land_trips(trips(spark, folder), root, "one")
-    land_to_bronze(lake, YELLOW, landings["yellow"])
-    bronze = lake.store.read("bronze", YELLOW.bronze)
-    return rescued_examples(bronze, order=["_rescued_data"]).select("_rescued_data")
+    parts = []
+    for spec in (YELLOW, GREEN):
+        land_to_bronze(lake, spec, landings[spec.name])
+        first = rescued_examples(lake.store.read("bronze", spec.bronze), order=["_rescued_data"])
+        parts.append(first.select(F.lit(spec.name).alias("taxi_type"), "_rescued_data"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -967,7 +970,7 @@ def evolved_table(spark, folder):
     old = TableContract("readings", StructType().add("event_id", "long").add("value", "double"))
     new = TableContract("readings", StructType([*old.schema.fields, StructField("kind", StringType(), True, {"comment": "Kind of event"})]))
     events = table(spark, folder, "events").withColumnRenamed("event_type", "kind")
-    for contract, own in ((old, F.col("event_id") % 2 == 0), (new, F.col("event_id") % 2 != 0)):
+    for contract, own in ((old, F.col("event_id") % 2 == 0), (new, F.coalesce(F.col("event_id") % 2 != 0, F.lit(True)))):
         store.create("silver", contract)
         append_rows(events.filter(own), contract, store.location("silver", contract))
         store.refresh("silver", contract)
