@@ -9,7 +9,8 @@ differ in no more bits than the sets in elements. Finer bitmaps, four bits an el
 for the pairs that are left. Pairs that pass are decided by intersecting the sorted arrays of the sets.
 
 Groups of copies stay cheap: equal sets are one set; in each tile neighbours are decided first, then the
-closest sets of different groups, and only tiles that still hold different groups are searched in full.
+closest sets of different groups, and only tiles that still hold different groups are searched in full, by bitmaps
+that grow with the sets. Tiles of two sets hold no more than the neighbours that were decided first.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ N = 4
 PERCENT = 85
 BANDS = 1.5
 BITMAP = 8  # words of 64 bits
+TILE_BITMAP = 128  # words at most that a set brings to a tile
 SEEDS = 3
 # Bytes of text that are hashed at once, sets of one side of a tile, ids that are broadcast (16 bytes
 # each in the hashed relation, some 64 MB in all); beyond it ids are met by a shuffled join.
@@ -234,13 +236,18 @@ def emit_arrays(n: int):
 
 
 def emit_bitmaps(n: int):
+    """Fine bitmaps, and those of a bit an element that sets bring to tiles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in batches_of(batches, n):
+            fine = [fine_bitmap(own) for own in sets]
+            bits = [folded(own, min(max(BITMAP, len(own) // 4), TILE_BITMAP)) for own in fine]
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": signed([name_of(own) for own in sets]),
                     "n": pa.array([len(own) for own in sets], pa.int64()),
-                    "fine": pa.array([fine_bitmap(own).tobytes() for own in sets], pa.binary()),
+                    "fine": pa.array([own.tobytes() for own in fine], pa.binary()),
+                    "bits": pa.array([own.view(np.int64) for own in bits], pa.list_(pa.int64())),
                 }
             )
 
@@ -285,7 +292,13 @@ def open_pairs(rows: pd.DataFrame, percent: int) -> Iterator[tuple[np.ndarray, n
     tile = np.cumsum(rows["starts"].to_numpy())
     sizes, labels = rows["n"].to_numpy(), rows["label"].to_numpy()
     blocks, low, high = (rows[c].to_numpy() for c in ("block", "low", "high"))
-    bits = np.stack(rows["bits"].to_numpy()).view(np.uint64)
+    bits = [np.asarray(own).view(np.uint64) for own in rows["bits"]]
+    width = np.array([len(own) for own in bits])
+    # Per width the bitmaps of all rows that have as many words, folded to it, and where each row's is.
+    levels = {}
+    for words in np.unique(width).tolist():
+        wide = width >= words
+        levels[words] = np.cumsum(wide) - 1, np.stack([folded(bits[i], words) for i in np.flatnonzero(wide)])
     for apart in range(1, len(rows)):
         at = np.flatnonzero(tile[:-apart] == tile[apart:])
         if not len(at):
@@ -295,7 +308,11 @@ def open_pairs(rows: pd.DataFrame, percent: int) -> Iterator[tuple[np.ndarray, n
         wanted = (labels[at] != labels[to]) & ((low[at] == high[at]) | (blocks[at] != blocks[to]))
         at, to = at[wanted], to[wanted]
         total = sizes[at] + sizes[to]
-        differ = np.bitwise_count(bits[at] ^ bits[to]).sum(axis=1, dtype=np.int64)
+        differ, narrow = np.zeros(len(at), np.int64), np.minimum(width[at], width[to])
+        for words, (place, level) in levels.items():
+            of = narrow == words
+            if of.any():
+                differ[of] = np.bitwise_count(level[place[at[of]]] ^ level[place[to[of]]]).sum(axis=1, dtype=np.int64)
         most = (total - differ) // 2
         ok = 100 * most >= percent * (total - most)
         yield at[ok], to[ok], differ[ok] / total[ok]
@@ -381,7 +398,8 @@ def within_bound(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
 
 
 def finer(pairs: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
-    both = pairs.join(fine.toDF("a", "n_a", "fine_a"), "a").join(fine.toDF("b", "n_b", "fine_b"), "b")
+    side = fine.select("id", "n", "fine")
+    both = pairs.join(side.toDF("a", "n_a", "fine_a"), "a").join(side.toDF("b", "n_b", "fine_b"), "b")
     return both.mapInArrow(bound(percent), "a long, b long")
 
 
@@ -409,22 +427,20 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.filter("label_a <> label_b").select("a", "b")
 
 
-def tiles(meetings: DataFrame, classes: DataFrame, labels: DataFrame, search) -> DataFrame:
+def tiles(members: DataFrame, sets: DataFrame, labels: DataFrame, search) -> DataFrame:
     """Pairs worth deciding in the tiles that hold sets of different groups, by ``search``. A tile of many sets is cut
-    into blocks by size; each two blocks are a task of their own."""
-    members = (
-        meetings.select("key", F.explode(F.array("a", "b")).alias("id")).distinct().join(labels, "id")
-    )
+    into blocks by size; each two blocks are a task of their own. ``sets``: ``id``, ``n`` and ``bits``, which are sent
+    once, to where the pairs are looked for."""
+    known = members.join(labels.join(sets.select("id", "n"), "id"), "id")
     mixed_tiles = (
-        members.groupBy("key")
+        known.groupBy("key")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("sets"))
         .filter("low <> high")
         .select("key", "sets")
     )
     order = Window.partitionBy("key").orderBy("n", "id")
     blocks = (
-        members.join(mixed_tiles, "key")
-        .join(classes.select("id", "n", "bits"), "id")
+        known.join(mixed_tiles, "key")
         .withColumn("block", F.floor((F.row_number().over(order) - 1) / TILE).cast("int"))
         .withColumn("blocks", F.ceil(F.col("sets") / TILE).cast("int"))
     )
@@ -437,7 +453,8 @@ def tiles(meetings: DataFrame, classes: DataFrame, labels: DataFrame, search) ->
         ),
     )
     return (
-        whole.select("key", "pair.low", "pair.high", "id", "n", "label", "block", "bits")
+        whole.select("key", "pair.low", "pair.high", "id", "n", "label", "block")
+        .join(sets.select("id", "bits"), "id")
         .repartition("key", "low", "high")
         .sortWithinPartitions("key", "low", "high", "block", "n", "id")
         .mapInPandas(search, "a long, b long")
@@ -483,14 +500,17 @@ def linked_classes(slim: DataFrame, rows: DataFrame, n: int, percent: int, scrat
     keys = keys.distinct() if twice else keys
     order = Window.partitionBy("key").orderBy("first")
     meetings = scratch.stage(
-        keys.withColumn("before", F.lag("first").over(order))
+        keys.withColumns({"before": F.lag("first").over(order), "others": F.coalesce(F.lag("first", 2).over(order), F.lead("first").over(order))})
         .filter("before <> first")
-        .select("key", F.least("before", "first").alias("a"), F.greatest("before", "first").alias("b")),
+        .select("key", F.least("before", "first").alias("a"), F.greatest("before", "first").alias("b"), F.expr("others is not null").alias("crowded")),
         "ngram-meetings",
     )
     counted = scratch.stage(meetings.groupBy("a", "b").agg(F.count("*").alias("times")), "ngram-counted")
+    members = meetings.filter("crowded").select("key", F.explode(F.array("a", "b")).alias("id")).distinct()
+    members = scratch.stage(members, "ngram-members")
+    scratch.drop(meetings)
     met = counted.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    fine = of_classes(slim, classes.join(met, "id", "left_semi"), emit_bitmaps(n), "id long, n long, fine binary", scratch)
+    fine = of_classes(slim, classes.join(met, "id", "left_semi"), emit_bitmaps(n), "id long, n long, fine binary, bits array<long>", scratch)
     fine = scratch.stage(one(fine), "ngram-fine")
     room = finer(within_bound(counted.select("a", "b"), classes, percent), fine, percent)
     pairs = scratch.stage(room.join(counted, ["a", "b"]), "ngram-pairs")
@@ -508,14 +528,14 @@ def linked_classes(slim: DataFrame, rows: DataFrame, n: int, percent: int, scrat
     scratch.drop(labels, pairs, best, more)
     labels = relabelled(scratch, classes, links)
     looked_at = counted.select("a", "b")
-    for search in (search_closest(percent), search_all(percent)):
-        rest = tiles(meetings, classes, labels, search).join(looked_at, ["a", "b"], "left_anti")
+    for search, sets in ((search_closest(percent), classes), (search_all(percent), fine)):
+        rest = tiles(members, sets, labels, search).join(looked_at, ["a", "b"], "left_anti")
         rest = scratch.stage(finer(rest, fine, percent), "ngram-rest")
         links = links.unionByName(decided(scratch, slim, classes, rest, n, percent))
         scratch.drop(labels)
         labels = relabelled(scratch, classes, links)
         looked_at = looked_at.unionByName(rest)
-    scratch.drop(labels, meetings, fine)
+    scratch.drop(labels, members, fine)
     return classes, links
 
 
@@ -574,8 +594,11 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int
     """One row of every group of linked texts: that with the smallest ``key``, null keys last, then by a hash of the
     text; of rows with equal key and text any one. Rows without a word are in no group and all stay. A row is
     judged by its own text, whatever other rows have its key. Only keys and hashes are joined; rows are not
-    gathered by group."""
-    surplus, repeated = surplus_rows(docs, text, key, n, percent)
+    gathered by group, and not shuffled as long as the keys and hashes of those that go are few enough to be sent to
+    all tasks."""
+    surplus, repeated = (
+        F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows for rows in surplus_rows(docs, text, key, n, percent)
+    )
     marked = docs.withColumns({"__id": F.col(key).cast("long"), "__mark": F.xxhash64(text)})
     same = F.expr("__id <=> id_of and __mark = mark_of")
     kept = marked.join(surplus.toDF("id_of", "mark_of"), same, "left_anti")

@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from stratamart.llm import ngrams
@@ -139,6 +140,59 @@ def test_pairs_of_a_tile_come_in_strips(monkeypatch):
     assert max(map(len, strips)) < 500 + n and len(pd.concat(strips).drop_duplicates()) == n * (n - 1) // 2
 
 
+def test_bitmaps_of_tiles_tell_large_sets_apart(words):
+    rng = random.Random(6)
+    base = words(2600)
+    # Two thirds alike, and one linked pair: 512 bits cannot tell sets of this size apart.
+    texts = [" ".join(base[:2000] + words(600)) for _ in range(6)] + [" ".join(base)]
+    linked = list(base)
+    for at in rng.sample(range(2600), 40):
+        linked[at] = "new"
+    texts.append(" ".join(linked))
+    batch = pa.RecordBatch.from_pydict({"id": range(8), "mark": range(8), "text": texts})
+    (found,) = ngrams.emit_bitmaps(5)(iter([batch]))
+    rows = found.to_pandas()
+    assert ngrams.BITMAP < rows["bits"].map(len).max() <= ngrams.TILE_BITMAP
+    rows = rows.assign(label=range(8), block=0, low=0, high=0, starts=[True] + [False] * 7)
+    pairs = pd.concat(ngrams.all_pairs(rows, 80))
+    assert {frozenset(p) for p in pairs.to_numpy().tolist()} == {frozenset(rows["id"][6:8].tolist())}
+
+
+def test_sets_of_one_tile_may_have_bitmaps_of_several_sizes():
+    rng = np.random.default_rng(8)
+    sets = []
+    for size in (400, 500, 520, 600, 1100):
+        base = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        for gone in (0, 5, 20, 45, 90):
+            sets.append(np.setdiff1d(base, rng.choice(base, gone, replace=False)))
+    bits = [ngrams.folded(ngrams.fine_bitmap(s), max(8, len(ngrams.fine_bitmap(s)) // 4)).view(np.int64) for s in sets]
+    n = len(sets)
+    rows = pd.DataFrame({"id": range(n), "n": [len(s) for s in sets], "label": range(n), "block": 0, "low": 0, "high": 0, "bits": bits})
+    rows["starts"] = [True] + [False] * (n - 1)
+    assert len({len(b) for b in bits}) > 1
+    found = {tuple(p) for strip in ngrams.all_pairs(rows, 80) for p in strip.to_numpy().tolist()}
+    for a in range(n):
+        for b in range(a + 1, n):
+            shared = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared):
+                assert (a, b) in found
+
+
+def test_texts_are_not_shuffled_for_a_few_that_go(spark, docs_of, words):
+    base = words(30)
+    docs = docs_of([(i, " ".join(base if i < 3 else words(30)), "en", "s") for i in range(9)])
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        kept = ngrams.one_of_each(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, *range(3, 9)]
+    finally:
+        spark.conf.set(limit, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_nothing_is_left_in_the_shared_folder(spark, docs_of):
     folder = f"{shared_dir(spark)}/stage"
     before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
